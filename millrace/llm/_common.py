@@ -103,3 +103,35 @@ def held_out(id_col: str | Column) -> Column:
     """Rows that no model is fitted on: crc32 of the id as text, modulo 5, is 0."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def store(path: str):
+    """File system and path for a path as Spark writes it: file:/..., another URI that pyarrow knows, or a plain path."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def put_file(path: str, data: bytes) -> None:
+    """Writes a whole file under another name first, so a reader finds all of it or nothing."""
+    files, at = store(path)
+    files.create_dir(at.rpartition("/")[0], recursive=True)
+    with files.open_output_stream(f"{at}.part") as f:
+        f.write(data)
+    files.move(f"{at}.part", at)
+
+
+def read_range(path: str, offset: int, length: int) -> bytes:
+    files, at = store(path)
+    with files.open_input_file(at) as f:
+        return f.read_at(length, offset)
+
+
+def task_name() -> str:
+    """A name for files of this attempt of this task: another attempt writes other files, and only the rows of one attempt count."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    return f"part-{task.partitionId():06d}-{task.taskAttemptId():09d}"

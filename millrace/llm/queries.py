@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, mpeg_audio, secret_scan, token_count
-from millrace.llm._common import table
+from millrace.llm import bpe, capture_index, mpeg_audio, quality, secret_scan, sstable, token_count, url_filter
+from millrace.llm._common import table, work_path
 
 
 def op1_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,22 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = sstable.write_shards(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), work_path(spark, "sst"), end_id=1)
+    return sstable.read_shards(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@functools.lru_cache(1)
+def url_model() -> tuple[int, list[int]]:
+    return url_filter.train(url_filter.labelled_urls())
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_model())
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +49,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None
     return read.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    directory = capture_index.write_archives(spark, table(spark, sf_dir, "pages"), work_path(spark, "warc"))
+    return capture_index.read_archives(spark, directory).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
@@ -40,8 +66,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mpeg_audio": op1_mpeg_audio, "op2_token_counts": op2_token_counts, "op5_byte_bpe": op5_byte_bpe, "op9_secret_scan": op9_secret_scan}
+    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.oracle(url_model())}
