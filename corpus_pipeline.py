@@ -1,23 +1,62 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's documents.
+
+Every stage works on all rows that the one before has kept. A stage that filters keeps or drops whole rows and returns
+the columns of its input, extra ones included; the last returns token ids by digest.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import decontamination, order_minhash, quality, secret_scan
 from millrace.llm import queries as q
 from millrace.llm._common import cut, table
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones among them, does not reject."""
+    stats = cut(spark, quality.vectors(docs), "quality-stats")
+    model = quality.fit(spark, stats, table(spark, sf_dir, "labels"))
+    return docs.where(quality.score_of(model) >= quality.THRESHOLD)
+
+
+def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near-duplicates, once; rows without id, which no group can name, stay."""
+    found = order_minhash.near_duplicates(spark, docs)
+    leaders = found.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
+    leaders = cut(spark, leaders, "leaders")
+    kept = docs.join(leaders.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    if not leaders.where("rows > 1").isEmpty():  # rows that repeat an id
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark text."""
+    leaks = decontamination.leaks(table(spark, sf_dir, "benchmark"))
+    return docs.where(~F.coalesce(leaks, F.lit(False)))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced by marks and n_chars counted anew where a text has changed."""
+    clean = docs.withColumn("__clean", secret_scan.redacted("text"))
+    changed = ~F.col("__clean").eqNullSafe(F.col("text"))
+    columns = {"n_chars": F.when(changed, F.length("__clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
+    return clean.withColumns(columns).withColumn("text", F.col("__clean")).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded bytes."""
     return q.op5_byte_bpe(spark, sf_dir, docs)
 
 
-STAGES = [("encode", encode)]
-ORACLE_SQL = None
+STAGES = [("quality", good), ("near-duplicates", single), ("decontamination", unseen), ("secrets", without_secrets), ("encoding", encoded)]
+ORACLE_SQL = None  # no SQL expresses the classifier, the alignments or the merges; tests hold run() against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(spark, stage(spark, docs, sf_dir), name)
+        docs = cut(spark, stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, capture_index, mpeg_audio, quality, secret_scan, sstable, token_count, url_filter
+from millrace.llm import bpe, capture_index, decontamination, mpeg_audio, order_minhash, quality, secret_scan, sstable, token_count, url_filter
 from millrace.llm._common import table, work_path
 
 
@@ -58,6 +58,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_index.read_archives(spark, directory).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
@@ -65,8 +69,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE), F.sha2(text(of(*secret_scan.BASE)), 256).alias("base_sha256"), text(F.col("secrets")).alias("spans"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op8_decontamination, op9_secret_scan, op10_order_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
