@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python operator holds at a time; one longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,17 +81,22 @@ def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Seque
 
 
 class PieceCache:
-    """Results by string, over whole lists of strings. It starts anew when it holds over `most` strings or `most_chars` characters, so its size is bounded."""
+    """Results by string, over whole lists of strings. There are two generations: when the younger holds over half of
+    `most` strings or `most_chars` characters it becomes the older, and what the older had and nobody asked for goes."""
 
     def __init__(self, many: Callable[[list[str]], Iterable], most: int = 400_000, most_chars: int = 12_000_000):
-        self.many, self.most, self.most_chars, self.known, self.chars = many, most, most_chars, {}, 0
+        self.many, self.most, self.most_chars, self.known, self.older, self.chars = many, most // 2, most_chars // 2, {}, {}, 0
 
     def covering(self, lists: Sequence[Sequence[str]]) -> dict:
         """A dict that has every string of the lists."""
+        if len(self.known) > self.most or self.chars > self.most_chars:
+            self.known, self.older, self.chars = {}, self.known, 0
         new = set().union(*lists).difference(self.known)
-        if len(self.known) + len(new) > self.most or self.chars > self.most_chars:
-            self.known, self.chars = {}, 0
-            new = set().union(*lists)
+        if new and self.older:
+            again = new.intersection(self.older)
+            self.known.update(zip(again, map(self.older.__getitem__, again)))
+            self.chars += sum(map(len, again))
+            new -= again
         if new:
             order = list(new)
             self.known.update(zip(order, self.many(order), strict=True))

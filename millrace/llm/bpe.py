@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import base64
 import functools
-from array import array
 from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,41 +67,36 @@ class ByteBpe:
         self.bytes_of: list[bytes] = [b""] * self.n_ranks
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.of_byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.of_bytes = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
         self.pairs: dict[int, int] = {}  # the rank of two joined tokens, or -1
         self.cache = PieceCache(self.encode_pieces)
 
     def pair(self, a: int, b: int) -> int:
-        if len(self.pairs) > 600_000:
+        if len(self.pairs) > 300_000:
             self.pairs.clear()
         return self.pairs.setdefault(a << 20 | b, self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1))
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """The tokens of each piece."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as little-endian 32-bit integers."""
         of_byte, known, pair = self.of_byte, self.pairs, self.pair
-        token: list[int] = []
-        starts = [0]
-        for p in pieces:
-            token += [of_byte[b] for b in p]
-            token.append(-1)  # the gap: no pair reaches over it
-            starts.append(len(token))
-        token.append(-1)  # what stands before position 0, as position -1
-        n = len(token)
+        lengths = np.array([len(p) for p in pieces])
+        starts = [0, *np.cumsum(lengths + 1).tolist()]
+        raw = np.full(starts[-1] + 1, -1, np.int32)  # a gap after each piece: no pair reaches over it; the last entry stands before position 0, as position -1
+        filled = np.ones(len(raw), bool)
+        filled[np.array(starts[1:]) - 1] = filled[-1] = False
+        raw[filled] = np.frombuffer(b"".join(pieces), np.uint8)
+        n = len(raw)
+        token = np.where(raw >= 0, self.of_byte[raw], -1).tolist()
+        ranks = np.where((raw[:-1] >= 0) & (raw[1:] >= 0), self.of_bytes[raw[:-1], raw[1:]], -1)
+        rank_at = [*ranks.tolist(), -1]  # of the pair that begins here
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         queue = RankQueue(self.n_ranks)
-        rank_at = [-1] * n  # of the pair that begins here
-        fill: dict[int, list[int]] = {}
-        for i in range(n - 2):
-            a, b = token[i], token[i + 1]
-            if a >= 0 and b >= 0:
-                r = known.get(a << 20 | b)
-                if r is None:
-                    r = pair(a, b)
-                if r >= 0:
-                    rank_at[i] = r
-                    fill.setdefault(r, []).append(i)
-        for r, positions in fill.items():
-            queue.put(r, positions)
+        order = np.argsort(ranks, kind="stable")[int((ranks < 0).sum()) :]
+        first = np.flatnonzero(np.diff(ranks[order], prepend=-1))
+        places = order.tolist()
+        for r, a, b in zip(ranks[order[first]].tolist(), first.tolist(), [*first[1:].tolist(), len(places)]):
+            queue.put(r, places[a:b])
         buckets, put = queue.buckets, queue.put
         while (rank := queue.first()) >= 0:
             positions = queue.take(rank)
@@ -147,7 +142,11 @@ class ByteBpe:
                     else:
                         put(rank, positions[k + 1 :])
                     break
-        return [[t for t in token[a : b - 1] if t >= 0] for a, b in zip(starts, starts[1:])]
+        left = np.array(token, np.int64)
+        left = np.where(left >= 0, left, -1)
+        ends = np.concatenate([[0], np.cumsum(left >= 0)])[starts].tolist()
+        ids = left[left >= 0].astype("<u4").tobytes()
+        return [ids[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece, as little-endian 32-bit integers. A piece that is a token is that token."""
@@ -157,7 +156,7 @@ class ByteBpe:
         done: list = [r if r is None else r.to_bytes(4, "little") for r in out]
         for group in grouped(rest, raw, 1 << 20):
             for k, ids in zip(group, self.merge([raw[k] for k in group]), strict=True):
-                done[k] = little(ids)
+                done[k] = ids
         return done
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -167,8 +166,6 @@ class ByteBpe:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of little-endian 32-bit ids."""
-        import numpy as np
-
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
@@ -181,16 +178,6 @@ def grouped(keys: list[int], raw: list[bytes], limit: int) -> list[list[int]]:
     return list(groups.values())
 
 
-def little(ids: list[int]) -> bytes:
-    a = array("I", ids)
-    assert a.itemsize == 4
-    import sys
-
-    if sys.byteorder != "little":
-        a.byteswap()
-    return a.tobytes()
-
-
 @functools.lru_cache(2)
 def bpe(rank_file: str, pattern: str) -> ByteBpe:
     return ByteBpe(rank_file, pattern)
