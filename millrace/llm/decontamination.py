@@ -1,10 +1,10 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-If a stretch of a document comes from a benchmark text of m characters with at most e edits, the two share at least
-m - q + 1 - q e character q-grams, and the diagonals (document place less item place) of those lie within e + 1 of
-each other. Shared q-grams are therefore counted in cells of e + 1 diagonals; two neighbouring cells together are one
-of the overlapping bands, and any band that holds fewer than the bound is out. What is left is verified by alignment
-within the band.
+If a stretch of a document comes from a benchmark text with at most e edits, these destroy at most q e of any set of its
+q-grams; of a set of q e + s at least s are shared, and their diagonals (document place less item place) lie within
+e + 1 of each other. Shared q-grams are therefore counted in cells of e + 1 diagonals; two neighbouring cells together
+are one of the overlapping bands, and any band with fewer than s, or with fewer than s different places of the item, is
+out. What is left is verified by alignment within the band.
 """
 
 from __future__ import annotations
@@ -22,24 +22,32 @@ from millrace.llm._common import map_steps, text_of
 Q = 6
 #: Edits allowed, as a share of the benchmark text.
 EDITS = 0.125
+#: Each item is looked for by its rarest q-grams: those that e edits can destroy (q e) and so many more.
+SPARE = 24
 #: Benchmark characters that go to every task at once; a larger benchmark is taken in blocks, one pass each.
 BLOCK_CHARS = 2_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def plain(text: str) -> str:
-    """Lower case, and every white space a space, place for place."""
-    low = text.lower()
-    if len(low) != len(text):
-        low = "".join(c if len(x := c.lower()) > 1 else x for c in text)
-    return low.translate(SPACES)
+def _spaces() -> np.ndarray:
+    t = np.arange(0x3001, dtype=np.uint32)
+    t[[c for c in range(0x3001) if chr(c).isspace()]] = 32
+    return t
+
 
+SPACES = _spaces()
 
-SPACES = {c: " " for c in (9, 10, 11, 12, 13, 0x85, 0xA0, 0x2028, 0x2029, 0x202F, 0x3000, *range(0x2000, 0x200B))}
+
+def plain(text: str) -> str:
+    """Lower case, place for place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(x := c.lower()) > 1 else x for c in text)
 
 
 def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    """The code points, every white space a space."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where(codes < len(SPACES), SPACES[np.minimum(codes, len(SPACES) - 1)], codes)
 
 
 def qgrams(codes: np.ndarray) -> np.ndarray:
@@ -63,69 +71,92 @@ class Items:
 
     def __init__(self, rows: tuple[tuple[int | None, str], ...]):
         texts = [(i, plain(t)) for i, t in rows]
-        self.short = [(i, t) for i, t in texts if 0 < len(t) < Q]  # found as they stand
+        self.short = [(i, points(t).tobytes(), len(t)) for i, t in texts if 0 < len(t) < Q]  # found as they stand
         self.rows = [(i, points(t)) for i, t in texts if len(t) >= Q]
         self.size = np.array([len(c) for _, c in self.rows], np.int64)
-        edits = np.array([budget(int(m)) for m in self.size], np.int64)
-        self.edits, self.step = edits, edits + 1
-        self.least = self.size - Q + 1 - Q * edits
-        grams = [qgrams(c) for _, c in self.rows]
-        all_grams = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.empty(0, np.int64)
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
-        order = np.argsort(all_grams, kind="stable")
+        self.edits = np.array([budget(int(m)) for m in self.size], np.int64)
+        self.step = self.edits + 1
+        grams = [qgrams(c) for _, c in self.rows] or [np.empty(0, np.uint64)]
+        names, where, often = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        ends = np.cumsum([len(g) for g in grams])
+        use = [np.sort(np.argsort(often[where[b - len(g) : b]], kind="stable")[: Q * int(e) + SPARE]) for g, b, e in zip(grams, ends, self.edits)]
+        self.least = np.array([len(u) for u in use], np.int64)[: len(self.rows)] - Q * self.edits
+        chosen = np.concatenate([g[u] for g, u in zip(grams, use)]) if use else np.empty(0, np.uint64)
+        item = np.repeat(np.arange(len(use)), [len(u) for u in use])
+        place = np.concatenate(use) if use else np.empty(0, np.int64)
+        order = np.argsort(chosen, kind="stable")
         self.item, self.place = item[order], place[order]
-        self.gram, self.begin, self.count = np.unique(all_grams[order], return_index=True, return_counts=True)
-        self.seen = np.zeros(1 << 22, bool)
-        self.seen[self.slot(self.gram)] = True
+        self.gram, self.begin, self.count = np.unique(chosen[order], return_index=True, return_counts=True)
+        self.at = np.full(1 << 22, -1, np.int32)  # of a gram by its slot; the few that share one are searched for
+        self.at[self.slot(self.gram)] = np.arange(len(self.gram))
 
     @staticmethod
     def slot(grams: np.ndarray) -> np.ndarray:
         return (grams * PRIME >> np.uint64(42)).astype(np.int64)
 
+    def known(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the grams that the index has."""
+        k = self.at[self.slot(grams)]
+        at = np.flatnonzero(k >= 0)
+        k, g = k[at], grams[at]
+        other = np.flatnonzero(self.gram[k] != g)
+        k[other] = np.minimum(np.searchsorted(self.gram, g[other]), len(self.gram) - 1)
+        same = self.gram[k] == g
+        return at[same], k[same]
+
     def candidates(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """(item, cell): the bands that begin with this cell meet the bound."""
+        """(item, cell): the bands that begin with this cell meet the bound, by grams and then by different places of the item."""
         grams = qgrams(codes)
         if not len(grams) or not len(self.gram):
             return []
-        at = np.flatnonzero(self.seen[self.slot(grams)])
-        if not len(at):
-            return []
-        k = np.searchsorted(self.gram, grams[at])
-        k[k == len(self.gram)] = 0
-        same = self.gram[k] == grams[at]
-        at, k = at[same], k[same]
+        at, k = self.known(grams)
         n = self.count[k]
         total = int(n.sum())
         if total < self.least.min():
             return []
-        inner = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-        entry = np.repeat(self.begin[k], n) + inner
-        item = self.item[entry]
+        entry = np.repeat(self.begin[k] - np.cumsum(n) + n, n) + np.arange(total)
+        item, place = self.item[entry], self.place[entry]
         cells = (len(codes) + self.size) // self.step + 2
         first = np.cumsum(cells) - cells
-        key = first[item] + (np.repeat(at, n) - self.place[entry] + self.size[item]) // self.step[item]
-        if int(cells.sum()) <= 4 * total + 100_000:
-            counts = np.bincount(key, minlength=int(cells.sum()) + 1)
-            both = counts[:-1] + counts[1:]
-            used = np.flatnonzero(both)
-            both = both[used]
+        key = first[item] + (np.repeat(at, n) - place + self.size[item]) // self.step[item]
+        if int(cells.sum()) > 8 * total + 500_000:  # few grams in many cells: number the cells that have any
+            filled, short = np.unique(np.concatenate([key, key - 1]), return_inverse=True)
+            key, numbers = short[:total], filled
         else:
-            cell, c = np.unique(key, return_counts=True)
-            used = np.union1d(cell, np.maximum(cell - 1, 0))
-            value = lambda x: np.where((p := np.minimum(np.searchsorted(cell, x), len(cell) - 1)) >= 0, np.where(cell[p] == x, c[p], 0), 0)
-            both = value(used) + value(used + 1)
-        owner = np.searchsorted(first, used, side="right") - 1
-        good = both >= self.least[owner]
-        return [(int(o), int(u - first[o])) for o, u in zip(owner[good], used[good])]
+            numbers = np.arange(int(cells.sum()) + 1)
+        counts = np.bincount(key, minlength=len(numbers) + 1)
+        follows = np.append(numbers[1:] == numbers[:-1] + 1, False)
+        both = counts[: len(numbers)] + np.where(follows, counts[1 : len(numbers) + 1], 0)
+        owner = np.searchsorted(first, numbers[(used := np.flatnonzero(both >= self.least.min()))], side="right") - 1
+        flagged = np.zeros(len(numbers) + 1, bool)
+        flagged[used[both[used] >= self.least[owner]]] = True
+        if not flagged.any():
+            return []
+        here, before = flagged[key], flagged[key - 1] & (key > 0)
+        before &= np.append(follows, False)[key - 1]
+        band, spot = np.concatenate([key[here], key[before] - 1]), np.concatenate([place[here], place[before]])
+        width = int(self.size.max())
+        different = np.bincount(np.unique(band * width + spot) // width, minlength=len(numbers))
+        used = np.flatnonzero(different)
+        owner = np.searchsorted(first, numbers[used], side="right") - 1
+        good = different[used] >= self.least[owner]
+        return [(int(o), int(numbers[u] - first[o])) for o, u in zip(owner[good], used[good])]
 
     def matches(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
         """(item id, start, end, edits, characters of the item): the best place of each item that has one."""
-        text = plain(text)
-        found = [(i, at, at + len(t), 0, len(t)) for i, t in self.short if (at := text.find(t)) >= 0]
-        codes = points(text)
+        codes = points(plain(text))
+        raw = codes.tobytes() if self.short else b""
+        found = []
+        for i, t, n in self.short:
+            at = raw.find(t)
+            while at % 4 and at >= 0:
+                at = raw.find(t, at + 1)
+            if at >= 0:
+                found.append((i, at // 4, at // 4 + n, 0, n))
         best: dict[int, tuple[int, int, int]] = {}
         for item, cell in self.candidates(codes):
+            if item in best and best[item][0] == 0:
+                continue
             m, e, step = int(self.size[item]), int(self.edits[item]), int(self.step[item])
             low = cell * step - m
             hit = banded(self.rows[item][1], codes, low - e, low + 2 * step - 1 + e, e)
