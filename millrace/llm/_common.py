@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -69,8 +71,9 @@ def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Seque
     """df through make, which gives the columns of schema for a slice of bounded bytes."""
 
     def run(batches):
-        for part in steps(batches, column):
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(make(part), types, strict=True)], names=names)
+        with uncollected():
+            for part in steps(batches, column):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(make(part), types, strict=True)], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
@@ -80,6 +83,18 @@ def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Seque
     return df.mapInArrow(run, schema)
 
 
+@contextlib.contextmanager
+def uncollected():
+    """Without Python's search for cycles: the operators make none, and it walks their lists again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class PieceCache:
     """Results by string, over whole lists of strings. There are two generations: when the younger holds over half of
     `most` strings or `most_chars` characters it becomes the older, and what the older had and nobody asked for goes."""
@@ -87,21 +102,27 @@ class PieceCache:
     def __init__(self, many: Callable[[list[str]], Iterable], most: int = 400_000, most_chars: int = 12_000_000):
         self.many, self.most, self.most_chars, self.known, self.older, self.chars = many, most // 2, most_chars // 2, {}, {}, 0
 
-    def covering(self, lists: Sequence[Sequence[str]]) -> dict:
-        """A dict that has every string of the lists."""
+    def values(self, lists: Sequence[Sequence[str]]) -> list[list]:
+        """The results for every list, in its order; every known string is looked up once."""
         if len(self.known) > self.most or self.chars > self.most_chars:
             self.known, self.older, self.chars = {}, self.known, 0
-        new = set().union(*lists).difference(self.known)
+        known = self.known
+        found = [list(map(known.get, x)) for x in lists]
+        gaps = [[i for i, v in enumerate(f) if v is None] if None in f else () for f in found]
+        new = {x[i] for x, g in zip(lists, gaps) for i in g}
         if new and self.older:
-            again = new.intersection(self.older)
-            self.known.update(zip(again, map(self.older.__getitem__, again)))
+            again = set(filter(self.older.__contains__, new))
+            known.update(zip(again, map(self.older.__getitem__, again)))
             self.chars += sum(map(len, again))
             new -= again
         if new:
             order = list(new)
-            self.known.update(zip(order, self.many(order), strict=True))
+            known.update(zip(order, self.many(order), strict=True))
             self.chars += sum(map(len, order))
-        return self.known
+        for x, f, g in zip(lists, found, gaps):
+            for i in g:
+                f[i] = known[x[i]]
+        return found
 
 
 def held_out(id_col: str | Column) -> Column:

@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from millrace.llm._common import PieceCache, map_steps, text_of
 
 
+#: Pairs whose joined rank is remembered.
+MOST_PAIRS = 500_000
+
+
 class RankQueue:
     """Positions by rank, least rank first."""
 
@@ -29,9 +33,11 @@ class RankQueue:
     def put(self, rank: int, positions: list[int]) -> None:
         """Fills the empty bucket of rank."""
         self.buckets[rank] = positions
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
+        b = rank >> 6
+        if not self.low[b]:
+            self.mid[b >> 6] |= 1 << (b & 63)
+            self.top |= 1 << (b >> 6)
+        self.low[b] |= 1 << (rank & 63)
 
     def first(self) -> int:
         """The least rank with a filled bucket, or -1."""
@@ -69,17 +75,27 @@ class ByteBpe:
             self.bytes_of[rank] = token
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.of_bytes = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
-        self.pairs: dict[int, int] = {}  # the rank of two joined tokens, or -1
-        self.cache = PieceCache(self.encode_pieces)
+        self.rights: list[dict[int, int]] = [{-1: -1} for _ in range(self.n_ranks)]
+        self.n_pairs = 0
+        self.cache = PieceCache(self.encode_pieces, most=800_000, most_chars=16_000_000)
+
+    def forget_pairs(self) -> None:
+        """By left token: right token to the rank of the two joined, or -1. The gap (-1) joins with nothing."""
+        self.n_pairs = 0
+        for known in self.rights:
+            if len(known) > 1:
+                known.clear()
+                known[-1] = -1
 
     def pair(self, a: int, b: int) -> int:
-        if len(self.pairs) > 300_000:
-            self.pairs.clear()
-        return self.pairs.setdefault(a << 20 | b, self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1))
+        self.n_pairs += 1
+        return self.rights[a].setdefault(b, self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1))
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, as little-endian 32-bit integers."""
-        of_byte, known, pair = self.of_byte, self.pairs, self.pair
+        rights, pair = self.rights, self.pair
+        if self.n_pairs > MOST_PAIRS:
+            self.forget_pairs()
         lengths = np.array([len(p) for p in pieces])
         starts = [0, *np.cumsum(lengths + 1).tolist()]
         raw = np.full(starts[-1] + 1, -1, np.int32)  # a gap after each piece: no pair reaches over it; the last entry stands before position 0, as position -1
@@ -97,43 +113,44 @@ class ByteBpe:
         places = order.tolist()
         for r, a, b in zip(ranks[order[first]].tolist(), first.tolist(), [*first[1:].tolist(), len(places)]):
             queue.put(r, places[a:b])
-        buckets, put = queue.buckets, queue.put
+        buckets, put, held = queue.buckets, queue.put, queue.buckets.get
         while (rank := queue.first()) >= 0:
             positions = queue.take(rank)
             positions.sort()
+            with_rank = rights[rank]
             for k, i in enumerate(positions):
                 if rank_at[i] != rank:
                     continue  # stale
                 j = after[i]
                 end = after[j]
-                token[i], token[j], rank_at[j], rank_at[i] = rank, -2, -1, -1
-                after[i], before[end] = end, i
+                token[i], token[j], rank_at[j], after[i], before[end] = rank, -2, -1, end, i
                 least = rank
                 b = token[end]
-                if b >= 0:
-                    r = known.get(rank << 20 | b)
-                    if r is None:
-                        r = pair(rank, b)
-                    if r >= 0:
-                        rank_at[i] = r
-                        if r in buckets:
-                            buckets[r].append(i)
-                        else:
-                            put(r, [i])
-                        if r < least:
-                            least = r
+                r = with_rank.get(b)
+                if r is None:
+                    r = pair(rank, b)
+                rank_at[i] = r
+                if r >= 0:
+                    bucket = held(r)
+                    if bucket is None:
+                        put(r, [i])
+                    else:
+                        bucket.append(i)
+                    if r < rank:
+                        least = r
                 h = before[i]
                 a = token[h]
                 if a >= 0:
-                    r = known.get(a << 20 | rank)
+                    r = rights[a].get(rank)
                     if r is None:
                         r = pair(a, rank)
                     rank_at[h] = r
                     if r >= 0:
-                        if r in buckets:
-                            buckets[r].append(h)
-                        else:
+                        bucket = held(r)
+                        if bucket is None:
                             put(r, [h])
+                        else:
+                            bucket.append(h)
                         if r < least:
                             least = r
                 if least < rank and k + 1 < len(positions):  # a lesser rank has come up: the rest of this bucket waits
@@ -160,9 +177,7 @@ class ByteBpe:
         return done
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [self.split(t) for t in texts]
-        known = self.cache.covering(lists)
-        return [b"".join(map(known.__getitem__, x)) for x in lists]
+        return list(map(b"".join, self.cache.values([self.split(t) for t in texts])))
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of little-endian 32-bit ids."""

@@ -54,9 +54,7 @@ class TokenCounter:
         return [merged.get(p, 1) for p in pieces]
 
     def counts(self, texts: list[str]) -> list[int]:
-        lists = [pre_tokens(t) for t in texts]
-        known = self.cache.covering(lists)
-        return [sum(map(known.__getitem__, x)) for x in lists]
+        return list(map(sum, self.cache.values([pre_tokens(t) for t in texts])))
 
 
 @functools.lru_cache(1)
