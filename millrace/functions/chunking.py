@@ -91,4 +91,4 @@ def chunk_sections(sections: Column, least: int = LEAST, most: int = MOST) -> Co
 
 def with_chunks(items: DataFrame, body: str = "content_body", **sizes: int) -> DataFrame:
     """A row for each chunk, with chunk_index and chunk_text."""
-    return items.select("*", F.posexplode(chunks(F.col(body), **sizes)).alias("chunk_index", "chunk_text"))
+    return items.select("*", F.posexplode_outer(chunks(F.col(body), **sizes)).alias("chunk_index", "chunk_text")).where("chunk_text IS NOT NULL")

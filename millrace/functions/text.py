@@ -131,9 +131,14 @@ def references(text: Column) -> Column:
     lists = []
     for kind, pattern in REFERENCES.items():
         front, back, label = url[kind]
-        raw = lambda m, kind=kind: F.regexp_replace(trim_unbalanced_paren(m), "[.,;:]+$", "") if kind == "doi" else F.regexp_replace(m, "[.,;:)]+$", "")
-        stub = lambda m, raw=raw, kind=kind, front=front, back=back, label=label: F.struct(F.lit(kind).alias("kind"), raw(m).alias("raw_id"), F.concat(F.lit(f"{kind}:"), raw(m)).alias("stub_id"), F.concat(F.lit(front), raw(m), F.lit(back)).alias("url"), F.concat(F.lit(label), raw(m)).alias("title"))
-        lists.append(F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda m, stub=stub: stub(m)))
+
+        def raw(m: Column, kind: str) -> Column:
+            return F.regexp_replace(trim_unbalanced_paren(m), "[.,;:]+$", "") if kind == "doi" else F.regexp_replace(m, "[.,;:)]+$", "")
+
+        def stub(kind: str, front: str, back: str, label: str):
+            return lambda m: F.struct(F.lit(kind).alias("kind"), raw(m, kind).alias("raw_id"), F.concat(F.lit(f"{kind}:"), raw(m, kind)).alias("stub_id"), F.concat(F.lit(front), raw(m, kind), F.lit(back)).alias("url"), F.concat(F.lit(label), raw(m, kind)).alias("title"))
+
+        lists.append(F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), stub(kind, front, back, label)))
     return F.array_distinct(F.concat(*lists))
 
 
@@ -141,7 +146,9 @@ def caption_lines(srt: Column) -> Column:
     """The spoken lines of an SRT text in order: no numbers, no times, no tags, no line that repeats the one before."""
     lines = F.transform(F.split(srt, r"\r?\n"), lambda x: F.regexp_replace(F.regexp_replace(x, "<[^>]+>", ""), r"(?U)^\s+|\s+$", ""))
     spoken = F.filter(lines, lambda x: (x != "") & ~x.rlike(r"^\d+$") & ~x.rlike(r"\d{2}:\d{2}:\d{2}[,.]\d{3}\s*-->"))
-    return F.filter(spoken, lambda x, i: (i == 0) | (x != F.get(spoken, i - 1)))
+    # each line beside the one before it; a lambda that looked into the list would make it anew for every line
+    beside = F.zip_with(spoken, F.concat(F.array(F.lit(None).cast("string")), spoken), lambda x, y: F.struct(x.alias("line"), y.alias("before")))
+    return F.transform(F.filter(beside, lambda p: p["line"].isNotNull() & ~p["line"].eqNullSafe(p["before"])), lambda p: p["line"])
 
 
 def srt_to_text(srt: Column) -> Column:

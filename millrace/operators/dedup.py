@@ -15,15 +15,17 @@ from millrace.functions.text import words
 MOST, SAMPLE, LEAST, OVER, SHORTEST = 50, 10, 10, 0.70, 100
 
 
-def runs(text: Column, n: int = 3) -> Column:
-    """All runs of n words, in order, as strings."""
-    w = words(F.regexp_replace(F.lower(text), r"(?U)[^a-z0-9\s]", ""))
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+def with_runs(rows: DataFrame, text: str, n: int = 3, to: str = "runs") -> DataFrame:
+    """rows with all runs of n words of a text, in order, as strings. The words are a column first: inside the lambda they would be split anew for every run. For the same reason
+    such a column is exploded by the outer form: for the other one Spark puts a filter with the whole expression below."""
+    each = F.transform(F.sequence(F.lit(1), F.size("__words") - (n - 1)), lambda i: F.array_join(F.slice("__words", i, n), " "))
+    worded = rows.withColumn("__words", words(F.regexp_replace(F.lower(text), r"(?U)[^a-z0-9\s]", "")))
+    return worded.withColumn(to, F.when(F.size("__words") >= n, each).otherwise(F.array().cast("array<string>"))).drop("__words")
 
 
 def fingerprints(items: DataFrame, key: str = "id", body: str = "content_body") -> DataFrame:
     """key, fingerprint (array, most frequent first) for items with at least 100 characters and one run."""
-    each = items.where(F.length(body) >= SHORTEST).select(key, F.posexplode(runs(F.col(body))).alias("at", "run"))
+    each = with_runs(items.where(F.length(body) >= SHORTEST).select(key, body), body).select(key, F.posexplode_outer("runs").alias("at", "run")).where("run IS NOT NULL")
     counted = each.groupBy(key, "run").agg(F.count("*").alias("n"), F.min("at").alias("at"))
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "at"))
     top = counted.withColumn("place", place).where(F.col("place") <= MOST)
@@ -51,6 +53,6 @@ def near_duplicates(prints: DataFrame, key: str = "id") -> DataFrame:
 
 def shared_runs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_text: str, right_text: str, n: int = 3) -> DataFrame:
     """How many different runs two tables' texts share, for every pair that shares any."""
-    a = left.select(left_key, F.explode(F.array_distinct(runs(F.col(left_text), n))).alias("run"))
-    b = right.select(right_key, F.explode(F.array_distinct(runs(F.col(right_text), n))).alias("run"))
+    a = with_runs(left, left_text, n).select(left_key, F.explode_outer(F.array_distinct("runs")).alias("run")).where("run IS NOT NULL")
+    b = with_runs(right, right_text, n).select(right_key, F.explode_outer(F.array_distinct("runs")).alias("run")).where("run IS NOT NULL")
     return a.join(b, "run").groupBy(left_key, right_key).agg(F.count("*").alias("shared"))

@@ -88,7 +88,7 @@ def terms(text: Column) -> Column:
 def inverted_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """term, id, tf, len: the postings, to be stored sorted by term."""
     each = docs.select(id_col, terms(F.coalesce(F.col(text_col), F.lit(""))).alias("terms"))
-    return each.select(id_col, F.size("terms").alias("len"), F.explode("terms").alias("term")).groupBy("term", id_col, "len").agg(F.count("*").alias("tf"))
+    return each.select(id_col, F.size("terms").alias("len"), F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("term", id_col, "len").agg(F.count("*").alias("tf"))
 
 
 def bm25_topk(postings: DataFrame, n_docs: int | Column, mean_len: float | Column, query: list[str], k: int = 10, id_col: str = "id") -> DataFrame:

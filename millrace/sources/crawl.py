@@ -12,7 +12,7 @@ from millrace.functions import html, urls
 
 def links(pages: DataFrame) -> DataFrame:
     """(page, url, position): every link of saved pages (url, body), resolved, without fragment."""
-    each = pages.select(F.col("url").alias("page"), F.posexplode(html.extract_links(F.col("body"))).alias("position", "href"))
+    each = pages.select(F.col("url").alias("page"), F.posexplode_outer(html.extract_links(F.col("body"))).alias("position", "href")).where("href IS NOT NULL")
     return each.select("page", F.split_part(urls.resolve(F.col("page"), F.col("href")), F.lit("#"), F.lit(1)).alias("url"), "position").where("url RLIKE '^https?://'")
 
 

@@ -51,7 +51,7 @@ def collected(df: DataFrame, source: str, **columns: Column) -> DataFrame:
 
 def exploded(payloads: DataFrame, schema: str, path: Callable[[Column], Column]) -> DataFrame:
     """One row r for each record of a JSON response."""
-    return payloads.withColumn("__doc", F.from_json("body", schema)).select("*", F.explode(path(F.col("__doc"))).alias("r"))
+    return payloads.withColumn("__doc", F.from_json("body", schema)).select("*", F.explode_outer(path(F.col("__doc"))).alias("r")).where("r IS NOT NULL")
 
 
 def reddit(payloads: DataFrame) -> DataFrame:
