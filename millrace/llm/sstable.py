@@ -10,22 +10,24 @@ from __future__ import annotations
 
 import bisect
 import functools
+import json
 import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import PieceCache, cut, put_file, read_range, steps, store, task_name, text_of
+from millrace.llm._common import PieceCache, cut, put_file, read_range, steps, store, task_name, text_of, uncollected
 
 MAGIC = b"MRSST001"
 FOOTER = struct.Struct("<QQQQQQQB7x8s")  # index offset and length, filter offset and length, documents, tokens, tokens before (in the partition), bytes an id
-BLOCK_BYTES, SHARD_BYTES = 64 << 10, 16 << 20
+BLOCK_BYTES, SHARD_BYTES, STEP = 64 << 10, 16 << 20, 8 << 20
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -144,36 +146,84 @@ class Shard:
 
 
 class WordEncoder:
-    """Ids by a tokenizers file, without special tokens of its own. White space ends every pre-token of these
-    files and normalisation reaches over none, so words are encoded apart, each once while it is remembered;
-    a text that writes out an added token goes to the library whole."""
+    """Ids by a tokenizers file, without special tokens of its own; each word is encoded once while it is remembered.
+
+    White space ends every pre-token of such a file and its normalisation reaches over none, so words are encoded
+    apart; a text that writes out an added token goes to the library whole. Where all characters are below U+0250
+    (there NFC changes nothing and lower case depends on no neighbour) words are put in lower case and cut into
+    pre-tokens by the file's own pattern; new pre-tokens go to the library many at a time, with spaces between, and
+    its ids are told apart by the mark that ends a pre-token's last token.
+    """
 
-    ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
     SPACE = re.compile("[ \t\n\r\f\v]+")
+    OTHER = re.compile("[\x1c-\x1f\x85\xa0\u0130\u0250-\U0010ffff]")
 
     def __init__(self, file: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(file)
+        self.library, self.bare = Tokenizer.from_file(file), Tokenizer.from_file(file)
+        self.bare.normalizer = None
+        with open(file) as f:
+            stated = json.load(f)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache = PieceCache(self.words)
+        ends = stated["model"]["end_of_word_suffix"]
+        self.last = np.zeros(max(stated["model"]["vocab"].values()) + 1, bool)
+        self.last[[i for s, i in stated["model"]["vocab"].items() if s.endswith(ends)]] = True
+        self.cut = regex.compile(stated["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.odd, self.plain = PieceCache(self.whole, most=100_000), PieceCache(self.words, most=900_000, most_chars=18_000_000)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        return [x for at in range(0, len(words), 4096) for x in self.whole(words[at : at + 4096])]
+    def new_pieces(self, pieces: list[str]) -> list[bytes]:
+        if not pieces:
+            return []
+        joined = [" ".join(pieces[at : at + 64]) for at in range(0, len(pieces), 64)]
+        ids = np.concatenate([np.array(e.ids, f"<u{self.width}") for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces):
+            return self.whole(pieces)
+        raw, at = ids.tobytes(), [0, *(self.width * ends).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def parts(self, word: str) -> list[str]:
+        """The pre-tokens of a word: letters, letters with a mark behind, or whatever the pattern says."""
+        if word.isalpha() or not word:
+            return [word] if word else []
+        if word[-1] in ".," and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.cut(word)
 
-    def split(self, text: str) -> list[str]:
-        if any(t in text for t in self.added):
-            return [text]
-        return [w for w in self.SPACE.split(text) if w] if self.ODD_SPACE.search(text) else text.split()
+    def words(self, words: list[str]) -> list[bytes]:
+        lists = list(map(self.parts, words))
+        pieces = list({p for x in lists for p in x})
+        known = dict(zip(pieces, self.new_pieces(pieces), strict=True))
+        return [known[x[0]] if len(x) == 1 else b"".join(map(known.__getitem__, x)) for x in lists]
+
+    def plain_texts(self, texts: list[str]) -> list[bytes]:
+        """Texts of the plain alphabet: their words are numbered in arrays, looked up once each, and the ids put in place in arrays."""
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
+        numbered = lists.flatten().dictionary_encode()
+        (values,) = self.plain.values([numbered.dictionary.to_pylist()])
+        number = numbered.indices.to_numpy()
+        size = np.fromiter(map(len, values), np.int32, len(values)) // self.width
+        begin = np.cumsum(size, dtype=np.int32) - size
+        counts = size[number]
+        ends = np.cumsum(counts, dtype=np.int32)  # a step's ids are far fewer than 2^31
+        total = int(ends[-1]) if len(ends) else 0
+        ids = np.frombuffer(b"".join(values), f"<u{self.width}")[np.repeat(begin[number] - ends + counts, counts) + np.arange(total, dtype=np.int32)]
+        at = (np.concatenate([[0], ends])[lists.offsets.to_numpy()] * self.width).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [self.split(t) for t in texts]
-        known = self.cache.covering(lists)
-        return [b"".join(map(known.__getitem__, x)) for x in lists]
+        whole = [any(t in text for t in self.added) for text in texts]
+        odd = [w or self.OTHER.search(text) is not None for w, text in zip(whole, texts)]
+        plain = iter(self.plain_texts([text for o, text in zip(odd, texts) if not o]))
+        others = iter(self.odd.values([[text] if w else [x for x in self.SPACE.split(text) if x] for w, o, text in zip(whole, odd, texts) if o]))
+        return [b"".join(next(others)) if o else next(plain) for o in odd]
 
 
 @functools.lru_cache(1)
@@ -205,8 +255,10 @@ def write_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, out: str,
             rows.append((int(name.split("-")[1]), rolled, path, first, last, len(shard.keys), shard.tokens, before))
             rolled, before, shard = rolled + 1, before + shard.tokens, None
 
-        for part in steps(batches, text_col):
-            for doc_id, ids in zip(part.column(id_col).to_pylist(), coder.encode(part.column(text_col).to_pylist()), strict=True):
+        for part in steps(batches, text_col, STEP):
+            with uncollected():
+                encoded = coder.encode(part.column(text_col).to_pylist())
+            for doc_id, ids in zip(part.column(id_col).to_pylist(), encoded, strict=True):
                 if shard is None:
                     shard, first = ShardWriter(coder.width, before), doc_id
                 shard.add(key_of(doc_id), ids + end)
