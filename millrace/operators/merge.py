@@ -55,6 +55,8 @@ def merge_by_key(stored: DataFrame, incoming: DataFrame, key: str, policy: dict[
 
 def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq") -> DataFrame:
     """Incoming rows without those whose DOI another URL has: a stored one, or an earlier one of the batch."""
+    if "doi" not in incoming.columns:
+        return incoming
     taken = stored.where("doi IS NOT NULL").select(F.col("doi").alias("__doi"), F.col("url").alias("__url"))
     free = incoming.join(taken, (F.col("doi") == F.col("__doi")) & (F.col("url") != F.col("__url")), "left_anti")
     stored_urls = stored.select("url", F.lit(True).alias("__known"))

@@ -64,13 +64,13 @@ def plane_code(v: Column, planes: list[list[float]]) -> Column:
     return code
 
 
-def ann_index(vectors: DataFrame, width: int, bits: int = 6, tables: int = 8, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+def ann_index(vectors: DataFrame, width: int, bits: int = 6, tables: int = 12, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
     """An approximate index: for every vector a bucket (table, code) in each table of random planes; every vector is in it."""
     codes = F.array(*(F.struct(F.lit(t).alias("table"), plane_code(F.col(vector_col), p).alias("code")) for t, p in enumerate(random_planes(width, bits, tables))))
     return vectors.where(F.col(vector_col).isNotNull()).select(id_col, vector_col, F.inline(codes))
 
 
-def ann_topk(index: DataFrame, query: list[float], k: int = 10, bits: int = 6, tables: int = 8, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+def ann_topk(index: DataFrame, query: list[float], k: int = 10, bits: int = 6, tables: int = 12, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest among the vectors that share a bucket with the query, or one that differs from it in one bit."""
     planes = random_planes(len(query), bits, tables)
     wanted = F.lit(False)

@@ -25,10 +25,10 @@ class Snapshots:
         self.spark, self.path = spark, path.rstrip("/")
 
     def current(self) -> tuple[str | None, int]:
-        fs, p = hadoop(self.spark, f"{self.path}/_current.json")
+        fs, p = hadoop(self.spark, f"{self.path}/current.json")
         if not fs.exists(p):
             return None, -1
-        line = self.spark.read.text(f"{self.path}/_current.json").first()["value"]
+        line = self.spark.read.text(f"{self.path}/current.json").first()["value"]
         said = json.loads(line)
         return said["folder"], said["batch"]
 
@@ -43,8 +43,8 @@ class Snapshots:
             return False
         folder = f"v{batch:012d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
-        fs, to = hadoop(self.spark, f"{self.path}/_current.json")
-        _, temp = hadoop(self.spark, f"{self.path}/_next-{uuid.uuid4().hex}.json")
+        fs, to = hadoop(self.spark, f"{self.path}/current.json")
+        _, temp = hadoop(self.spark, f"{self.path}/next-{uuid.uuid4().hex}.json")
         out = fs.create(temp)
         out.write(bytearray(json.dumps({"folder": folder, "batch": batch}).encode()))
         out.close()
