@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import map_steps, text_of
+from millrace.llm._common import map_steps, text_of, uncollected
 
 Q = 6
 #: Edits allowed, as a share of the benchmark text.
@@ -232,13 +232,15 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_co
 
 def leaks(benchmark: DataFrame, text_col: str = "text"):
     """Column: whether a text holds any benchmark text; null and empty texts do not."""
-    found = None
-    for block in blocks(benchmark):
 
+    def holding(block: tuple):
         @F.arrow_udf("boolean")
-        def run(texts: pa.Array, block=block) -> pa.Array:
+        def run(texts: pa.Array) -> pa.Array:
             items = index(block)
-            return pa.array([bool(items.matches(t or "")) for t in texts.to_pylist()], pa.bool_())
+            with uncollected():
+                return pa.array([bool(items.matches(t or "")) for t in texts.to_pylist()], pa.bool_())
+
+        return run(F.col(text_col))
 
-        found = run(F.col(text_col)) if found is None else found | run(F.col(text_col))
-    return found
+    found = [holding(block) for block in blocks(benchmark)]
+    return functools.reduce(lambda a, b: a | b, found)
