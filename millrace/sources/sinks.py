@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +83,35 @@ def skip_domains(catalog: DataFrame) -> DataFrame:
 
 def write_line(line: DataFrame, path: str) -> None:
     line.write.mode("append").text(path)
+
+
+def read_requests(spark: SparkSession, path: str | None = None, **jdbc: str) -> DataFrame | None:
+    """The request queue, which may live in another database: from a folder, by JDBC options, or none if neither is given."""
+    from millrace.schemas import REQUESTS, conform
+
+    if path:
+        return spark.read.schema(REQUESTS).parquet(path)
+    return conform(spark.read.format("jdbc").options(**jdbc).load(), REQUESTS) if jdbc else None
+
+
+def read_pdfs(spark: SparkSession, path: str, pages_of=None) -> DataFrame:
+    """(path, text) of PDF files. pages_of: a function from bytes to the texts of the pages; without one the text is null, as for a file that can't be read."""
+    from millrace.functions.text import pdf_text
+
+    @F.arrow_udf("array<string>")
+    def run(files: pa.Array) -> pa.Array:
+        def one(data):
+            try:
+                return None if pages_of is None else list(pages_of(data))
+            except Exception:  # noqa: BLE001  whatever a decoder raises on a broken file
+                return None
+
+        return pa.array([one(x) for x in files.to_pylist()], pa.list_(pa.string()))
+
+    return spark.read.format("binaryFile").load(path).select("path", pdf_text(run(F.col("content"))).alias("text"))
+
+
+def storage_bytes(spark: SparkSession, path: str) -> int:
+    """What a folder takes."""
+    fs, p = hadoop(spark, path)
+    return fs.getContentSummary(p).getLength()

@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+from millrace.plans import record_queries  # noqa: F401
 from millrace.plans.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
