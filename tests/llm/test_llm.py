@@ -437,3 +437,23 @@ def test_url_filter_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
     assert sorted(map(tuple, q.op4_url_filter(spark, FOLDER).collect())) == sorted(con.execute(q.oracle_sql()["op4_url_filter"]).fetchall())
+
+
+def test_components(spark):
+    draw = random.Random(12)
+    links = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(600, 640)] + [(draw.randrange(1000, 1060), draw.randrange(1000, 1060)) for _ in range(40)] + [(7, 7)]
+    top = {}
+
+    def find(x):
+        top.setdefault(x, x)
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            p, q = find(a), find(b)
+            top[max(p, q)] = min(p, q)
+    got = {r["node"]: r["label"] for r in order_minhash.components(spark, spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in list(top)}
+    assert order_minhash.components(spark, spark.createDataFrame([], "a long, b long")).collect() == []
