@@ -11,6 +11,10 @@ from millrace.functions.text import FULL_TEXT
 from millrace.operators.queues import NO_DOI_SOURCES
 
 
+#: Patterns that are sent to every task; a longer list is left to Spark.
+MOST_PATTERNS = 1000
+
+
 def week_before(as_of: Column) -> Column:
     return as_of - F.expr("INTERVAL 7 DAYS")
 
@@ -93,9 +97,10 @@ def backlog(items: DataFrame, retriable: Sequence[str] = NO_DOI_SOURCES) -> Data
 
 
 def manual_skips(items: DataFrame, domains: DataFrame) -> DataFrame:
-    """By configured domain (domain, pattern; a handful): items whose open-access URL matches, and those that the reports by tag count. The match is LIKE, so each item meets every pattern: keep the table small."""
+    """By configured domain (domain, pattern): items whose open-access URL matches, and those that the reports by tag count. The match is LIKE, so each item meets every pattern."""
     found = items.where("doi IS NOT NULL AND oa_url IS NOT NULL").select("id", "oa_url", "authority_tier", "domain_tags")
-    j = F.broadcast(domains).join(found, F.expr("oa_url LIKE pattern"), "inner")
+    few = domains.limit(MOST_PATTERNS + 1).count() <= MOST_PATTERNS
+    j = (F.broadcast(domains) if few else domains).join(found, F.expr("oa_url LIKE pattern"), "inner")
     counted = j.groupBy("domain").agg(F.count("id").alias("total_matched"), F.count_if(F.col("authority_tier").isin(1, 2) & (F.size(F.coalesce("domain_tags", F.array().cast("array<string>"))) > 0)).alias("counted_above"))
     return domains.select("domain").distinct().join(counted, "domain", "left").na.fill(0, ["total_matched", "counted_above"]).orderBy(F.desc("total_matched"), "domain")
 
