@@ -20,7 +20,7 @@ from millrace.llm._common import PieceCache, map_steps, text_of
 
 
 #: Pairs whose joined rank is remembered.
-MOST_PAIRS = 500_000
+MOST_PAIRS = 300_000
 
 
 class RankQueue:
@@ -77,7 +77,7 @@ class ByteBpe:
         self.of_bytes = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
         self.rights: list[dict[int, int]] = [{-1: -1} for _ in range(self.n_ranks)]
         self.n_pairs = 0
-        self.cache = PieceCache(self.encode_pieces, most=800_000, most_chars=16_000_000)
+        self.cache = PieceCache(self.encode_pieces, most=400_000, most_chars=10_000_000)
 
     def forget_pairs(self) -> None:
         """By left token: right token to the rank of the two joined, or -1. The gap (-1) joins with nothing."""
@@ -215,3 +215,14 @@ def decode_documents(encoded: DataFrame, rank_file: str, pattern: str, id_col: s
         return part.column(id_col), ids, list(map(bpe(rank_file, pattern).decode, ids))
 
     return map_steps(encoded.select(id_col, F.coalesce("ids", F.lit(b"")).alias("ids")), "ids", make, f"`{id_col}` long, ids binary, decoded binary")
+
+
+def round_trip_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids, decoded: what encode_documents and then decode_documents give, in one pass, so that a task has one Python worker and not two."""
+
+    def make(part):
+        own = bpe(rank_file, pattern)
+        ids = own.encode(part.column(text_col).to_pylist())
+        return part.column(id_col), ids, list(map(own.decode, ids))
+
+    return map_steps(text_of(docs, id_col, text_col), text_col, make, f"`{id_col}` long, ids binary, decoded binary")

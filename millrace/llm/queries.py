@@ -45,7 +45,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None
     import public_tokenizers
 
     how = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    read = bpe.decode_documents(bpe.encode_documents(docs if docs is not None else table(spark, sf_dir, "documents"), *how), *how)
+    read = bpe.round_trip_documents(docs if docs is not None else table(spark, sf_dir, "documents"), *how)
     return read.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -172,7 +172,8 @@ def test_bpe(spark, odd, none):
         assert np.frombuffer(ids, "<u4").tolist() == want.encode_ordinary(t) and own.decode(ids) == t.encode()
     got = bpe.decode_documents(bpe.encode_documents(odd, *how), *how).collect()
     assert [(r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"]) for r in got] == [(i, want.encode_ordinary(t or ""), (t or "").encode()) for i, t in ODD]
-    assert bpe.decode_documents(bpe.encode_documents(none, *how), *how).collect() == []
+    assert bpe.round_trip_documents(odd, *how).collect() == got
+    assert bpe.decode_documents(bpe.encode_documents(none, *how), *how).collect() == bpe.round_trip_documents(none, *how).collect() == []
 
 
 def test_rank_queue():
