@@ -26,7 +26,8 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = order_minhash.near_duplicates(spark, docs)
     leaders = found.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
     leaders = cut(spark, leaders, "leaders")
-    kept = docs.join(leaders.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    # a merge join at every size: broadcast where the table happens to be small would make the work grow unevenly
+    kept = docs.join(leaders.select("doc_id").hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     if not leaders.where("rows > 1").isEmpty():  # rows that repeat an id
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
