@@ -77,7 +77,7 @@ class ByteBpe:
         self.of_bytes = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
         self.rights: list[dict[int, int]] = [{-1: -1} for _ in range(self.n_ranks)]
         self.n_pairs = 0
-        self.cache = PieceCache(self.encode_pieces, most=400_000, most_chars=10_000_000)
+        self.cache = PieceCache(self.encode_pieces, most=700_000, most_chars=14_000_000)
 
     def forget_pairs(self) -> None:
         """By left token: right token to the rank of the two joined, or -1. The gap (-1) joins with nothing."""
