@@ -367,6 +367,24 @@ def test_classes_that_hubs_leave_apart(spark):
     assert got == brute.classes(texts)
 
 
+def test_pairs_of_one_bucket(spark):
+    """Pairs around a passage that all share: none is like the hub, and the two of a pair share few sketches. Small buckets and one of very many nodes."""
+    draw = random.Random(6)
+    word = lambda k: [f"w{draw.randrange(10**6)}" for _ in range(k)]
+    for pairs in (20, 60):
+        shared, docs = word(70), []
+        docs.append(shared + word(28))
+        for _ in range(pairs):
+            own = word(30)
+            docs += [shared + own, [w if k % 10 else "edit" for k, w in enumerate(shared)] + own[:20] + word(10)]
+        texts = {k: " ".join(w) for k, w in enumerate(docs)}
+        links = {(a, b) for a in texts for b in texts if a < b and set(order_minhash.sketch(order_minhash.word_codes(texts[a]))) & set(order_minhash.sketch(order_minhash.word_codes(texts[b])))}
+        want = [(a, b) for a, b in links if brute.edit_distance(docs[a], docs[b]) <= 0.2 * max(len(docs[a]), len(docs[b])) + 1e-9]
+        got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+        assert len(want) > pairs / 2 and all(got[a] == got[b] for a, b in want)
+        assert len(set(got.values())) > 2
+
+
 def test_alignment():
     draw = np.random.default_rng(1)
     pairs = []
