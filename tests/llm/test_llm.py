@@ -385,6 +385,35 @@ def test_pairs_of_one_bucket(spark):
         assert len(set(got.values())) > 2
 
 
+def test_short_texts_meet():
+    """Every similar pair of short texts shares a piece, whatever its edits."""
+    draw = random.Random(8)
+    for _ in range(4000):
+        a = [draw.randrange(4000) for _ in range(draw.randrange(4, order_minhash.SHORT + 1))]
+        b = list(a)
+        for _ in range(draw.randrange(0, 6)):
+            at = draw.randrange(len(b) + 1)
+            b[at : at + draw.randrange(2)] = [draw.randrange(4000)] * draw.randrange(2)
+        longest = max(len(a), len(b))
+        if longest <= order_minhash.SHORT and a != b and brute.edit_distance(a, b) <= 0.2 * longest + 1e-9:
+            assert set(order_minhash.pieces(np.array(a, np.uint32))) & set(order_minhash.pieces(np.array(b, np.uint32))), (a, b)
+
+
+def test_short_and_scattered_edits(spark):
+    """Texts with one changed word in the middle, and longer ones with evenly spread edits up to a similarity of 0.8."""
+    draw = random.Random(7)
+    docs = []
+    for n, edits in [(n, max(1, n // 5)) for n in (5, 8, 10, 11, 12, 20, 25)] * 3 + [(30, 6), (60, 12), (100, 10), (100, 15), (100, 20), (300, 60)] * 4:
+        a = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        b = list(a)
+        for k in range(edits):
+            b[(2 * k + 1) * n // (2 * edits)] = f"edit{draw.randrange(10**6)}"
+        docs += [a, b]
+    rows = [(k, " ".join(w)) for k, w in enumerate(docs)]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 2 * 2 for k in got}
+
+
 def test_alignment():
     draw = np.random.default_rng(1)
     pairs = []
