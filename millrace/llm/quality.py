@@ -52,12 +52,11 @@ def statistics(text: str) -> list[float]:
     again = sum(map(str.__eq__, words, words[1:]))
     lines = [x for x in text.split("\n") if x.strip()]
     sizes = list(map(len, words))
-    some = words[:: max(1, n // 200)]  # evenly over the whole text
     return [
         np.log1p(n), sum(sizes) / n, np.log1p(max(sizes)), len(count) / n**0.85, max(count.values()) / n, again / n, len(set(zip(words, words[1:]))) / n**0.95,
         kinds[2], kinds[3], kinds[5], kinds[6], kinds[7], float((points > 127).mean()),
-        sum(1 for w in some if not LETTER.search(w)) / len(some), sum(1 for s in sizes if s <= 3) / n,
-        np.log1p(len(text) / max(1, len(lines))), len(set(lines)) / max(1, len(lines)), len(MARKS.findall(text)) / n, np.log1p(len(np.unique(points))), sum(1 for w in some if len(w) > 1 and w.isupper()) / len(some),
+        sum(k for w, k in count.items() if not LETTER.search(w)) / n, sum(1 for s in sizes if s <= 3) / n,
+        np.log1p(len(text) / max(1, len(lines))), len(set(lines)) / max(1, len(lines)), len(MARKS.findall(text)) / n, np.log1p(len(np.unique(points))), sum(k for w, k in count.items() if len(w) > 1 and w.isupper()) / n,
     ]
 
 

@@ -238,6 +238,12 @@ def test_held_out_labels_are_not_used(spark):
     assert a == b
 
 
+def test_statistics_are_of_all_words():
+    """Shares of words in a text whose pattern repeats: every fifth word is a number, every fifth in capitals."""
+    got = dict(zip(quality.NAMES, quality.statistics("123 NASA some plain words " * 200)))
+    assert got["bare_words"] == 0.2 and got["capitals"] == 0.2
+
+
 def test_pooling():
     first, values = quality.pooled(np.array([0, 2, 1, 3.0]), np.array([2, 2, 2, 3.0]))
     assert first.tolist() == [0, 1, 3] and values.tolist() == [0, 0.75, 1]
