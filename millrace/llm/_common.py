@@ -51,6 +51,19 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables that cut() has written, when what was made of them is written too."""
+    for t in tables:
+        for path in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so when their plans are collected in the driver."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator on texts reads; a null text is an empty one."""
     return df.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))

@@ -384,7 +384,8 @@ def test_pairs_of_one_bucket(spark):
             own = word(30)
             docs += [shared + own, [w if k % 10 else "edit" for k, w in enumerate(shared)] + own[:20] + word(10)]
         texts = {k: " ".join(w) for k, w in enumerate(docs)}
-        links = {(a, b) for a in texts for b in texts if a < b and set(order_minhash.sketch(order_minhash.word_codes(texts[a]))) & set(order_minhash.sketch(order_minhash.word_codes(texts[b])))}
+        keys = {k: set(order_minhash.bucket_keys(order_minhash.word_codes(t))) for k, t in texts.items()}
+        links = {(a, b) for a in texts for b in texts if a < b and keys[a] & keys[b]}
         want = [(a, b) for a, b in links if brute.edit_distance(docs[a], docs[b]) <= 0.2 * max(len(docs[a]), len(docs[b])) + 1e-9]
         got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
         assert len(want) > pairs / 2 and all(got[a] == got[b] for a, b in want)
@@ -392,17 +393,41 @@ def test_pairs_of_one_bucket(spark):
 
 
 def test_short_texts_meet():
-    """Every similar pair of short texts shares a piece, whatever its edits."""
+    """Every similar pair shares one of its rarest word pairs, whatever its edits and whichever pairs are called common."""
     draw = random.Random(8)
     for _ in range(4000):
-        a = [draw.randrange(4000) for _ in range(draw.randrange(4, order_minhash.SHORT + 1))]
+        a = [draw.randrange(draw.choice([9, 4000])) for _ in range(draw.randrange(2, 60))]
         b = list(a)
-        for _ in range(draw.randrange(0, 6)):
+        for _ in range(draw.randrange(0, 12)):
             at = draw.randrange(len(b) + 1)
             b[at : at + draw.randrange(2)] = [draw.randrange(4000)] * draw.randrange(2)
         longest = max(len(a), len(b))
-        if longest <= order_minhash.SHORT and a != b and brute.edit_distance(a, b) <= 0.2 * longest + 1e-9:
-            assert set(order_minhash.pieces(np.array(a, np.uint32))) & set(order_minhash.pieces(np.array(b, np.uint32))), (a, b)
+        rank = {g: draw.randrange(9) for g in order_minhash.labelled(np.array(a, np.uint32), 2).view(np.int64).tolist() if draw.random() < 0.5}
+        if brute.edit_distance(a, b) <= 0.2 * longest + 1e-9 and min(len(a), len(b)) > 1:
+            assert set(order_minhash.rare_pairs(np.array(a, np.uint32), rank)) & set(order_minhash.rare_pairs(np.array(b, np.uint32), rank)), (a, b)
+
+
+def test_ids_that_name_several_texts(spark):
+    """Rows of one id with different texts are different nodes; near copies without id join the class of those with one."""
+    import corpus_pipeline
+
+    draw = random.Random(11)
+    text = lambda n=60: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    near = lambda x, at=7: [*x[:at], "edit", *x[at + 1 :]]
+    a, b, c, x, y = text(), text(), text(), text(), text()
+    rows = [(1, a, "p"), (1, b, "p"), (2, near(b), "p"), (3, c, "p"), (5, x, "p"), (None, near(x), "p"), (None, y, "q"), (None, near(y), "p"), (-4, near(c), "p"), (None, near(c, 9), "p"), (9, text(), "p"), (9, None, "p"), (3, c, "o")]
+    df = spark.createDataFrame([(i, None if t is None else " ".join(t), s) for i, t, s in rows], "doc_id long, text string, source string")
+    got, by = order_minhash.near_duplicates(spark, df).collect(), {}
+    for r in got:
+        by.setdefault(r["class_key"], []).append((r["doc_id"], r["class_id"]))
+    ids = sorted((sorted(str(i) for i, _ in v), {k for _, k in v}) for v in by.values())
+    assert [m for m, _ in ids if m != ["None", "None"]] == [["-4", "3", "3", "None"], ["1"], ["1", "2"], ["5", "None"], ["9"], ["9"]]
+    assert all(len(k) == 1 for _, k in ids) and {next(iter(k)) for m, k in ids if m == ["1", "2"]} == {1} and {next(iter(k)) for m, k in ids if m == ["-4", "3", "3", "None"]} == {-4}
+    assert len(got) == len(rows)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.single(spark, df, FOLDER).collect()]
+    least = min((near(y), y), key=lambda t: order_minhash.words_digest(" ".join(t)))
+    want = [(1, a), (1, b), (5, x), (-4, near(c)), (None, least), (9, rows[10][1])]
+    assert sorted(kept, key=str) == sorted([(i, " ".join(t)) for i, t in want] + [(9, None)], key=str)
 
 
 def test_short_and_scattered_edits(spark):
@@ -495,7 +520,7 @@ def test_url_filter_sql(spark):
 
 def test_components(spark):
     draw = random.Random(12)
-    links = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(600, 640)] + [(draw.randrange(1000, 1060), draw.randrange(1000, 1060)) for _ in range(40)] + [(7, 7)]
+    links = [(k, k + 1) for k in range(10_000, 11_000)] + [(500, k) for k in range(600, 640)] + [(draw.randrange(1000, 1060), draw.randrange(1000, 1060)) for _ in range(40)] + [(7, 7)]
     top = {}
 
     def find(x):
