@@ -22,15 +22,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates, once; rows without id, which no group can name, stay."""
-    found = order_minhash.near_duplicates(spark, docs)
-    leaders = found.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    leaders = cut(spark, leaders, "leaders")
-    # a merge join at every size: broadcast where the table happens to be small would make the work grow unevenly
-    kept = docs.join(leaders.select("doc_id").hint("merge"), "doc_id", "left_semi").select(*docs.columns)
-    if not leaders.where("rows > 1").isEmpty():  # rows that repeat an id
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """The document with the least id of each class of near-duplicates, one row of it; a class without ids keeps one row too."""
+    return order_minhash.first_of_each(spark, docs)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
