@@ -393,18 +393,21 @@ def test_pairs_of_one_bucket(spark):
 
 
 def test_short_texts_meet():
-    """Every similar pair shares one of its rarest word pairs, whatever its edits and whichever pairs are called common."""
-    draw = random.Random(8)
+    """Every similar pair shares rare keys, as many as the join asks for, whatever its edits and whichever runs are called common."""
+    draw, found = random.Random(8), 0
     for _ in range(4000):
-        a = [draw.randrange(draw.choice([9, 4000])) for _ in range(draw.randrange(2, 60))]
+        a = [draw.randrange(draw.choice([9, 4000])) for _ in range(draw.choice([draw.randrange(2, 30), draw.randrange(40, 130)]))]
         b = list(a)
-        for _ in range(draw.randrange(0, 12)):
+        for _ in range(draw.randrange(0, len(a) // 4 + 2)):
             at = draw.randrange(len(b) + 1)
             b[at : at + draw.randrange(2)] = [draw.randrange(4000)] * draw.randrange(2)
         longest = max(len(a), len(b))
-        rank = {g: draw.randrange(9) for g in order_minhash.labelled(np.array(a, np.uint32), 2).view(np.int64).tolist() if draw.random() < 0.5}
+        rank = {g: draw.randrange(9) for g in np.concatenate(order_minhash.runs_of(np.array(a, np.uint32))).tolist() if draw.random() < 0.5}
         if brute.edit_distance(a, b) <= 0.2 * longest + 1e-9 and min(len(a), len(b)) > 1:
-            assert set(order_minhash.rare_pairs(np.array(a, np.uint32), rank)) & set(order_minhash.rare_pairs(np.array(b, np.uint32), rank)), (a, b)
+            shared = len(set(order_minhash.rare_keys(np.array(a, np.uint32), rank)) & set(order_minhash.rare_keys(np.array(b, np.uint32), rank)))
+            assert shared >= (1 if longest <= order_minhash.FEW else order_minhash.runs_needed(min(len(a), len(b)))) or a == b, (a, b)
+            found += 1
+    assert found > 1000
 
 
 def test_ids_that_name_several_texts(spark):
