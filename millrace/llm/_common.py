@@ -83,12 +83,12 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
             yield batch.slice(begin)
 
 
-def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Sequence], schema: str) -> DataFrame:
+def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Sequence], schema: str, limit: int = STEP_BYTES) -> DataFrame:
     """df through make, which gives the columns of schema for a slice of bounded bytes."""
 
     def run(batches):
         with uncollected():
-            for part in steps(batches, column):
+            for part in steps(batches, column, limit):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(make(part), types, strict=True)], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -171,6 +171,12 @@ def read_range(path: str, offset: int, length: int) -> bytes:
         return f.read_at(length, offset)
 
 
+def read_whole(path: str) -> bytes:
+    files, at = store(path)
+    with files.open_input_file(at) as f:
+        return f.read()
+
+
 def task_name() -> str:
     """A name for files of this attempt of this task: another attempt writes other files, and only the rows of one attempt count."""
     from pyspark import TaskContext
