@@ -4,12 +4,17 @@ If a stretch of a document comes from a benchmark text with at most e edits, the
 q-grams; of a set of q e + s at least s are shared, and their diagonals (document place less item place) lie within
 e + 1 of each other. Shared q-grams are therefore counted in cells of e + 1 diagonals; two neighbouring cells together
 are one of the overlapping bands, and any band with fewer than s, or with fewer than s different places of the item, is
-out. What is left is verified by alignment within the band.
+out. What is left is verified by alignment within the band. Of places of an item that overlap, the one with the fewest
+edits stays, of equal ones the first, then the shortest; places apart all stay.
+
+The benchmark is indexed in blocks of bounded size, which tasks write to the shared folder and read from there: neither
+the driver nor a plan ever holds it. Documents are read once, each step of them against every block.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import math
 
 import numpy as np
@@ -17,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import map_steps, text_of, uncollected
+from millrace.llm._common import STEP_BYTES, cut, map_steps, put_file, read_whole, task_name, text_of, uncollected, work_path
 
 Q = 6
 #: Edits allowed, as a share of the benchmark text.
 EDITS = 0.125
 #: Each item is looked for by its rarest q-grams: those that e edits can destroy (q e) and so many more.
 SPARE = 24
-#: Benchmark characters that go to every task at once; a larger benchmark is taken in blocks, one pass each.
+#: Benchmark characters of a block; a task holds one index at a time, and larger steps of documents where there are several.
 BLOCK_CHARS = 2_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,12 +72,13 @@ def budget(m: int) -> int:
 
 
 class Items:
-    """The index of a block of benchmark texts."""
+    """The index of a block of benchmark texts: rows of (id, text, how often the row stands in the table)."""
 
-    def __init__(self, rows: tuple[tuple[int | None, str], ...]):
-        texts = [(i, plain(t)) for i, t in rows]
-        self.short = [(i, points(t).tobytes(), len(t)) for i, t in texts if 0 < len(t) < Q]  # found as they stand
-        self.rows = [(i, points(t)) for i, t in texts if len(t) >= Q]
+    def __init__(self, rows: tuple[tuple[int | None, str, int], ...]):
+        texts = [(i, plain(t), times) for i, t, times in rows]
+        self.short = [(i, points(t).tobytes(), len(t), times) for i, t, times in texts if 0 < len(t) < Q]  # found as they stand
+        self.rows = [(i, points(t)) for i, t, _ in texts if len(t) >= Q]
+        self.times = [times for _, t, times in texts if len(t) >= Q]
         self.size = np.array([len(c) for _, c in self.rows], np.int64)
         self.edits = np.array([budget(int(m)) for m in self.size], np.int64)
         self.step = self.edits + 1
@@ -143,26 +149,40 @@ class Items:
         return [(int(o), int(numbers[u] - first[o])) for o, u in zip(owner[good], used[good])]
 
     def matches(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
-        """(item id, start, end, edits, characters of the item): the best place of each item that has one."""
+        """(item id, start, end, edits, characters of the item) of every place of each item, as often as the item stands in its table."""
         codes = points(plain(text))
         raw = codes.tobytes() if self.short else b""
         found = []
-        for i, t, n in self.short:
+        for i, t, n, times in self.short:
             at = raw.find(t)
-            while at % 4 and at >= 0:
-                at = raw.find(t, at + 1)
-            if at >= 0:
-                found.append((i, at // 4, at // 4 + n, 0, n))
-        best: dict[int, tuple[int, int, int]] = {}
+            while at >= 0:
+                if at % 4 == 0:
+                    found += [(i, at // 4, at // 4 + n, 0, n)] * times
+                at = raw.find(t, at + (4 * n if at % 4 == 0 else 1))
+        hits: dict[int, list[tuple[int, int, int]]] = {}
         for item, cell in self.candidates(codes):
-            if item in best and best[item][0] == 0:
-                continue
             m, e, step = int(self.size[item]), int(self.edits[item]), int(self.step[item])
             low = cell * step - m
-            hit = banded(self.rows[item][1], codes, low - e, low + 2 * step - 1 + e, e)
-            if hit and (item not in best or hit < best[item]):
-                best[item] = hit
-        return found + [(self.rows[o][0], start, end, d, int(self.size[o])) for o, (d, start, end) in sorted(best.items())]
+            high = low + 2 * step - 1
+            # all that this band can give overlaps a place without edits
+            if any(d == 0 and b - m + e < low - e and high + e < b for d, a, b in hits.get(item, ())):
+                continue
+            hit = banded(self.rows[item][1], codes, low - e, high + e, e)
+            if hit:
+                hits.setdefault(item, []).append(hit)
+        for o in sorted(hits):
+            places = [(self.rows[o][0], start, end, d, int(self.size[o])) for d, start, end in apart(hits[o])]
+            found += [x for x in places for _ in range(self.times[o])]
+        return found
+
+
+def apart(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (edits, start, end) those that overlap no better one, by place."""
+    kept: list[tuple[int, int, int]] = []
+    for d, a, b in sorted(set(hits)):
+        if all(b <= x or y <= a for _, x, y in kept):
+            kept.append((d, a, b))
+    return sorted(kept, key=lambda h: h[1])
 
 
 FAR = 1 << 28
@@ -198,49 +218,65 @@ def banded(item: np.ndarray, doc: np.ndarray, low: int, high: int, most: int) ->
 
 
 @functools.lru_cache(2)
-def index(rows: tuple) -> Items:
-    return Items(rows)
+def index(path: str) -> Items:
+    return Items(tuple(map(tuple, json.loads(read_whole(path)))))
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[tuple]:
-    """The benchmark in blocks of bounded size; null and empty texts match nothing. A text alone over the bound is a block."""
-    rows = text_of(benchmark, id_col, text_col).where(F.length(text_col) > 0)
-    chars = rows.agg(F.sum(F.length(text_col).cast("long")).alias("n")).first()["n"] or 0
+def index_files(spark: SparkSession, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[str]:
+    """Writes the benchmark to the shared folder in blocks of bounded size; returns their paths. Null and empty texts match nothing;
+    repeated rows are counted first; a text alone over the bound is a block."""
+    rows = text_of(benchmark, id_col, text_col).where(F.length(text_col) > 0).groupBy(F.col(id_col).alias("id"), F.col(text_col).alias("text")).agg(F.count("*").alias("times"))
+    rows = cut(spark, rows, "benchmark")
+    chars = rows.agg(F.sum(F.length("text").cast("long")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(2 * chars / BLOCK_CHARS)) if chars > BLOCK_CHARS else 1
-    return [tuple(sorted(((r[0], r[1]) for r in (rows if n == 1 else rows.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(n)) == k)).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))) for k in range(n)]
+    out = work_path(spark, "benchmark-blocks")
+
+    def write(key, block: pa.Table) -> pa.Table:
+        path = f"{out}/{task_name()}-{key[0].as_py():06d}.json"
+        given = sorted(zip(*(block.column(c).to_pylist() for c in ("id", "text", "times"))), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        put_file(path, json.dumps(given).encode())
+        return pa.table({"path": pa.array([path], pa.string())})
+
+    found = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n))).groupBy("block").applyInArrow(write, "path string")
+    return sorted(r["path"] for r in cut(spark, found, "benchmark-paths").collect())
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document and benchmark text found in it: id, item_id, start, end (code points), edits, similarity.
+    """One row for each place of a benchmark text in a document: id, item_id, start, end (code points), edits, similarity.
 
     A null text is an empty one. A null id stays null. Repeated rows of either table give repeated rows. Other columns
     are not read, whatever their names. An empty benchmark or table gives an empty result.
     """
     schema = f"`{id_col}` long, item_id long, start long, end long, edits long, similarity double"
-    out = None
-    for block in blocks(benchmark):
+    files = index_files(spark, benchmark)
 
-        def make(part, block=block):
-            items = index(block)
-            rows = [(doc_id, i, a, b, d, round(1 - d / m, 6)) for doc_id, t in zip(part.column(id_col).to_pylist(), part.column(text_col).to_pylist()) for i, a, b, d, m in items.matches(t)]
-            return list(zip(*rows)) or [[]] * 6
+    def make(part):
+        ids, texts = part.column(id_col).to_pylist(), part.column(text_col).to_pylist()
+        rows = []
+        for path in files:
+            items = index(path)
+            rows += [(doc_id, i, a, b, d, round(1 - d / m, 6)) for doc_id, t in zip(ids, texts) for i, a, b, d, m in items.matches(t)]
+        return list(zip(*rows)) or [[]] * 6
 
-        found = map_steps(text_of(docs, id_col, text_col), text_col, make, schema)
-        out = found if out is None else out.unionByName(found)
-    return out
+    return map_steps(text_of(docs, id_col, text_col), text_col, make, schema, step_bytes(files))
 
 
-def leaks(benchmark: DataFrame, text_col: str = "text"):
-    """Column: whether a text holds any benchmark text; null and empty texts do not."""
+def step_bytes(files: list[str]) -> int:
+    return STEP_BYTES if len(files) < 2 else 8 * STEP_BYTES
 
-    def holding(block: tuple):
-        @F.arrow_udf("boolean")
-        def run(texts: pa.Array) -> pa.Array:
-            items = index(block)
-            with uncollected():
-                return pa.array([bool(items.matches(t or "")) for t in texts.to_pylist()], pa.bool_())
 
-        return run(F.col(text_col))
-
-    found = [holding(block) for block in blocks(benchmark)]
-    return functools.reduce(lambda a, b: a | b, found)
+def leaks(spark: SparkSession, benchmark: DataFrame, text_col: str = "text"):
+    """Column: whether a text holds any benchmark text; null and empty texts do not."""
+    files = index_files(spark, benchmark)
+
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        given = [t or "" for t in texts.to_pylist()]
+        found = [False] * len(given)
+        with uncollected():
+            for path in files:
+                items = index(path)
+                found = [f or bool(items.matches(t)) for f, t in zip(found, given)]
+        return pa.array(found, pa.bool_())
+
+    return run(F.col(text_col))
