@@ -3,12 +3,12 @@
 Every text becomes a vector of statistics; cosines of random projections of the standardised vector approximate a
 Gaussian kernel; each partition sums its part of the normal equations, which are solved on the driver (their size is
 the square of the number of features, whatever the number of rows); counts by score bin on other labelled rows are
-pooled to the isotonic curve that turns scores into probabilities.
+pooled to the isotonic curve that turns scores into probabilities. The curve is drawn through the middles of its steps,
+and a hundredth of the score is a logistic curve of the raw one, so that the calibrated scores keep the raw ones' order.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -23,6 +23,10 @@ from millrace.llm._common import cut, held_out, map_steps, text_of
 #: Share of held documents that are good: at this score and above a document is kept.
 THRESHOLD = 0.3
 FEATURES, SEED, WIDTH, RIDGE, BINS = 384, 20240, 3.5, 1e-3, 512
+#: Partial sums of the equations, each of FEATURES squared numbers; all labelled rows are in them, however many there are.
+PARTS = 256
+#: Share of a score that orders texts of one step of the isotonic curve.
+ORDER = 0.01
 NAMES = ("log_words", "word_length", "log_longest_word", "distinct_words", "top_word", "repeats", "distinct_pairs", "upper", "digit", "mark", "symbol", "pipe", "non_ascii", "bare_words", "short_words", "log_line", "distinct_lines", "runs_of_marks", "log_alphabet", "capitals")
 MARKS = re.compile(r"[^\w\s]{2,}")
 LETTER = re.compile(r"[^\W\d_]")
@@ -87,7 +91,8 @@ class Model:
         if self.weight is None or not len(stats):
             return np.full(len(stats), 0.5)
         raw = self.raw(stats)
-        return np.round(np.interp(raw, self.knots, self.values) if self.knots is not None else np.clip(raw, 0, 1), 6)
+        step = np.interp(raw, self.knots, self.values) if self.knots is not None else np.clip(raw, 0, 1)
+        return np.round((1 - ORDER) * step + ORDER / (1 + np.exp(np.clip(4 * (0.5 - raw), -50, 50))), 6)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -136,7 +141,8 @@ def fit(spark: SparkSession, stats: DataFrame, labels: DataFrame, id_col: str =
             total += np.asarray(chunk.flatten()).reshape(-1, size + 1).sum(axis=0)
         return pa.table([pa.array([row[0].as_py()], pa.int32()), pa.array([list(total)], pa.list_(pa.float64()))], names=["row", "sums"])
 
-    parts = learn.select("stats", "label").mapInArrow(partial, "row int, sums array<double>").groupBy("row").applyInArrow(added, "row int, sums array<double>").collect()
+    # tasks are joined before they sum, so the sums that are moved are bounded at every size
+    parts = learn.select("stats", "label").coalesce(PARTS).mapInArrow(partial, "row int, sums array<double>").groupBy("row").applyInArrow(added, "row int, sums array<double>").collect()
     total = np.zeros((size, size + 1))
     for r in parts:
         total[r["row"]] = r["sums"]
@@ -155,14 +161,17 @@ def fit(spark: SparkSession, stats: DataFrame, labels: DataFrame, id_col: str =
 
     found = rows.where("calibrates").select("stats", "label").mapInArrow(bins, "bin int, n long, y double").groupBy("bin").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).orderBy("bin").collect()
     if found:
-        first, values = pooled(np.array([r["y"] for r in found]), np.array([r["n"] for r in found], dtype=float))
-        centre = np.array([(r["bin"] + 0.5) / BINS * 2 - 0.5 for r in found])
-        last = [*(first[1:] - 1), len(found) - 1]
-        model.knots = np.column_stack([centre[first], centre[last] + 1e-9]).ravel()
-        model.values = np.repeat(np.clip(values, 0, 1), 2)
+        at, n, y = (np.array([r[c] for r in found], dtype=float) for c in ("bin", "n", "y"))
+        model.knots, model.values = curve((at + 0.5) / BINS * 2 - 0.5, n, y)
     return model
 
 
+def curve(raw: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The isotonic curve of sums y over counts n at ascending raw scores: the mean raw score of every step, and its mean."""
+    first, values = pooled(y, n)
+    return np.add.reduceat(raw * n, first) / np.add.reduceat(n, first), np.clip(values, 0, 1)
+
+
 def score_vectors(stats: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     """id, score for every row of stats."""
 
@@ -194,7 +203,3 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, thres
     scored = score_vectors(stats, fit(spark, stats, labels, id_col), id_col)
     return scored.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-
-def described(model: Model) -> str:
-    """The model as JSON, for storage."""
-    return json.dumps({k: None if v is None else np.asarray(v).tolist() for k, v in vars(model).items()})
