@@ -3,7 +3,8 @@
 Archives hold one gzip member for each record. Index lines, keyed by the URL with its host reversed, are sorted over
 the whole collection and cut into compressed blocks; each index file ends with a sparse directory of its blocks (first
 key, offset, length), and the list of index files with their first keys is the level above. A lookup searches the
-files, then the directory, then the block by halves, and reads only a range of the archive.
+files, then the directory, then the block by halves, and reads only a range of the archive. Whole tables are looked up in
+the order of their keys, so a task reads each block once, and ranges are read archive by archive in order of place.
 Of records with equal payloads one holds the payload; the others are revisits that refer to it.
 """
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import cut, put_file, read_range, steps, store, task_name, work_path
+from millrace.llm._common import cut, put_file, read_range, steps, store, task_name
 
 ARCHIVE_BYTES, BLOCK_LINES, SALTS = 16 << 20, 256, 32
 TAIL = 12  # offset (8 bytes) and length (4) of the directory, at an index file's end
@@ -45,7 +46,7 @@ def line_safe(url: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, refers_url: str | None = None) -> bytes:
     """A response, or a revisit if it refers to another page: then the payload itself stays out."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + (payload if refers_to is None else b"")
@@ -54,7 +55,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
         f"WARC-Payload-Digest: sha1:{digest_of(payload)}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Refers-To-Target-URI: {line_safe(refers_url or '')}", f"WARC-Refers-To-Date: {DATE}", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -81,16 +82,17 @@ def parse(data: bytes) -> dict:
 
 
 def referred(pages: DataFrame, id_col: str, payload: Column, least_bytes: int = 0) -> DataFrame:
-    """pages with refers_to: the largest id of those with the same payload, null for that one itself and for payloads under least_bytes.
+    """pages with refers_to and refers_url: the largest id of those with the same payload and its url, null for that one itself and for payloads under least_bytes.
 
     A payload that a third of all rows share is counted by salted parts first, so no task joins all of its rows.
     """
     salted = pages.withColumns({"__digest": F.concat(F.sha1(payload), F.lpad(F.length(payload).cast("string"), 12, "0")), "__salt": F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS))})
-    parts = salted.groupBy("__digest", "__salt").agg(F.max(id_col).alias("__most"))
-    whole = parts.groupBy("__digest").agg(F.max("__most").alias("__holder"))
+    parts = salted.groupBy("__digest", "__salt").agg(F.max(F.struct(id_col, "url")).alias("__most"))
+    whole = parts.groupBy("__digest").agg(F.max("__most").alias("__most")).select("__digest", F.col(f"__most.{id_col}").alias("__holder"), F.col("__most.url").alias("__holder_url"))
     holders = parts.select("__digest", "__salt").join(whole, "__digest")
-    refers = F.when((F.col("__holder") != F.col(id_col)) | F.col(id_col).isNull(), F.when(F.length(payload) >= least_bytes, F.col("__holder")))
-    return salted.join(holders, ["__digest", "__salt"]).withColumn("refers_to", refers).drop("__digest", "__salt", "__holder")
+    other = ((F.col("__holder") != F.col(id_col)) | F.col(id_col).isNull()) & (F.length(payload) >= least_bytes) & F.col("__holder").isNotNull()
+    found = salted.join(holders, ["__digest", "__salt"]).withColumns({"refers_to": F.when(other, F.col("__holder")), "refers_url": F.when(other, F.col("__holder_url"))})
+    return found.drop("__digest", "__salt", "__holder", "__holder_url")
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, out: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -113,16 +115,16 @@ def write_archives(spark: SparkSession, pages: DataFrame, out: str, least_bytes:
             return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*done), (pa.string(), pa.int64(), pa.int64(), pa.int64()))), pa.array([path] * len(done))], names=["key", "page_id", "offset", "length", "path"])
 
         for part in steps(batches, "payload"):
-            for page_id, url, payload, refers_to in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "payload", "refers_to"))):
-                data = member(record(page_id, url, payload, refers_to))
-                lines.append((sort_key(url), page_id, len(held), len(data)))
+            for page_id, url, payload, refers_to, refers_url in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "payload", "refers_to", "refers_url"))):
+                data = member(record(page_id, url, payload, refers_to, refers_url))
+                lines.append((line_safe(sort_key(url)), page_id, len(held), len(data)))
                 held += data
                 if len(held) >= ARCHIVE_BYTES:
                     yield close()
         if lines:
             yield close()
 
-    lines = cut(spark, referred(rows, "page_id", F.col("payload"), least_bytes).select("page_id", "url", "payload", "refers_to").mapInArrow(archive, "key string, page_id long, offset long, length long, path string"), "warc-lines")
+    lines = cut(spark, referred(rows, "page_id", F.col("payload"), least_bytes).select("page_id", "url", "payload", "refers_to", "refers_url").mapInArrow(archive, "key string, page_id long, offset long, length long, path string"), "warc-lines")
 
     def index(batches):
         path, held, blocks, waiting = f"{out}/index/{task_name()}.cdxj.z", bytearray(), [], []
@@ -135,7 +137,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, out: str, least_bytes:
 
         for b in batches:
             for row in b.to_pylist():
-                waiting.append((line_safe(row.pop("key")), row))
+                waiting.append((row.pop("key"), row))
                 if len(waiting) == BLOCK_LINES:
                     close()
         if waiting:
@@ -146,7 +148,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, out: str, least_bytes:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*blocks), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["first_key", "path", "offset", "length", "lines"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = lines.repartitionByRange(n, "key", "page_id").sortWithinPartitions("key", "page_id")
+    ordered = lines.repartitionByRange(n, "key", "page_id", "path", "offset").sortWithinPartitions("key", "page_id")
     return cut(spark, ordered.mapInArrow(index, "first_key string, path string, offset long, length long, lines long"), "warc-directory")
 
 
@@ -154,55 +156,102 @@ def lines_of(data: bytes) -> list[tuple[str, dict]]:
     return [(k, json.loads(x)) for k, _, x in (line.partition(" ") for line in zlib.decompress(data).decode().split("\n"))]
 
 
-def read_archives(spark: SparkSession, directory: DataFrame) -> DataFrame:
-    """url, page_id, record_type, payload_bytes, payload_digest, refers_to of every record, block by block of the index, by ranges of the archives."""
+def read_archives(spark: SparkSession, directory: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """url, page_id, record_type, payload_bytes, payload_digest, refers_to of every record of each different URL in urls.
+
+    The URLs' keys are sorted over the whole table. Each is searched by halves in the list of index files, in the file's
+    block directory and in the block; neighbours mostly find both still open. What is found (places in archives) is
+    brought together by archive and read by ranges in order. A null url is an empty one; an URL that the archives do not
+    have gives no row.
+    """
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
     types = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "refers_to": pa.int64()}
+    index = CaptureIndex(directory)
 
-    def run(batches):
+    @F.arrow_udf("string")
+    def key_of(given: pa.Array) -> pa.Array:
+        return pa.array([line_safe(sort_key(u)) for u in given.to_pylist()], pa.string())
+
+    def files_of(batches):
         for b in batches:
+            pairs = [(f, key) for key in b.column("key").to_pylist() for f in index.files(key)]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in pairs], pa.int32()), pa.array([k for _, k in pairs], pa.string())], names=["file", "key"])
+
+    def locate(batches):
+        names, types_ = ("path", "offset", "length"), (pa.string(), pa.int64(), pa.int64())
+        for b in batches:
+            places = []
+            for f, key in zip(b.column("file").to_pylist(), b.column("key").to_pylist()):
+                for lines in index.lines(f, key):
+                    places += [[x[c] for c in names] for x in lines]
+                    if len(places) >= 8192:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*places), types_)], names=names)
+                        places = []
+            if places:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*places), types_)], names=names)
+
+    def read(batches):
+        name, opened = None, None
+        for b in batches:
+            rows, held = [], 0
             for path, offset, length in zip(*(b.column(c).to_pylist() for c in ("path", "offset", "length"))):
-                wanted = sorted((x["path"], x["offset"], x["length"]) for _, x in lines_of(read_range(path, offset, length)))
-                rows, opened, name = [], None, None
-                for archive, at, n in wanted:
-                    if archive != name:
-                        if opened:
-                            opened.close()
-                        files, where = store(archive)
-                        opened, name = files.open_input_file(where), archive
-                    rows.append(parse(opened.read_at(n, at)))
-                opened.close()
+                if path != name:
+                    if opened:
+                        opened.close()
+                    files, where = store(path)
+                    name, opened = path, files.open_input_file(where)
+                found = parse(opened.read_at(length, offset))
+                held += len(found.pop("payload") or b"")
+                rows.append(found)
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in types.items()], names=list(types))
+        if opened:
+            opened.close()
 
-    return directory.select("path", "offset", "length").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(run, schema)
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = urls.select(key_of(F.coalesce(F.col(url_col).cast("string"), F.lit(""))).alias("key")).distinct()
+    # a key that very many records have stands in many index files, each of which is searched by itself
+    searched = keys.mapInArrow(files_of, "file int, key string").repartitionByRange(n, "file", "key").sortWithinPartitions("file", "key")
+    places = searched.mapInArrow(locate, "path string, offset long, length long")
+    return places.repartition(n, "path").sortWithinPartitions("path", "offset").mapInArrow(read, schema)
 
 
 class CaptureIndex:
-    """Lookups of single URLs. files: (first key, path) of the index files, in order of their keys."""
+    """Lookups of URLs by halves. It holds the first key and path of each index file, one for a task that wrote any, and the directory and block last used."""
 
     def __init__(self, directory: DataFrame):
         found = directory.groupBy("path").agg(F.min("first_key").alias("k")).orderBy("k", "path").collect()
         self.firsts, self.paths = [r["k"] for r in found], [r["path"] for r in found]
-
-    def blocks(self, path: str) -> list:
-        files, at = store(path)
-        size = files.get_file_info(at).size
-        tail = read_range(path, size - TAIL, TAIL)
-        return json.loads(zlib.decompress(read_range(path, int.from_bytes(tail[:8], "big"), int.from_bytes(tail[8:], "big"))))
+        self.directory: tuple = (None, None, None)  # path, first keys, (offset, length) of its blocks
+        self.block: tuple = (None, None, None)  # place, keys, lines
+
+    def blocks(self, path: str) -> tuple[list[str], list[tuple[int, int]]]:
+        if self.directory[0] != path:
+            files, at = store(path)
+            size = files.get_file_info(at).size
+            tail = read_range(path, size - TAIL, TAIL)
+            found = json.loads(zlib.decompress(read_range(path, int.from_bytes(tail[:8], "big"), int.from_bytes(tail[8:], "big"))))
+            self.directory = (path, [b[0] for b in found], [(b[1], b[2]) for b in found])
+        return self.directory[1:]
+
+    def read(self, path: str, offset: int, length: int) -> tuple[list[str], list[dict]]:
+        if self.block[0] != (path, offset):
+            lines = lines_of(read_range(path, offset, length))
+            self.block = ((path, offset), [k for k, _ in lines], [x for _, x in lines])
+        return self.block[1:]
+
+    def files(self, key: str) -> range:
+        """Numbers of the index files that may have a key."""
+        return range(max(0, bisect.bisect_left(self.firsts, key) - 1), bisect.bisect_right(self.firsts, key))
+
+    def lines(self, f: int, key: str):
+        """The lines of a key in one index file, block by block."""
+        firsts, places = self.blocks(self.paths[f])
+        for b in range(max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)):
+            keys, found = self.read(self.paths[f], *places[b])
+            yield found[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
 
     def find(self, url: str) -> list[dict]:
         """All records of a URL."""
-        key, out = line_safe(sort_key(url)), []
-        for f in range(max(0, bisect.bisect_left(self.firsts, key) - 1), bisect.bisect_right(self.firsts, key)):
-            blocks = self.blocks(self.paths[f])
-            firsts = [b[0] for b in blocks]
-            for b in range(max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)):
-                lines = lines_of(read_range(self.paths[f], blocks[b][1], blocks[b][2]))
-                keys = [k for k, _ in lines]
-                for _, x in lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]:
-                    out.append(parse(read_range(x["path"], x["offset"], x["length"])))
-        return out
-
-
-def new_folder(spark: SparkSession) -> str:
-    return work_path(spark, "warc")
+        key = line_safe(sort_key(url))
+        return [parse(read_range(x["path"], x["offset"], x["length"])) for f in self.files(key) for lines in self.lines(f, key) for x in lines]
