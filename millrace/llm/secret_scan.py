@@ -1,6 +1,6 @@
 """Secret scans: an Aho-Corasick keyword automaton finds places, anchored patterns match only there, embedded checksums confirm.
 
-Base kinds: assign, access, hex. The method adds: github and npm tokens, whose last six characters are the
+Base kinds: assign, access, hex. Hex runs have no keyword: their pattern reads every text. The method adds: github and npm tokens, whose last six characters are the
 CRC-32 of the rest in base 62; jwt, whose head must decode to a JSON object with an algorithm; card, digit runs
 beside a card keyword that hold Luhn's check digit.
 """
@@ -25,7 +25,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of hex digits that are long enough
 GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+RUN = re.compile(r"[A-Za-z0-9_-]*")
 CARD = re.compile(r"card[a-z]{0,8}[ :#=]{1,4}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])", re.I | re.A)
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "card")
 BASE = KINDS[:3]
@@ -46,13 +46,32 @@ def crc_holds(token: str) -> bool:
     return base62(zlib.crc32(body[:-6].encode())) == body[-6:]
 
 
-def jwt_holds(token: str) -> bool:
-    head = token.partition(".")[0]
-    try:
-        found = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except (ValueError, binascii.Error):
-        return False
-    return isinstance(found, dict) and isinstance(found.get("alg"), str)
+def jwt_holds(text: str, at: int, end: int) -> bool:
+    """The head decodes to a JSON object that names an algorithm. A long head is tried by its beginning first: one that is no JSON there is none at all."""
+    for size in (64, 4096, end - at):
+        part = text[at : min(at + size, end)]
+        whole = at + len(part) == end
+        try:
+            read = base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)).decode("utf-8", "strict" if whole else "replace")
+            found = json.loads(read)
+        except json.JSONDecodeError as e:
+            if not whole and (e.pos >= len(read) - 8 or e.msg.startswith("Unterminated string")):
+                continue
+            return False
+        except (ValueError, binascii.Error, RecursionError):
+            return False
+        return whole and isinstance(found, dict) and isinstance(found.get("alg"), str)
+    return False
+
+
+def jwt_ends(text: str, at: int) -> tuple[int, int | None]:
+    """Where the run of characters ends in which a head stands here, and where the token ends; None if no two parts follow the run."""
+    ends = [RUN.match(text, at).end()]
+    for _ in range(2):
+        if text[ends[-1] : ends[-1] + 1] != "." or (next_end := RUN.match(text, ends[-1] + 1).end()) == ends[-1] + 1:
+            return ends[0], None
+        ends.append(next_end)
+    return ends[0], ends[2]
 
 
 def luhn_holds(digits: str) -> bool:
@@ -85,6 +104,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret, in code points, end exclusive, by start, then kind as listed in KINDS."""
     spans = [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     free = dict.fromkeys(KINDS, 0)  # where the next match of a kind may begin
+    run: tuple[int, int | None] = (0, None)  # the last run in which a head was looked for
     for last, (n, kind) in automaton().iter(lowered(text)):
         at = last - n + 1
         if at < free[kind]:
@@ -103,7 +123,16 @@ def find(text: str) -> list[tuple[str, int, int]]:
             if (m := CARD.match(text, at)) and luhn_holds(m[1]):
                 free[kind] = m.end()
                 spans.append((kind, m.start(1), m.end(1)))
-        elif (m := {"github": GITHUB, "npm": NPM, "jwt": JWT}[kind].match(text, at)) and (jwt_holds if kind == "jwt" else crc_holds)(m[0]):
+        elif kind == "jwt":
+            if at >= run[0]:
+                run = jwt_ends(text, at)
+            end, whole = run
+            if whole is None:  # nor for any head that begins later in this run
+                free[kind] = end
+            elif text.startswith("eyJ", at) and at + 3 < end and jwt_holds(text, at, end):
+                free[kind] = whole
+                spans.append((kind, at, whole))
+        elif (m := {"github": GITHUB, "npm": NPM}[kind].match(text, at)) and crc_holds(m[0]):
             free[kind] = m.end()
             spans.append((kind, at, m.end()))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
