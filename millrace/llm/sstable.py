@@ -271,7 +271,9 @@ def write_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, out: str,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["part", "roll", "path", "first_id", "last_id", "n_docs", "n_tokens", "before"])
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = text_of(docs, id_col, text_col).repartitionByRange(n, id_col).sortWithinPartitions(F.asc_nulls_first(id_col), text_col)
+    # rows without id, or of one id, are ranged by the beginning of their text, and equal ones by where they were read
+    ranged = text_of(docs, id_col, text_col).withColumns({"__front": F.substring(text_col, 1, 24), "__read": F.spark_partition_id()})
+    ordered = ranged.repartitionByRange(n, F.asc_nulls_first(id_col), "__front", "__read").sortWithinPartitions(F.asc_nulls_first(id_col), text_col).drop("__front", "__read")
     return cut(spark, ordered.mapInArrow(run, "part int, roll int, path string, first_id long, last_id long, n_docs long, n_tokens long, before long"), "sst-manifest")
 
 
