@@ -14,9 +14,9 @@ from millrace.llm._common import table, work_path
 
 def op1_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = mpeg_audio.store_media(table(spark, sf_dir, "documents"))
-    read = mpeg_audio.read_media(media, columns="payload binary, duration_samples long, sample_rate int, frames long, feature string")
+    read = mpeg_audio.read_media(media, columns="payload binary, duration_samples long, sample_rate int, frames long, seek_offsets array<long>, crc_good long, crc_bad long, feature string")
     tail = F.expr("substring(payload, length(payload) - 15, 16)")
-    return read.select("doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(tail).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", "duration_samples", "sample_rate", "frames")
+    return read.select("doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(tail).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", "duration_samples", "sample_rate", "frames", "seek_offsets", "crc_good", "crc_bad")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op3_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @functools.lru_cache(1)
 def url_model() -> tuple[int, list[int]]:
-    return url_filter.train(url_filter.labelled_urls())
+    return url_filter.train(url_filter.labelled_urls(held_out=False))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +54,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    directory = capture_index.write_archives(spark, table(spark, sf_dir, "pages"), work_path(spark, "warc"))
-    return capture_index.read_archives(spark, directory).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    pages = table(spark, sf_dir, "pages")
+    directory = capture_index.write_archives(spark, pages, work_path(spark, "warc"))
+    return capture_index.read_archives(spark, directory, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
