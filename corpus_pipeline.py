@@ -28,7 +28,7 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark text."""
-    leaks = decontamination.leaks(table(spark, sf_dir, "benchmark"))
+    leaks = decontamination.leaks(spark, table(spark, sf_dir, "benchmark"))
     return docs.where(~F.coalesce(leaks, F.lit(False)))
 
 
