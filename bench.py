@@ -10,7 +10,7 @@ import time
 from millrace.plans.queries import QUERIES
 from millrace.session import session
 
-HEADLINE = ("source_health", "backlog_partition", "merge_items", "near_duplicates", "fingerprint", "unchunked_items", "oa_queue", "vector_topk", "bm25_topk", "keyword_scan", "inverted_index", "benchmark_overlap", "db_stats_corrected", "url_normalize", "give_up_domains", "chunk_documents")
+HEADLINE = ("source_health", "backlog_partition", "merge_items", "near_duplicates", "fingerprint", "unchunked_items", "oa_queue", "vector_topk", "bm25_topk", "keyword_scan", "keyword_lookup", "inverted_index", "vector_topk_many", "ann_topk", "db_stats_corrected", "url_normalize", "give_up_domains", "chunk_documents")
 
 
 def main() -> None:

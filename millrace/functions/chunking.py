@@ -1,92 +1,66 @@
-"""Texts into overlapping chunks.
+"""Texts into overlapping chunks, as Spark expressions.
 
-Paragraphs (blank lines between) are the segments; a paragraph over the most tokens falls into sentences. Segments are
-gathered until the next would pass the most; the chunk after begins with the last 15 % of its words. A segment that
-alone passes the most is a chunk by itself. Chunks under half the least join the one before.
+A text's segments are its paragraphs (blank lines between), those over the most tokens cut into sentences. One fold over
+the segments closes a chunk where the next segment would pass the most; the chunk after it begins with the last 15 % of
+its words. A segment that alone passes the most is a chunk by itself. A second fold joins chunks under half the least to
+the one before.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import estimate_tokens, overlap_prefix, words
+
 LEAST, MOST, OVERLAP = 400, 1000, 0.15
+PARAGRAPHS, SENTENCES, EDGES = r"\n\n+", r"(?U)(?<=[.!?])\s+", r"(?U)^\s+|\s+$"
+NO_TEXTS = "array<string>"
 
 
-def tokens(text: str) -> int:
-    return 4 * len(text.split()) // 3
-
-
-def tail(text: str, share: float = OVERLAP) -> str:
-    words = text.split()
-    return " ".join(words[-max(1, int(len(words) * share)) :]) if words else ""
-
-
-def segments(text: str, most: int) -> Iterable[str]:
-    for paragraph in re.split(r"\n\n+", text):
-        paragraph = paragraph.strip()
-        if not paragraph:
-            continue
-        if tokens(paragraph) > most:
-            yield from (s for s in re.split(r"(?<=[.!?])\s+", paragraph) if s.strip())
-        else:
-            yield paragraph
-
-
-def chunk_text(text: str | None, least: int = LEAST, most: int = MOST) -> list[str]:
-    if not text or not text.strip():
-        return []
-    done: list[str] = []
-    held: list[str] = []
-    size = 0
-    for segment in segments(text, most):
-        n = tokens(segment)
-        if n > most:
-            if held:
-                done.append(" ".join(held))
-            done.append(segment)
-            held, size = [], 0
-            continue
-        if held and size + n > most:
-            done.append(" ".join(held))
-            carried = tail(done[-1])
-            held, size = [carried] if carried else [], tokens(carried)
-        held.append(segment)
-        size += n
-    if held:
-        done.append(" ".join(held))
-    out: list[str] = []
-    for chunk in done:
-        if out and tokens(chunk) < least // 2:
-            out[-1] = f"{out[-1]} {chunk}"
-        else:
-            out.append(chunk)
-    return out
+def segments(text: Column, most: int = MOST) -> Column:
+    """array of (s, n): the segments of a text with their tokens."""
+    whole = F.filter(F.transform(F.split(text, PARAGRAPHS), lambda p: F.regexp_replace(p, EDGES, "")), lambda p: p != "")
+    parts = F.flatten(F.transform(whole, lambda p: F.when(estimate_tokens(p) > most, F.filter(F.split(p, SENTENCES), lambda s: F.size(words(s)) > 0)).otherwise(F.array(p))))
+    return F.transform(parts, lambda s: F.struct(s.alias("s"), estimate_tokens(s).alias("n")))
 
 
-def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """array of strings; empty for a blank or null text."""
+def gathered(parts: Column, most: int = MOST) -> Column:
+    """array of chunks from segments: `open` is the chunk that is not closed yet, of `size` tokens (0: there is none)."""
+    none = F.array().cast(NO_TEXTS)
 
-    @F.arrow_udf("array<string>")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([chunk_text(t, least, most) for t in texts.to_pylist()], pa.list_(pa.string()))
+    def step(state: Column, part: Column) -> Column:
+        alone = part["n"] > most
+        closes = (state["size"] > 0) & (alone | (state["size"] + part["n"] > most))
+        kept = F.when(closes, overlap_prefix(state["open"], OVERLAP)).otherwise(state["open"])
+        grown = F.when(state["size"] > 0, F.concat(kept, F.lit(" "), part["s"])).otherwise(part["s"])
+        return F.struct(
+            F.concat(state["done"], F.when(closes, F.array(state["open"])).otherwise(none), F.when(alone, F.array(part["s"])).otherwise(none)).alias("done"),
+            F.when(alone, F.lit("")).otherwise(grown).alias("open"),
+            F.when(alone, F.lit(0)).otherwise(part["n"] + F.when(closes, estimate_tokens(kept)).otherwise(state["size"])).alias("size"),
+        )
 
-    return run(text)
+    start = F.struct(none.alias("done"), F.lit("").alias("open"), F.lit(0).alias("size"))
+    return F.aggregate(parts, start, step, lambda state: F.when(state["size"] > 0, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]))
 
 
-def chunk_sections(sections: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """From an array of (heading, level, text): array of (heading, chunk), each chunk with its heading in front."""
+def without_small(parts: Column, least: int = LEAST) -> Column:
+    """Chunks under half the least tokens joined to the one before, wherever they stand."""
+    small = lambda c: estimate_tokens(c) < least // 2
+    joined = lambda out, c: F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.concat(F.element_at(out, -1), F.lit(" "), c)))
+    return F.aggregate(parts, F.array().cast(NO_TEXTS), lambda out, c: F.when((F.size(out) > 0) & small(c), joined(out, c)).otherwise(F.concat(out, F.array(c))))
 
-    @F.arrow_udf("array<struct<heading:string,chunk:string>>")
-    def run(lists: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("heading", pa.string()), ("chunk", pa.string())]))
-        return pa.array([[{"heading": s["heading"], "chunk": f"[{s['heading']}] {c}" if s["heading"] else c} for s in row or [] for c in chunk_text(s["text"], least, most)] for row in lists.to_pylist()], kind)
 
-    return run(sections)
+def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
+    """array of strings; empty for a blank or null text."""
+    return without_small(gathered(segments(F.coalesce(text, F.lit("")), most), most), least)
+
+
+def chunk_sections(sections: Column, least: int = LEAST, most: int = MOST) -> Column:
+    """From an array of (heading, level, text): array of (heading, chunk), each chunk with its heading in front."""
+    front = lambda s: F.when(F.coalesce(s["heading"], F.lit("")) != "", F.concat(F.lit("["), s["heading"], F.lit("] "))).otherwise("")
+    each = F.transform(sections, lambda s: F.transform(chunks(s["text"], least, most), lambda c: F.struct(s["heading"].alias("heading"), F.concat(front(s), c).alias("chunk"))))
+    return F.flatten(F.coalesce(each, F.array().cast("array<array<struct<heading:string,chunk:string>>>")))
 
 
 def with_chunks(items: DataFrame, body: str = "content_body", **sizes: int) -> DataFrame:

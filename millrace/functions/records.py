@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # What a catalog entry may say.
 SOURCE_TYPES = ("official_health", "academic", "hospital", "nonprofit", "community", "news", "social")
 AUDIENCES = ("parent_facing", "clinician_facing", "mixed", "research")
-DOMAIN_TAGS = ("sleep", "eating", "behavioral", "adhd", "autism")
+DOMAIN_TAGS = ("sleep", "eating", "behavioral", "adhd", "general")
 #: Days until a failed request is tried again, by reason; any other reason is never tried again.
 RETRY_DAYS = {"http_403": 30, "fetch_failed": 1, "extract_failed": 1, "classifier_unavailable": 1}
 STATUS_OF_REASON = {"http_404": 404, "http_403": 403}
@@ -88,12 +88,12 @@ def auto_key(domain: Column) -> Column:
 
 def auto_entry(domain: Column, v: Column, tags: Column) -> Column:
     """A catalog entry as JSON for a domain that was promoted."""
-    return F.to_json(F.struct(auto_key(domain).alias("key"), F.lit("html_crawl").alias("platform"), F.lit(1).alias("enabled"), F.struct(F.concat(F.lit("https://"), domain).alias("base_url")).alias("config"), v["tier"].alias("authority_tier"), v["source_type"].alias("source_type"), v["audience_type"].alias("audience_type"), tags.alias("domain_tags")))
+    return F.to_json(F.struct(auto_key(domain).alias("key"), F.lit("html_pages").alias("platform"), F.lit(1).alias("enabled"), F.struct(F.concat(F.lit("https://"), domain).alias("base_url")).alias("config"), v["tier"].alias("authority_tier"), v["source_type"].alias("source_type"), v["audience_type"].alias("audience_type"), tags.alias("domain_tags")))
 
 
 def entry_is_valid(key: Column, platform: Column, tier: Column, config: Column) -> Column:
     base = F.get_json_object(config, "$.base_url")
-    return F.coalesce((key != "") & tier.isin(1, 2) & (platform == "html_crawl") & (base != ""), F.lit(False))
+    return F.coalesce((key != "") & tier.isin(1, 2) & (platform == "html_pages") & (base != ""), F.lit(False))
 
 
 def tabular_text(rows: Column, most_rows: int = 10, most_columns: int = 5) -> Column:

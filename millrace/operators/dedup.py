@@ -7,29 +7,38 @@ named as its original. Duplicates are linked, never dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+import re
+from collections import Counter
 
-from millrace.functions.text import words
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 MOST, SAMPLE, LEAST, OVER, SHORTEST = 50, 10, 10, 0.70, 100
+OTHER = re.compile(r"[^a-z0-9\s]")
+
+
+def frequent_runs(text: str | None, n: int = 3, most: int = MOST) -> list[str] | None:
+    """The most frequent runs of n words of a text, ties by first appearance; null for one under SHORTEST characters."""
+    if text is None or len(text) < SHORTEST:
+        return None
+    words = OTHER.sub("", text.lower()).split()
+    return [" ".join(run) for run, _ in Counter(zip(*(words[k:] for k in range(n)))).most_common(most)]
+
+
+def fingerprint(text: Column) -> Column:
+    """frequent_runs() as a column: all counting stays within the row, so no run is ever shuffled."""
 
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([frequent_runs(t) for t in texts.to_pylist()], pa.list_(pa.string()))
 
-def with_runs(rows: DataFrame, text: str, n: int = 3, to: str = "runs") -> DataFrame:
-    """rows with all runs of n words of a text, in order, as strings. The words are a column first: inside the lambda they would be split anew for every run. For the same reason
-    such a column is exploded by the outer form: for the other one Spark puts a filter with the whole expression below."""
-    each = F.transform(F.sequence(F.lit(1), F.size("__words") - (n - 1)), lambda i: F.array_join(F.slice("__words", i, n), " "))
-    worded = rows.withColumn("__words", words(F.regexp_replace(F.lower(text), r"(?U)[^a-z0-9\s]", "")))
-    return worded.withColumn(to, F.when(F.size("__words") >= n, each).otherwise(F.array().cast("array<string>"))).drop("__words")
+    return run(text)
 
 
 def fingerprints(items: DataFrame, key: str = "id", body: str = "content_body") -> DataFrame:
     """key, fingerprint (array, most frequent first) for items with at least 100 characters and one run."""
-    each = with_runs(items.where(F.length(body) >= SHORTEST).select(key, body), body).select(key, F.posexplode_outer("runs").alias("at", "run")).where("run IS NOT NULL")
-    counted = each.groupBy(key, "run").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "at"))
-    top = counted.withColumn("place", place).where(F.col("place") <= MOST)
-    return top.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "run"))), lambda x: x["run"]).alias("fingerprint"))
+    return items.select(key, fingerprint(F.col(body)).alias("fingerprint")).where(F.size("fingerprint") > 0)
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -39,20 +48,22 @@ def overlap(a: Column, b: Column) -> Column:
 def near_duplicates(prints: DataFrame, key: str = "id") -> DataFrame:
     """key, original, for every item that has an earlier near-duplicate. prints: what fingerprints() returns.
 
-    Candidate pairs meet on single runs; how many runs two share in the join is then counted on ids alone, and only
-    pairs are joined to their fingerprints.
+    Items with the same fingerprint are one group, so copies make no pairs. Two fingerprints that overlap by more than
+    0.7 have seven tenths of the larger in common: each has one of the common runs among its rarest three tenths and one.
+    Groups meet on those runs only (64-bit hashes, rarest first, sizes compared in the join), so a run that very many
+    items share brings none of them together; that finds every pair, and each is then held to the full rule.
     """
-    big = prints.where(F.size("fingerprint") >= LEAST)
-    mine = big.select(F.col(key).alias("__a"), F.explode(F.slice("fingerprint", 1, SAMPLE)).alias("run"))
-    others = prints.select(F.col(key).alias("__b"), F.explode("fingerprint").alias("run"))
-    pairs = mine.join(others, "run").where(F.col("__b") < F.col("__a")).select("__a", "__b").distinct()
-    a, b = prints.select(F.col(key).alias("__a"), F.col("fingerprint").alias("__pa")), prints.select(F.col(key).alias("__b"), F.col("fingerprint").alias("__pb"))
-    close = pairs.join(a, "__a").join(b, "__b").where(overlap(F.col("__pa"), F.col("__pb")) > OVER)
-    return close.groupBy(F.col("__a").alias(key)).agg(F.min("__b").alias("original"))
-
-
-def shared_runs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_text: str, right_text: str, n: int = 3) -> DataFrame:
-    """How many different runs two tables' texts share, for every pair that shares any."""
-    a = with_runs(left, left_text, n).select(left_key, F.explode_outer(F.array_distinct("runs")).alias("run")).where("run IS NOT NULL")
-    b = with_runs(right, right_text, n).select(right_key, F.explode_outer(F.array_distinct("runs")).alias("run")).where("run IS NOT NULL")
-    return a.join(b, "run").groupBy(left_key, right_key).agg(F.count("*").alias("shared"))
+    hashed = prints.select(key, F.transform("fingerprint", lambda r: F.xxhash64(r)).alias("runs"))
+    named = hashed.withColumn("print", F.sha2(F.array_join("runs", ",").cast("binary"), 256))
+    groups = named.groupBy("print").agg(F.min(key).alias("least"), F.first("runs").alias("runs"))
+    entries = groups.select("print", F.size("runs").alias("n"), F.explode("runs").alias("run"))
+    often = entries.groupBy("run").agg(F.count("*").alias("often")).where("often > 1")
+    # runs of one group bring nobody together, but they come first among the rare ones
+    ordered = entries.join(often, "run", "left").groupBy("print", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "run"))).alias("by"))
+    rare = ordered.select("print", "n", F.explode(F.slice("by", F.lit(1), F.col("n") - F.ceil(F.col("n") * OVER).cast("int") + 1)).alias("at")).where("at.often > 1").select("print", "n", F.col("at.run").alias("run"))
+    other = rare.toDF("other", "m", "run")
+    pairs = rare.join(other, "run").where((F.col("print") != F.col("other")) & (F.least("n", "m") > F.lit(OVER) * F.greatest("n", "m"))).select("print", "other").distinct()
+    full = pairs.join(groups.select("print", "runs"), "print").join(groups.select(F.col("print").alias("other"), F.col("least").alias("other_least"), F.col("runs").alias("other_runs")), "other")
+    good = full.where((F.size("runs") >= LEAST) & F.arrays_overlap(F.slice("runs", 1, SAMPLE), "other_runs") & (overlap(F.col("runs"), F.col("other_runs")) > OVER))
+    best = good.select("print", F.col("other_least").alias("original")).union(groups.where(F.size("runs") >= LEAST).select("print", "least")).groupBy("print").agg(F.min("original").alias("original"))
+    return named.select(key, "print").join(best, "print").where(F.col("original") < F.col(key)).select(key, "original")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import behind_paywall, passes_extraction, strip_nul
-from millrace.functions.urls import is_pdf_url, on_domain
+from millrace.functions.urls import is_pdf_url, normalize_url, on_domain
 from millrace.operators.state import GIVE_UP_ATTEMPTS, may_promote
 
 PMC = r"(?i)pmc\.ncbi\.nlm\.nih\.gov/articles/PMC(\d+)"
@@ -101,3 +101,9 @@ def with_bodies(items: DataFrame, texts: DataFrame, key: str = "url") -> DataFra
 
 def outcome_counts(batch: DataFrame) -> DataFrame:
     return batch.groupBy("action").agg(F.count("*").alias("n"))
+
+
+def with_known(links: DataFrame, items: DataFrame, url: str = "url") -> DataFrame:
+    """links with known: whether an item has the link's URL in its canonical form."""
+    stored = items.select(normalize_url(F.col("url")).alias("__url")).distinct().withColumn("__known", F.lit(True))
+    return links.withColumn("__url", normalize_url(F.col(url))).join(stored, "__url", "left").withColumn("known", F.coalesce("__known", F.lit(False))).drop("__url", "__known")

@@ -25,8 +25,8 @@ SEQ = "__seq"
 
 
 def union_tags(tags: Column) -> Column:
-    """Aggregate: the union of arrays, sorted; null if there is none at all."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(tags))))
+    """Aggregate: the union of arrays, sorted; null if there is none at all. Equal arrays are held once, so a key with very many rows holds what it has of different ones."""
+    return F.array_sort(F.array_distinct(F.flatten(F.nullif(F.collect_set(F.array_sort(tags)), F.array().cast("array<array<string>>")))))
 
 
 def by_policy(name: str, policy: str, order: Column) -> Column:
@@ -107,7 +107,7 @@ def refresh_surfaces(stored: DataFrame, catalog: DataFrame) -> DataFrame:
     over = F.map_concat(F.coalesce(F.from_json("__config_json", JSON_MAP), F.create_map().cast(JSON_MAP)), F.coalesce(F.from_json("overrides_json", JSON_MAP), F.create_map().cast(JSON_MAP)))
     config = F.when(F.col("overrides_json").isNull(), F.col("__config_json")).otherwise(F.to_json(over))
     new = {c: F.when(F.col("__in_file"), config if c == "config_json" else F.col(f"__{c}")).otherwise(F.col(c)) for c in CONFIG_COLUMNS}
-    new |= {"force_recrawl": F.coalesce("force_recrawl", F.lit(False)), "consecutive_fails": F.coalesce("consecutive_fails", F.lit(0))}
+    new |= {"force_run": F.coalesce("force_run", F.lit(False)), "consecutive_fails": F.coalesce("consecutive_fails", F.lit(0))}
     return both.withColumns(new).select(*stored.columns)
 
 
@@ -119,15 +119,17 @@ def merge_blocked(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def insert_absent(stored: DataFrame, incoming: DataFrame, *key: str) -> DataFrame:
-    """stored with the incoming rows whose key it lacks; of several incoming rows of a key any one."""
-    fresh = incoming.dropDuplicates(list(key)).join(stored.select(*key), list(key), "left_anti")
-    return stored.unionByName(fresh.select(*stored.columns))
+    """stored with the incoming rows whose key it lacks; of several incoming rows of a key the first in the order of their columns."""
+    rest = [c for c in stored.columns if c not in key]
+    fresh = incoming.join(stored.select(*key), list(key), "left_anti")
+    one = fresh.groupBy(*key).agg(F.min(F.struct(*rest)).alias("row")).select(*key, "row.*") if rest else fresh.select(*key).distinct()
+    return stored.unionByName(one.select(*stored.columns))
 
 
 def replace_chunks(stored: DataFrame, new: DataFrame, rechunked: DataFrame) -> DataFrame:
     """Chunks after a pass: those of re-chunked items give way, then new ones come in where (item, index) is free."""
-    kept = stored.join(rechunked.select("crawled_item_id").distinct(), "crawled_item_id", "left_anti")
-    return insert_absent(kept.select(*stored.columns), new, "crawled_item_id", "chunk_index")
+    kept = stored.join(rechunked.select("parent_item_id").distinct(), "parent_item_id", "left_anti")
+    return insert_absent(kept.select(*stored.columns), new, "parent_item_id", "chunk_index")
 
 
 def cache_put(stored: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def to_chunk(items: DataFrame, chunks: DataFrame, n: int = 200) -> DataFrame:
     """Items to chunk again, then items with a body that have no chunk but a summary; an item in both comes once, in the first pass."""
     newest = lambda df, k: df.select("id", "collected_at", F.lit(k).alias("pass")).orderBy(F.desc_nulls_last("collected_at"), "id").limit(n)
     again = newest(items.where("needs_rechunk AND content_body IS NOT NULL AND content_body <> ''"), 0)
-    done = chunks.where("NOT is_summary").select(F.col("crawled_item_id").alias("id")).distinct()
+    done = chunks.where("NOT is_summary").select(F.col("parent_item_id").alias("id")).distinct()
     fresh = newest(items.where("content_body IS NOT NULL AND content_body <> ''").join(done, "id", "left_anti"), 1)
     first = F.row_number().over(Window.partitionBy("id").orderBy("pass"))
     return again.unionByName(fresh).withColumn("__rn", first).where("__rn = 1").drop("__rn")
@@ -93,7 +93,7 @@ def claim(requests: DataFrame, as_of: Column, n: int = 50) -> DataFrame:
 
 def due_sources(surfaces: DataFrame, as_of: Column) -> DataFrame:
     elapsed = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("last_run_at").cast("timestamp"))
-    return surfaces.where(F.col("enabled") & (F.col("force_recrawl") | F.col("last_run_at").isNull() | (elapsed >= F.col("poll_interval_sec").cast("long") * 1_000_000)))
+    return surfaces.where(F.col("enabled") & (F.col("force_run") | F.col("last_run_at").isNull() | (elapsed >= F.col("poll_interval_sec").cast("long") * 1_000_000)))
 
 
 def newest_entries(feed: DataFrame, cursor: str | None, n: int) -> DataFrame:
@@ -112,3 +112,9 @@ def next_pair(pairs: DataFrame, last_index: int) -> DataFrame:
     """The pair after the last one, around the end."""
     n = pairs.agg(F.count("*").alias("__n"))
     return pairs.join(n).where(F.col("index") == F.pmod(F.lit(last_index + 1), F.col("__n"))).drop("__n")
+
+
+def best_sources(surfaces: DataFrame) -> DataFrame:
+    """The source whose metadata holds for a domain: of several the one of the lowest tier, then the first by key. Sources without a tier say nothing."""
+    best = surfaces.where(F.col("authority_tier").isNotNull() & F.col("domain").isNotNull()).groupBy("domain").agg(F.min_by(F.struct(*surfaces.columns), F.struct("authority_tier", "key")).alias("best"))
+    return best.select("best.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,60 +37,154 @@ def vector_topk(vectors: DataFrame, query: list[float], k: int = 10, id_col: str
     return vectors.where(F.col(vector_col).isNotNull()).select(id_col, F.round(cosine(F.col(vector_col), q), 6).alias("score")).where("score IS NOT NULL").orderBy(F.desc("score"), id_col).limit(k)
 
 
-def vector_topk_many(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id", vector_col: str = "embedding", block: int = 1000) -> DataFrame:
-    """query_id, id, score, rank for a stated set of queries (query_id, query): each block of them against all vectors, the best k a task kept before they meet. queries is a bounded set: more than `block` are taken in blocks."""
-    from functools import reduce
+def slices(vectors: DataFrame, id_col: str, vector_col: str, lists=None, rows: int = 4096) -> DataFrame:
+    """(list, width, ids, matrix): vectors in groups of one list and width and up to so many rows, their values as bytes of doubles.
+
+    lists: a function from a matrix to (row, list) pairs, which may name a row several times; without one all are in list 0.
+    """
 
-    rows = queries.select("query_id", as_doubles(F.col("query")).alias("query")).orderBy("query_id").collect()
-    outs = []
-    for at in range(0, max(1, len(rows)), block):
-        some = vectors.sparkSession.createDataFrame([(r["query_id"], r["query"]) for r in rows[at : at + block]], "query_id long, query array<double>")
-        scored = vectors.where(F.col(vector_col).isNotNull()).join(F.broadcast(some)).select("query_id", F.col(id_col).alias("id"), F.round(cosine(F.col(vector_col), F.col("query")), 6).alias("score")).where("score IS NOT NULL")
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-        outs.append(scored.withColumn("rank", rank).where(F.col("rank") <= k))
-    return reduce(DataFrame.unionByName, outs)
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                vector, ids = part.column(1).combine_chunks() if isinstance(part.column(1), pa.ChunkedArray) else part.column(1), part.column(0)
+                widths = np.diff(vector.offsets.to_numpy())
+                values = np.asarray(vector.flatten(), dtype=np.float64)
+                starts = np.cumsum(widths) - widths
+                for width in np.unique(widths[widths > 0]).tolist():
+                    own = np.flatnonzero(widths == width)
+                    matrix = values[starts[own][:, None] + np.arange(width)]
+                    row, of = lists(matrix) if lists else (np.arange(len(own)), np.zeros(len(own), np.int64))
+                    for name in np.unique(of).tolist():
+                        some = row[of == name]
+                        yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([width], pa.int32()), pa.array([ids.take(pa.array(own[some])).to_pylist()], pa.list_(pa.int64())), pa.array([matrix[some].tobytes()], pa.binary())], names=["list", "width", "ids", "matrix"])
+
+    return vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")).mapInArrow(run, "list int, width int, ids array<long>, matrix binary")
 
 
-def random_planes(width: int, bits: int, tables: int, seed: int = 7) -> list[list[list[float]]]:
-    import random
+def best_of(pairs: DataFrame, k: int) -> DataFrame:
+    """query_id, id, score, rank: the best k of every query over rows of (width, ids, matrix, query_ids, queries). Each row gives its own best k first."""
+
+    def run(batches):
+        for batch in batches:
+            for width, ids, matrix, query_ids, queries in zip(*(batch.column(c).to_pylist() for c in ("width", "ids", "matrix", "query_ids", "queries"))):
+                v, q = (np.frombuffer(x, np.float64).reshape(-1, width) for x in (matrix, queries))
+                nv, nq = np.linalg.norm(v, axis=1), np.linalg.norm(q, axis=1)
+                use = np.flatnonzero(nv > 0)
+                names, q_out, id_out, s_out = np.array(ids)[use], [], [], []
+                for row in np.flatnonzero(nq > 0):
+                    score = np.round(v[use] @ q[row] / (nv[use] * nq[row]), 6)
+                    near = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k]) if len(score) > k else np.arange(len(score))
+                    near = near[np.lexsort((names[near], -score[near]))][:k]
+                    q_out += [query_ids[row]] * len(near)
+                    id_out += names[near].tolist()
+                    s_out += score[near].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(q_out, pa.int64()), pa.array(id_out, pa.int64()), pa.array(s_out, pa.float64())], names=["query_id", "id", "score"])
+
+    found = pairs.select("width", "ids", "matrix", "query_ids", "queries").mapInArrow(run, "query_id long, id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
-    draw = random.Random(seed)
-    return [[[draw.gauss(0, 1) for _ in range(width)] for _ in range(bits)] for _ in range(tables)]
 
+def query_blocks(queries: DataFrame, lists=None) -> DataFrame:
+    return slices(queries, "query_id", "query", lists, 1024).withColumnsRenamed({"ids": "query_ids", "matrix": "queries"})
 
-def plane_code(v: Column, planes: list[list[float]]) -> Column:
-    """The side of each plane, as bits."""
-    code = F.lit(0).cast("long")
-    for k, p in enumerate(planes):
-        code = code + F.when(dot(v, F.array(*map(F.lit, p))) > 0, 1 << k).otherwise(0)
-    return code
 
+def vector_topk_many(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, id, score, rank: the exact k nearest of each query of a stated set (query_id, query).
 
-def ann_index(vectors: DataFrame, width: int, bits: int = 6, tables: int = 12, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
-    """An approximate index: for every vector a bucket (table, code) in each table of random planes; every vector is in it."""
-    codes = F.array(*(F.struct(F.lit(t).alias("table"), plane_code(F.col(vector_col), p).alias("code")) for t, p in enumerate(random_planes(width, bits, tables))))
-    return vectors.where(F.col(vector_col).isNotNull()).select(id_col, vector_col, F.inline(codes))
+    Both sides are cut into matrices of bounded size; every block of queries meets every slice of vectors, and only the
+    best k of each meeting go on. Nothing is collected, and Spark copies the blocks to all tasks only where it knows them
+    to be small.
+    """
+    return best_of(slices(vectors, id_col, vector_col).crossJoin(query_blocks(queries).drop("list").withColumnRenamed("width", "w")).where("width = w"), k)
 
 
-def ann_topk(index: DataFrame, query: list[float], k: int = 10, bits: int = 6, tables: int = 12, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
-    """The k nearest among the vectors that share a bucket with the query, or one that differs from it in one bit."""
-    planes = random_planes(len(query), bits, tables)
-    wanted = F.lit(False)
-    for t, p in enumerate(planes):
-        code = sum(1 << i for i, plane in enumerate(p) if sum(a * b for a, b in zip(plane, query)) > 0)
-        wanted = wanted | ((F.col("table") == t) & F.col("code").isin(code, *(code ^ 1 << i for i in range(bits))))
-    return vector_topk(index.where(wanted).dropDuplicates([id_col]), query, k, id_col, vector_col)
+def unit(matrix: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(n > 0, n, 1)
 
 
-def terms(text: Column) -> Column:
-    """Words in lower case, without marks and stop words. English stems are not taken: a word is found as it is written."""
-    return F.filter(words(F.regexp_replace(F.lower(text), r"(?U)[^\w]+", " ")), lambda w: ~w.isin(*STOP_WORDS))
+def list_centres(vectors: DataFrame, lists: int = 100, sample: int = 20_000, rounds: int = 8, id_col: str = "id", vector_col: str = "embedding") -> np.ndarray:
+    """Centres of the lists of an index, by k-means on directions. Fitted on at most `sample` vectors, those with the least hashes of their ids."""
+    some = vectors.where(F.col(vector_col).isNotNull()).select(F.col(vector_col).cast("array<double>").alias("v")).orderBy(F.xxhash64(id_col), id_col).limit(sample).collect()
+    if not some:
+        return np.zeros((1, 1))
+    width = max(len(r["v"]) for r in some)
+    x = unit(np.array([r["v"] for r in some if len(r["v"]) == width]))
+    draw = np.random.default_rng(7)
+    centres = x[draw.choice(len(x), min(lists, len(x)), replace=False)]
+    for _ in range(rounds):
+        of = (x @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, of, x)
+        centres = unit(np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, sums, centres))
+    return centres
 
 
-def inverted_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """term, id, tf, len: the postings, to be stored sorted by term."""
-    each = docs.select(id_col, terms(F.coalesce(F.col(text_col), F.lit(""))).alias("terms"))
-    return each.select(id_col, F.size("terms").alias("len"), F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("term", id_col, "len").agg(F.count("*").alias("tf"))
+def nearest_lists(centres: np.ndarray, probes: int):
+    def run(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if matrix.shape[1] != centres.shape[1]:  # vectors of another width: a list of their own
+            return np.arange(len(matrix)), np.full(len(matrix), -1)
+        near = np.argsort(-(unit(matrix) @ centres.T), axis=1, kind="stable")[:, :probes]
+        return np.repeat(np.arange(len(matrix)), near.shape[1]), near.ravel()
+
+    return run
+
+
+def ann_index(vectors: DataFrame, centres: np.ndarray, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+    """An inverted-list index: every vector once, in the list of its nearest centre, as matrices of one list."""
+    return slices(vectors, id_col, vector_col, nearest_lists(centres, 1))
+
+
+def ann_topk(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 10, probes: int = 50) -> DataFrame:
+    """query_id, id, score, rank: the k nearest of each query (query_id, query) in its `probes` nearest lists. Vectors without any structure need half of the lists for a recall of 0.9."""
+    blocks = query_blocks(queries, nearest_lists(centres, probes)).withColumnRenamed("width", "w")
+    return best_of(index.join(blocks, "list").where("width = w"), k)
+
+
+def terms(text: Column, stem: bool = False) -> Column:
+    """Words in lower case, without marks and stop words; with stem, their English stems."""
+    found = F.filter(words(F.regexp_replace(F.lower(text), r"(?U)[^\w]+", " ")), lambda w: ~w.isin(*STOP_WORDS))
+    return stems(found) if stem else found
+
+
+def stems(lists: Column) -> Column:
+    """The English stems of lists of words; each word is looked up once a task."""
+    from millrace.functions.stem import stem
+
+    @F.arrow_udf("array<string>")
+    def run(given: pa.Array) -> pa.Array:
+        if isinstance(given, pa.ChunkedArray):
+            given = given.combine_chunks()
+        known = given.flatten().dictionary_encode()
+        each = pa.array([stem(w) for w in known.dictionary.to_pylist()], pa.string())
+        return pa.ListArray.from_arrays(given.offsets, each.take(known.indices), mask=given.is_null() if given.null_count else None) if given.offset == 0 else pa.array([None if x is None else [stem(w) for w in x] for x in given.to_pylist()], pa.list_(pa.string()))
+
+    return run(lists)
+
+
+def inverted_index(docs: DataFrame, id_col: str = "id", text_col: str = "text", stem: bool = False) -> DataFrame:
+    """term, id, tf, len: the postings, to be stored sorted by term.
+
+    Words are counted within their text by sorting, so only one row a term and text is made and nothing is shuffled.
+    """
+    each = docs.select(id_col, F.array_sort(terms(F.coalesce(F.col(text_col), F.lit("")), stem)).alias("terms"))
+
+    def count(batches):
+        for batch in batches:
+            lists = batch.column("terms")
+            sizes = np.diff(lists.offsets.to_numpy())
+            known = lists.flatten().dictionary_encode()
+            code = np.asarray(known.indices) if len(known) else np.empty(0, np.int64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            new = np.append(True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])) if len(code) else np.empty(0, bool)
+            first = np.flatnonzero(new)
+            tf = np.diff(np.append(first, len(code)))
+            yield pa.RecordBatch.from_arrays([known.dictionary.take(pa.array(code[first])) if len(first) else pa.array([], pa.string()), batch.column(0).take(pa.array(owner[first])), pa.array(sizes[owner[first]], pa.int32()), pa.array(tf, pa.int64())], names=["term", id_col, "len", "tf"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return each.mapInArrow(count, f"term string, `{id_col}` {kind}, len int, tf long")
 
 
 def bm25_topk(postings: DataFrame, n_docs: int | Column, mean_len: float | Column, query: list[str], k: int = 10, id_col: str = "id") -> DataFrame:
@@ -103,15 +198,23 @@ def bm25_topk(postings: DataFrame, n_docs: int | Column, mean_len: float | Colum
 
 
 def keyword_scan(docs: DataFrame, query: list[str], id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """Documents with all terms of a query, by reading every text: what the index saves."""
-    found = terms(F.coalesce(F.col(text_col), F.lit("")))
+    """Documents with all terms of a query, by reading every text: what the index saves. Only texts that hold the terms as strings are cut into words."""
+    found, low = terms(F.coalesce(F.col(text_col), F.lit(""))), F.lower(F.col(text_col))
     cond = F.lit(True)
+    for q in query:
+        cond = cond & F.contains(low, F.lit(q))
     for q in query:
         cond = cond & F.array_contains(found, q)
     return docs.where(cond).select(id_col)
 
 
-def two_stage(summaries: DataFrame, chunks: DataFrame, query: list[float], documents: int = 10, k: int = 10, item_col: str = "crawled_item_id", id_col: str = "id") -> DataFrame:
+def keyword_lookup(postings: DataFrame, query: list[str], id_col: str = "id") -> DataFrame:
+    """The same from stored postings: the rows of the query's terms only."""
+    wanted = sorted(set(query))
+    return postings.where(F.col("term").isin(*wanted)).groupBy(id_col).agg(F.count("*").alias("n")).where(F.col("n") == len(wanted)).select(id_col)
+
+
+def two_stage(summaries: DataFrame, chunks: DataFrame, query: list[float], documents: int = 10, k: int = 10, item_col: str = "parent_item_id", id_col: str = "id") -> DataFrame:
     """The best chunks of the documents whose summaries are nearest."""
     near = vector_topk(summaries, query, documents, item_col).select(item_col)
     return vector_topk(chunks.join(near, item_col, "left_semi"), query, k, id_col)
@@ -139,6 +242,28 @@ def write_back(items: DataFrame, vectors: DataFrame, id_col: str = "id") -> Data
     return items.join(new, id_col, "left").withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) for c in names}).select(*items.columns)
 
 
-def store_index(spark: SparkSession, postings: DataFrame, path: str) -> None:
-    """Postings clustered by term, so that a query reads the row groups of its terms."""
-    postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(path)
+def store_index(postings: DataFrame, path: str) -> DataFrame:
+    """Postings clustered by term and written, so that a query reads the row groups of its terms; what was written is returned."""
+    postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").option("parquet.block.size", str(4 << 20)).parquet(path)
+    return postings.sparkSession.read.schema(postings.schema).parquet(path)
+
+
+class TextIndex:
+    """Stored postings of a collection with the two figures that ranking needs: the number of texts and their mean length."""
+
+    def __init__(self, docs: DataFrame, path: str, id_col: str = "id", text_col: str = "text", stem: bool = False):
+        self.id_col, self.stem = id_col, stem
+        self.postings = store_index(inverted_index(docs, id_col, text_col, stem), path)
+        self.n_docs = docs.count()
+        self.mean_len = (self.postings.agg(F.sum("tf").alias("n")).first()["n"] or 0) / max(1, self.n_docs)
+
+    def terms(self, query: list[str]) -> list[str]:
+        from millrace.functions.stem import stem
+
+        return [stem(q.lower()) for q in query] if self.stem else query
+
+    def topk(self, query: list[str], k: int = 10) -> DataFrame:
+        return bm25_topk(self.postings, self.n_docs, self.mean_len, self.terms(query), k, self.id_col)
+
+    def lookup(self, query: list[str]) -> DataFrame:
+        return keyword_lookup(self.postings, self.terms(query), self.id_col)

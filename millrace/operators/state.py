@@ -26,7 +26,7 @@ def after_runs(surfaces: DataFrame, outcomes: DataFrame, as_of: Column) -> DataF
         "last_error": F.when(failed, F.substring("__error", 1, 500)).when(good, None).otherwise(F.col("last_error")),
         "last_run_count": F.when(good, F.col("__items")).otherwise(F.col("last_run_count")),
         "consecutive_fails": F.when(failed, F.col("consecutive_fails") + 1).when(good, 0).otherwise(F.col("consecutive_fails")),
-        "force_recrawl": F.when(good, False).otherwise(F.col("force_recrawl")),
+        "force_run": F.when(good, False).otherwise(F.col("force_run")),
     }
     return surfaces.join(o, "key", "left").withColumns({k: v for k, v in new.items() if k in names}).select(*names)
 
@@ -133,22 +133,30 @@ def token_bucket(requests: DataFrame, per_minute: float) -> DataFrame:
 
 
 def circuit_breaker(calls: DataFrame, failures: int = 5, open_s: float = 300.0, probe_s: float = 60.0) -> DataFrame:
-    """What a breaker does with each call of a domain (domain, id, at, ok): allowed or rejected. It opens after so many failures in a row, lets one probe through after open_s, closes on its success, opens again on its failure."""
+    """What a breaker does with each call of a domain (domain, id, at, ok): allowed or rejected.
+
+    It opens after so many failures in a row. After open_s it lets one call through as a probe: its success closes the
+    breaker, its failure opens it again. A probe whose outcome is not known (ok is null) is waited for: until probe_s have
+    passed all calls are rejected, then the next one is the probe. Outside of probes an unknown outcome changes nothing.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["at", "id"], ignore_index=True)
         state, count, since, said = "closed", 0, 0.0, []
         for at, ok in zip(rows["at"], rows["ok"]):
-            if state == "open" and at - since >= open_s or state == "probing" and at - since >= probe_s:
-                state, since = "half", at
-            if state in ("open", "probing"):
+            wait = {"closed": 0.0, "open": open_s, "probing": probe_s}[state]
+            if state != "closed" and at - since < wait:
                 said.append("rejected")
                 continue
             said.append("allowed")
+            if state != "closed":
+                state, since = "probing", at
+            if pd.isna(ok):
+                continue
             if ok:
                 state, count = "closed", 0
-            elif state == "half":
-                state, since = "open", at
+            elif state == "probing":
+                state = "open"
             else:
                 count += 1
                 if count >= failures:

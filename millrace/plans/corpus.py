@@ -24,7 +24,7 @@ def as_of():
 ITEM_EXPRESSIONS = {
     "id": "doc_id",
     "surface_key": "source",
-    "source": f"CASE doc_id % 7 WHEN 0 THEN 'pubmed' WHEN 1 THEN 'openalex' WHEN 2 THEN 'html_crawl' WHEN 3 THEN 'sitemap' WHEN 4 THEN 'biorxiv' WHEN 5 THEN 'youtube' ELSE '{DISCOVERY}' END",
+    "source": f"CASE doc_id % 7 WHEN 0 THEN 'pubmed' WHEN 1 THEN 'openalex' WHEN 2 THEN 'html_pages' WHEN 3 THEN 'sitemap' WHEN 4 THEN 'biorxiv' WHEN 5 THEN 'youtube' ELSE '{DISCOVERY}' END",
     "url": "concat('https://', source, '.example.org/doc/', CAST(doc_id AS VARCHAR(20)))",
     "title": "substring(text, 1, 60)",
     "description": "CASE WHEN doc_id % 4 <> 0 THEN substring(text, 1, 600) END",
@@ -41,7 +41,7 @@ ITEM_EXPRESSIONS = {
     "needs_rechunk": "doc_id % 19 = 0",
     "fetch_attempts": "CAST(doc_id % 4 AS INT)",
     "near_duplicate_of": "CASE WHEN doc_id % 17 = 0 THEN 'earlier' END",
-    "domain_tags": "CASE doc_id % 6 WHEN 0 THEN {a}'sleep'{z} WHEN 1 THEN {a}'eating', 'adhd'{z} WHEN 3 THEN {a}'autism'{z} WHEN 4 THEN {a}'adhd', 'sleep'{z} WHEN 5 THEN {a}'behavioral'{z} END",
+    "domain_tags": "CASE doc_id % 6 WHEN 0 THEN {a}'sleep'{z} WHEN 1 THEN {a}'eating', 'adhd'{z} WHEN 3 THEN {a}'general'{z} WHEN 4 THEN {a}'adhd', 'sleep'{z} WHEN 5 THEN {a}'behavioral'{z} END",
 }
 
 
@@ -66,22 +66,22 @@ ITEMS = "items AS (SELECT " + ", ".join(f"{duck_sql(e)} AS {c}" for c, e in ITEM
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three chunks and a summary for each document but every fifth."""
     base = table(spark, sf_dir, "documents").where("doc_id % 5 <> 2").select("doc_id", F.explode(F.expr("sequence(-1, CAST(doc_id % 3 AS INT))")).alias("chunk_index"))
-    return base.selectExpr("doc_id * 10 + chunk_index + 1 AS id", "doc_id AS crawled_item_id", "chunk_index", "chunk_index = -1 AS is_summary", "CASE WHEN (doc_id + chunk_index) % 3 <> 0 THEN array(CAST(1.0 AS FLOAT)) END AS embedding")
+    return base.selectExpr("doc_id * 10 + chunk_index + 1 AS id", "doc_id AS parent_item_id", "chunk_index", "chunk_index = -1 AS is_summary", "CASE WHEN (doc_id + chunk_index) % 3 <> 0 THEN array(CAST(1.0 AS FLOAT)) END AS embedding")
 
 
-CHUNKS = "chunks AS (SELECT doc_id * 10 + chunk_index + 1 AS id, doc_id AS crawled_item_id, chunk_index, chunk_index = -1 AS is_summary, CASE WHEN (doc_id + chunk_index) % 3 <> 0 THEN 1 END AS embedding FROM (SELECT doc_id, CAST(unnest(range(-1, CAST(doc_id % 3 AS INT) + 1)) AS INT) AS chunk_index FROM documents WHERE doc_id % 5 <> 2))"
+CHUNKS = "chunks AS (SELECT doc_id * 10 + chunk_index + 1 AS id, doc_id AS parent_item_id, chunk_index, chunk_index = -1 AS is_summary, CASE WHEN (doc_id + chunk_index) % 3 <> 0 THEN 1 END AS embedding FROM (SELECT doc_id, CAST(unnest(range(-1, CAST(doc_id % 3 AS INT) + 1)) AS INT) AS chunk_index FROM documents WHERE doc_id % 5 <> 2))"
 
 SURFACE_EXPRESSIONS = {
     "key": "source",
-    "platform": "CASE n % 3 WHEN 0 THEN 'html_crawl' WHEN 1 THEN 'rss' ELSE 'sitemap' END",
+    "platform": "CASE n % 3 WHEN 0 THEN 'html_pages' WHEN 1 THEN 'rss' ELSE 'sitemap' END",
     "enabled": "n % 7 <> 3",
-    "force_recrawl": "n % 8 = 5",
+    "force_run": "n % 8 = 5",
     "poll_interval_sec": "CAST(3600 * (1 + n % 3) AS INT)",
     "authority_tier": "CASE WHEN n % 3 = 0 THEN NULL ELSE CAST(n % 3 AS INT) END",
     "last_run_at": "CASE WHEN n % 5 <> 4 THEN CAST('2024-01-30 20:00:00' AS {ts}) + make_interval(13 * n) END",
     "consecutive_fails": "CAST(n % 6 AS INT)",
     "domain": "concat('site', CAST(n % 9 AS VARCHAR(20)), '.example.org')",
-    "domain_tags": "CASE WHEN n % 2 = 0 THEN {a}'sleep', 'adhd'{z} ELSE {a}'autism'{z} END",
+    "domain_tags": "CASE WHEN n % 2 = 0 THEN {a}'sleep', 'adhd'{z} ELSE {a}'general'{z} END",
 }
 
 

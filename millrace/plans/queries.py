@@ -11,6 +11,7 @@ from millrace.functions import chunking, html, records, text, urls
 from millrace.operators import dedup, lifecycle, merge, queues, search, state
 from millrace.plans import corpus, views
 from millrace.plans.corpus import AS_OF, CHUNKS, DISCOVERY, FETCHES, ITEMS, REQUESTS, SURFACES, as_of, table
+from millrace.session import once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,7 +79,7 @@ def tag_coverage(spark, d):
 
 DB_STATS = f"count(%s) AS total, count(%s content_body) AS has_content, count(%s CASE WHEN length(content_body) >= {FULL} THEN 1 END) AS full_text"
 STATS = (
-    "SELECT i.surface_key, {n} AS total, {body} AS has_content, {full} AS full_text, {part} AS abstract_only, count(DISTINCT c.crawled_item_id) AS chunked, count(c.embedding) AS embedded FROM items i LEFT JOIN chunks c ON c.crawled_item_id = i.id GROUP BY i.surface_key"
+    "SELECT i.surface_key, {n} AS total, {body} AS has_content, {full} AS full_text, {part} AS abstract_only, count(DISTINCT c.parent_item_id) AS chunked, count(c.embedding) AS embedded FROM items i LEFT JOIN chunks c ON c.parent_item_id = i.id GROUP BY i.surface_key"
 )
 
 
@@ -97,13 +98,13 @@ def totals(spark, d):
     return views.totals(corpus.items(spark, d), corpus.chunks(spark, d))
 
 
-@query("SELECT items, with_embedding, round(with_embedding::DECIMAL(20,0) / items, 4)::DOUBLE AS coverage FROM (SELECT count(*) AS items, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM chunks c WHERE c.crawled_item_id = i.id AND c.embedding IS NOT NULL)) AS with_embedding FROM items i)", ITEMS, CHUNKS)
+@query("SELECT items, with_embedding, round(with_embedding::DECIMAL(20,0) / items, 4)::DOUBLE AS coverage FROM (SELECT count(*) AS items, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM chunks c WHERE c.parent_item_id = i.id AND c.embedding IS NOT NULL)) AS with_embedding FROM items i)", ITEMS, CHUNKS)
 def embedding_coverage(spark, d):
     return views.embedding_coverage(corpus.items(spark, d), corpus.chunks(spark, d))
 
 
 @query(
-    f"SELECT tag AS track, count(*) FILTER (WHERE source = '{DISCOVERY}') AS websearch_total, count(*) FILTER (WHERE source = '{DISCOVERY}' AND length(content_body) >= {FULL}) AS websearch_full, count(*) FILTER (WHERE source <> '{DISCOVERY}') AS crawl_total, count(*) FILTER (WHERE source <> '{DISCOVERY}' AND length(content_body) >= {FULL}) AS crawl_full FROM tagged WHERE authority_tier IN (1, 2) GROUP BY tag",
+    f"SELECT tag AS track, count(*) FILTER (WHERE source = '{DISCOVERY}') AS websearch_total, count(*) FILTER (WHERE source = '{DISCOVERY}' AND length(content_body) >= {FULL}) AS websearch_full, count(*) FILTER (WHERE source <> '{DISCOVERY}') AS pages_total, count(*) FILTER (WHERE source <> '{DISCOVERY}' AND length(content_body) >= {FULL}) AS pages_full FROM tagged WHERE authority_tier IN (1, 2) GROUP BY tag",
     ITEMS, TAGGED,
 )
 def source_breakdown(spark, d):
@@ -161,10 +162,13 @@ def rolling_promotions(spark, d):
     return views.promotions_last_day(corpus.requests(spark, d), as_of())
 
 
-@query(f"SELECT s.key, CASE WHEN m IS NULL THEN 'never' WHEN m < {NOW} - INTERVAL 7 DAY THEN 'stale' ELSE 'fresh' END AS state, date_diff('day', m::DATE, {NOW}::DATE)::INT AS days FROM surfaces s LEFT JOIN (SELECT surface_key, max(collected_at) AS m FROM items WHERE id % 3 <> 0 AND id < 600 GROUP BY surface_key) x ON x.surface_key = s.key WHERE s.authority_tier = 1 AND s.enabled", ITEMS, SURFACES)
+@query(
+    f"SELECT s.key, CASE WHEN m IS NULL THEN 'never' WHEN m < {NOW} - INTERVAL 7 DAY THEN 'stale' ELSE 'fresh' END AS state, date_diff('day', m::DATE, {NOW}::DATE)::INT AS days "
+    "FROM surfaces s LEFT JOIN (SELECT surface_key, max(collected_at) AS m FROM items GROUP BY surface_key) x ON x.surface_key = s.key WHERE s.authority_tier = 1 AND s.enabled",
+    ITEMS, SURFACES,
+)
 def tier1_staleness(spark, d):
-    # a source may have no item left by then: the items of the first weeks, without every third
-    return views.tier_one_staleness(corpus.surfaces(spark, d), corpus.items(spark, d).where("id % 3 <> 0 AND id < 600"), as_of())
+    return views.tier_one_staleness(corpus.surfaces(spark, d), corpus.items(spark, d), as_of())
 
 
 CORRECTED = f"stats AS ({ORACLES['db_stats_corrected'].split('. ')[0].partition(CHUNKS + ' ')[2]})"
@@ -205,7 +209,7 @@ BODY = "content_body IS NOT NULL AND content_body <> ''"
 
 
 @query(
-    f"SELECT id, collected_at, min(pass)::INT AS pass FROM ((SELECT id, collected_at, 0 AS pass FROM items WHERE needs_rechunk AND {BODY} ORDER BY collected_at DESC, id LIMIT 200) UNION ALL (SELECT id, collected_at, 1 FROM items WHERE {BODY} AND id NOT IN (SELECT crawled_item_id FROM chunks WHERE NOT is_summary) ORDER BY collected_at DESC, id LIMIT 200)) GROUP BY id, collected_at",
+    f"SELECT id, collected_at, min(pass)::INT AS pass FROM ((SELECT id, collected_at, 0 AS pass FROM items WHERE needs_rechunk AND {BODY} ORDER BY collected_at DESC, id LIMIT 200) UNION ALL (SELECT id, collected_at, 1 FROM items WHERE {BODY} AND id NOT IN (SELECT parent_item_id FROM chunks WHERE NOT is_summary) ORDER BY collected_at DESC, id LIMIT 200)) GROUP BY id, collected_at",
     ITEMS, CHUNKS,
 )
 def unchunked_items(spark, d):
@@ -217,9 +221,9 @@ def embed_queue(spark, d):
     return queues.to_embed(corpus.items(spark, d)).select("id", "collected_at")
 
 
-@query("SELECT id, crawled_item_id FROM chunks WHERE embedding IS NULL ORDER BY id DESC LIMIT 50", CHUNKS)
+@query("SELECT id, parent_item_id FROM chunks WHERE embedding IS NULL ORDER BY id DESC LIMIT 50", CHUNKS)
 def chunk_embed_queue(spark, d):
-    return queues.chunks_to_embed(corpus.chunks(spark, d)).select("id", "crawled_item_id")
+    return queues.chunks_to_embed(corpus.chunks(spark, d)).select("id", "parent_item_id")
 
 
 @query("SELECT id, collected_at FROM items WHERE source = 'youtube' AND content_body IS NULL ORDER BY collected_at DESC, id LIMIT 10", ITEMS)
@@ -252,7 +256,7 @@ def claim_batch(spark, d):
     return queues.claim(corpus.requests(spark, d), as_of()).select("id", "url", "status", "discovered_at")
 
 
-@query(f"SELECT key, platform FROM surfaces WHERE enabled AND (force_recrawl OR last_run_at IS NULL OR date_diff('microsecond', last_run_at, {NOW}) / 1000000 >= poll_interval_sec)", SURFACES)
+@query(f"SELECT key, platform FROM surfaces WHERE enabled AND (force_run OR last_run_at IS NULL OR date_diff('microsecond', last_run_at, {NOW}) / 1000000 >= poll_interval_sec)", SURFACES)
 def due_sources(spark, d):
     return queues.due_sources(corpus.surfaces(spark, d), as_of()).select("key", "platform")
 
@@ -290,11 +294,6 @@ def url_normalize(spark, d):
     return table(spark, d, "pages").select("page_id", urls.normalize_url(F.col("url")).alias("url"))
 
 
-@query(ORACLES["url_normalize"])
-def url_normalize_native(spark, d):
-    return table(spark, d, "pages").select("page_id", urls.normalize_url_native(F.col("url")).alias("url"))
-
-
 @query(rf"SELECT page_id, {NETLOC} AS netloc, regexp_replace(lower({NETLOC}), '^www\.', '') AS domain, lower({NETLOC}) AS domain_www, split_part(trim(url), '#', 1) AS no_fragment, regexp_replace(split_part(url, '#', 1), '/+$', '') AS link, ends_with(split_part(lower(url), '?', 1), '.pdf') AS is_pdf, sha256(url) AS cache_key FROM pages")
 def url_parts(spark, d):
     u = F.col("url")
@@ -466,11 +465,11 @@ def stamped_items(spark, d):
     return merge.stamp(corpus.items(spark, d), schemas.conform(corpus.surfaces(spark, d), schemas.SURFACES)).select("id", "authority_tier", F.array_join("domain_tags", ",").alias("tags"))
 
 
-@query("SELECT crawled_item_id, chunk_index, 'old' AS version FROM chunks WHERE crawled_item_id % 7 <> 0 UNION ALL SELECT crawled_item_id, chunk_index, 'new' FROM (SELECT crawled_item_id, chunk_index + 1 AS chunk_index FROM chunks WHERE crawled_item_id % 14 = 0) UNION ALL SELECT crawled_item_id, 9, 'new' FROM chunks WHERE chunk_index = -1 AND crawled_item_id % 5 = 1", CHUNKS)
+@query("SELECT parent_item_id, chunk_index, 'old' AS version FROM chunks WHERE parent_item_id % 7 <> 0 UNION ALL SELECT parent_item_id, chunk_index, 'new' FROM (SELECT parent_item_id, chunk_index + 1 AS chunk_index FROM chunks WHERE parent_item_id % 14 = 0) UNION ALL SELECT parent_item_id, 9, 'new' FROM chunks WHERE chunk_index = -1 AND parent_item_id % 5 = 1", CHUNKS)
 def chunk_replacement(spark, d):
-    c = corpus.chunks(spark, d).select("crawled_item_id", "chunk_index", F.lit("old").alias("version"))
-    again = c.where("crawled_item_id % 7 = 0")
-    new = c.where("crawled_item_id % 14 = 0").select("crawled_item_id", F.expr("chunk_index + 1 AS chunk_index"), F.lit("new").alias("version")).union(c.where("chunk_index = -1 AND crawled_item_id % 5 = 1").select("crawled_item_id", F.lit(9), F.lit("new")))
+    c = corpus.chunks(spark, d).select("parent_item_id", "chunk_index", F.lit("old").alias("version"))
+    again = c.where("parent_item_id % 7 = 0")
+    new = c.where("parent_item_id % 14 = 0").select("parent_item_id", F.expr("chunk_index + 1 AS chunk_index"), F.lit("new").alias("version")).union(c.where("chunk_index = -1 AND parent_item_id % 5 = 1").select("parent_item_id", F.lit(9), F.lit("new")))
     return merge.replace_chunks(c, new, again)
 
 
@@ -481,8 +480,7 @@ def unknown_links(spark, d):
 
 @query("SELECT domain, authority_tier, key FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY authority_tier, key) AS rn FROM surfaces WHERE authority_tier IS NOT NULL) WHERE rn = 1", SURFACES)
 def domain_best_metadata(spark, d):
-    best = corpus.surfaces(spark, d).where("authority_tier IS NOT NULL").groupBy("domain").agg(F.min(F.struct("authority_tier", "key")).alias("b"))
-    return best.select("domain", "b.authority_tier", "b.key")
+    return queues.best_sources(corpus.surfaces(spark, d)).select("domain", "authority_tier", "key")
 
 
 # --- near-duplicates
@@ -510,15 +508,6 @@ def near_duplicates(spark, d):
     return dedup.near_duplicates(prints)
 
 
-def run_sql(t: str, key: str, column: str) -> str:
-    return f"(SELECT DISTINCT {key}, w[pos] || ' ' || w[pos + 1] || ' ' || w[pos + 2] AS run FROM (SELECT {key}, w, unnest(range(1, len(w) - 1)) AS pos FROM (SELECT {key}, {RUN_WORDS.replace('content_body', column)} AS w FROM {t}) WHERE len(w) >= 3))"
-
-
-@query(f"SELECT doc_id, item_id, count(*) AS shared FROM {run_sql('documents', 'doc_id', 'text')} a JOIN {run_sql('benchmark', 'item_id', 'text')} b USING (run) GROUP BY doc_id, item_id")
-def benchmark_overlap(spark, d):
-    return dedup.shared_runs(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id", "text", "text")
-
-
 # --- state
 
 LAST_DAY = "CAST('2024-01-06 00:00:00' AS TIMESTAMP)"
@@ -600,16 +589,37 @@ def vector_topk(spark, d):
     return search.vector_topk(e, e.where("vec_id = 7").first()["embedding"], 10, "vec_id")
 
 
-@query(f"SELECT query_id, id, score, rank::INT AS rank FROM (SELECT q.vec_id AS query_id, v.vec_id AS id, {COSINE} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE} DESC, v.vec_id) AS rank FROM embeddings v, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 3) q) WHERE rank <= 5")
+@query(
+    f"SELECT query_id, id, score, rank::INT AS rank FROM (SELECT q.vec_id AS query_id, v.vec_id AS id, {COSINE} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE} DESC, v.vec_id) AS rank "
+    "FROM embeddings v, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0) q) WHERE rank <= 5"
+)
 def vector_topk_many(spark, d):
     e = table(spark, d, "embeddings")
-    return search.vector_topk_many(e, e.where("vec_id % 100 = 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 5, "vec_id")
+    return search.vector_topk_many(e, stated_queries(e), 5, "vec_id")
+
+
+def stated_queries(e: DataFrame) -> DataFrame:
+    """The vectors that are searched for: every one whose id is divisible by 20."""
+    return e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
+def vector_index(spark, d):
+    """The stored list index of the vectors and its centres, built once for a session and state of the table."""
+
+    def build(path: str):
+        e = table(spark, d, "embeddings")
+        centres = search.list_centres(e, id_col="vec_id")
+        index = search.ann_index(e, centres, "vec_id")
+        index.repartitionByRange("list").sortWithinPartitions("list").write.mode("overwrite").parquet(path)
+        return spark.read.schema(index.schema).parquet(path), centres
+
+    return once(spark, f"{d}/embeddings.parquet", "vectors", build)
 
 
 @query()
 def ann_topk(spark, d):
-    e = table(spark, d, "embeddings")
-    return search.ann_topk(search.ann_index(e, 64, id_col="vec_id"), e.where("vec_id = 7").first()["embedding"], 10, id_col="vec_id")
+    index, centres = vector_index(spark, d)
+    return search.ann_topk(index, stated_queries(table(spark, d, "embeddings")), centres, 10)
 
 
 TERMS = rf"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\pL\pN\pM\p{{Pc}}]+', ' ', 'g'), '\s+'), lambda w: w <> '' AND w NOT IN ({strings(search.STOP_WORDS)}))"
@@ -625,21 +635,38 @@ def inverted_index(spark, d):
 WANTED = ["anea", "thtion", "erre"]
 
 
+def text_index(spark, d, stem: bool = False) -> search.TextIndex:
+    """The stored postings of the documents, built once for a session and state of the table."""
+    return once(spark, f"{d}/documents.parquet", f"postings-{stem}", lambda path: search.TextIndex(table(spark, d, "documents"), path, "doc_id", stem=stem))
+
+
 @query(
-    f"SELECT doc_id, round(sum(ln(1 + ((SELECT count(*) FROM worded) - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / (SELECT avg(len(w)) FROM worded)))), 6) AS score FROM postings JOIN (SELECT term, count(*) AS df FROM postings WHERE term IN ({strings(WANTED)}) GROUP BY term) USING (term) GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10",
+    f"SELECT doc_id, round(sum(ln(1 + ((SELECT count(*) FROM worded) - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / (SELECT avg(len(w)) FROM worded)))), 6) AS score FROM postings "
+    f"JOIN (SELECT term, count(*) AS df FROM postings WHERE term IN ({strings(WANTED)}) GROUP BY term) USING (term) GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10",
     POSTINGS,
 )
 def bm25_topk(spark, d):
-    docs = table(spark, d, "documents")
-    size = docs.agg(F.count("*").alias("n"), F.avg(F.size(search.terms(F.col("text")))).alias("mean")).first()
-    return search.bm25_topk(search.inverted_index(docs, "doc_id"), size["n"], size["mean"], WANTED, 10, "doc_id")
+    return text_index(spark, d).topk(WANTED)
+
+
+@query()
+def stemmed_topk(spark, d):
+    return text_index(spark, d, stem=True).topk(WANTED)
+
+
+BOTH_WORDS = f"SELECT doc_id FROM worded WHERE {' AND '.join(f'list_contains(w, {strings([t])})' for t in WANTED[:2])}"
 
 
-@query(f"SELECT doc_id FROM worded WHERE {' AND '.join(f'list_contains(w, {strings([t])})' for t in WANTED[:2])}", POSTINGS)
+@query(BOTH_WORDS, POSTINGS)
 def keyword_scan(spark, d):
     return search.keyword_scan(table(spark, d, "documents"), WANTED[:2], "doc_id")
 
 
+@query(BOTH_WORDS, POSTINGS)
+def keyword_lookup(spark, d):
+    return text_index(spark, d).lookup(WANTED[:2])
+
+
 @query(f"SELECT v.vec_id, {COSINE} AS score FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 7) q WHERE v.label IN (SELECT label FROM (SELECT label, {COSINE} AS s FROM (SELECT label, embedding FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1) v, (SELECT embedding FROM embeddings WHERE vec_id = 7) q ORDER BY s DESC, label LIMIT 3)) ORDER BY score DESC, vec_id LIMIT 10")
 def two_stage_retrieval(spark, d):
     e = table(spark, d, "embeddings")
@@ -649,7 +676,21 @@ def two_stage_retrieval(spark, d):
 
 # --- row-wise extraction that SQL can't state
 
-@query()
+TOKENS = f"((4 * len({WORDS})) // 3)"
+SQL_TAIL = f"array_to_string(list_slice({WORDS}, greatest(1, len({WORDS}) - greatest(1, floor(len({WORDS}) * 0.15)::INT) + 1), len({WORDS})), ' ')"
+CHUNK_STEP = (
+    "{'done': a.done || CASE WHEN a.n > 0 AND a.n + x.n > 1000 THEN [a.s] ELSE [] END || CASE WHEN x.n > 1000 THEN [x.s] ELSE [] END, "
+    "'s': CASE WHEN x.n > 1000 THEN '' WHEN a.n = 0 THEN x.s WHEN a.n + x.n > 1000 THEN " + SQL_TAIL.format("a.s") + " || ' ' || x.s ELSE a.s || ' ' || x.s END, "
+    "'n': CASE WHEN x.n > 1000 THEN 0 WHEN a.n > 0 AND a.n + x.n > 1000 THEN " + TOKENS.format(f"({SQL_TAIL.format('a.s')})") + " + x.n ELSE a.n + x.n END}"
+)
+
+
+@query(
+    "SELECT doc_id, unnest(range(len(parts)))::INT AS chunk_index, unnest(parts) AS chunk_text FROM ("
+    f"SELECT doc_id, list_reduce(list_transform(list_filter(done || CASE WHEN n > 0 THEN [s] ELSE [] END, lambda c: true), lambda c: [c]), lambda o, c: CASE WHEN {TOKENS.format('c[1]')} < 200 THEN o[:-2] || [o[-1] || ' ' || c[1]] ELSE o || c END) AS parts FROM ("
+    f"SELECT doc_id, unnest(list_reduce([{{'done': []::VARCHAR[], 's': '', 'n': 0::BIGINT}}] || segments, lambda a, x: {CHUNK_STEP})) FROM ("
+    rf"SELECT doc_id, list_transform(flatten(list_transform(list_filter(list_transform(regexp_split_to_array(text, '\n\n+'), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> ''), lambda p: CASE WHEN {TOKENS.format('p')} > 1000 THEN string_split(regexp_replace(p, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) ELSE [p] END)), lambda s: {{'done': []::VARCHAR[], 's': s, 'n': {TOKENS.format('s')}::BIGINT}}) AS segments FROM documents WHERE text IS NOT NULL))) WHERE len(parts) > 0"
+)
 def chunk_documents(spark, d):
     return chunking.with_chunks(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "chunk_index", "chunk_text")
 
@@ -666,6 +707,6 @@ def html_sections(spark, d):
 
 @query()
 def page_links(spark, d):
-    from millrace.sources.crawl import links
+    from millrace.sources.frontier import links
 
     return links(table(spark, d, "pages").select("url", F.col("html").alias("body")))

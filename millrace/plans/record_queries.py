@@ -16,9 +16,9 @@ def item_list(spark, d):
     return views.item_list(corpus.items(spark, d).withColumn("author", F.lit(None).cast("string")), "TH", source="sitemap")
 
 
-@query("SELECT key, consecutive_fails FROM surfaces ORDER BY consecutive_fails DESC, platform, key LIMIT 7", SURFACES)
+@query("SELECT key, consecutive_fails FROM surfaces ORDER BY consecutive_fails DESC, platform, key", SURFACES)
 def source_list(spark, d):
-    return views.source_list(corpus.surfaces(spark, d).withColumn("last_status", F.col("platform"))).limit(7).select("key", "consecutive_fails")
+    return views.source_list(corpus.surfaces(spark, d).withColumn("last_status", F.col("platform"))).select("key", "consecutive_fails")
 
 
 @query(
@@ -30,7 +30,7 @@ def catalog_integrity(spark, d):
 
     n = corpus.surfaces(spark, d).select("key", F.expr("CAST(substring(key, 4) AS INT)").alias("n"))
     catalog = n.select(
-        F.when(F.col("n") == 7, "src6").otherwise(F.col("key")).alias("key"), F.expr("CASE n % 5 WHEN 0 THEN 'nothing' WHEN 1 THEN 'html_crawl' ELSE 'rss' END").alias("platform"), F.expr("CASE WHEN n % 4 < 2 THEN 0 ELSE 1 END").alias("enabled"), F.expr("CASE WHEN n % 4 = 0 THEN 'DISABLED: gone' END").alias("content_notes"),
+        F.when(F.col("n") == 7, "src6").otherwise(F.col("key")).alias("key"), F.expr("CASE n % 5 WHEN 0 THEN 'nothing' WHEN 1 THEN 'html_pages' ELSE 'rss' END").alias("platform"), F.expr("CASE WHEN n % 4 < 2 THEN 0 ELSE 1 END").alias("enabled"), F.expr("CASE WHEN n % 4 = 0 THEN 'DISABLED: gone' END").alias("content_notes"),
         F.lit("{}").alias("config"), F.expr("CASE WHEN n % 6 = 3 THEN 3 ELSE 1 END").alias("authority_tier"), F.expr("CASE WHEN n % 7 = 2 THEN 'odd' ELSE 'academic' END").alias("source_type"), F.lit("mixed").alias("audience_type"), F.expr("CASE WHEN n % 8 = 3 THEN array('sleep', 'odd') ELSE array('adhd') END").alias("domain_tags"),
     )
     return views.catalog_faults(catalog, list(READERS))
@@ -92,9 +92,9 @@ def stub_fill(spark, d):
     return merge.fill_stubs(i, i.where("id % 6 = 0").select("id", F.lit("filled").alias("description"))).select("id", "description")
 
 
-@query("SELECT id, array_to_string(coalesce(domain_tags, ['autism']), ',') AS tags FROM items", ITEMS)
+@query("SELECT id, array_to_string(coalesce(domain_tags, ['general']), ',') AS tags FROM items", ITEMS)
 def default_tags(spark, d):
-    return merge.default_tags(corpus.items(spark, d), "autism").select("id", F.array_join("domain_tags", ",").alias("tags"))
+    return merge.default_tags(corpus.items(spark, d), "general").select("id", F.array_join("domain_tags", ",").alias("tags"))
 
 
 @query("SELECT action, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' THEN 'retry' WHEN event_type = 'view' THEN 'give_up' ELSE 'body' END AS action FROM events) GROUP BY action")
@@ -165,11 +165,16 @@ def startup_delays(spark, d):
     return corpus.surfaces(spark, d).select("key", text.startup_delay(F.col("last_run_at"), as_of(), 14400).alias("delay"))
 
 
-@query("SELECT l_orderkey, string_agg('line: ' || l_linenumber || ', qty: ' || CAST(l_quantity AS INT), chr(10) ORDER BY l_linenumber) AS lines FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS rn FROM lineitem WHERE l_orderkey < 500) WHERE rn <= 3 GROUP BY l_orderkey")
+@query(
+    "SELECT l_orderkey, string_agg('line: ' || l_linenumber || ', part: ' || l_partkey || ', qty: ' || CAST(l_quantity AS INT) || ', flag: ' || l_returnflag || ', status: ' || l_linestatus, chr(10) ORDER BY rn) AS lines FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag, l_linestatus) AS rn FROM lineitem) WHERE rn <= 10 GROUP BY l_orderkey"
+)
 def tabular_lines(spark, d):
-    rows = table(spark, d, "lineitem").where("l_orderkey < 500").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_quantity").alias("at"), F.create_map(F.lit("line"), F.col("l_linenumber").cast("string"), F.lit("qty"), F.col("l_quantity").cast("int").cast("string"), F.lit("tax"), F.lit("x")).alias("row"))
-    lists = rows.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.map_entries("row").alias("row")))), lambda x: F.map_from_entries(x["row"])).alias("rows"))
-    return lists.select("l_orderkey", records.tabular_text(F.col("rows"), 3, 2).alias("lines"))
+    given = {"line": "l_linenumber", "part": "l_partkey", "qty": "CAST(l_quantity AS INT)", "flag": "l_returnflag", "status": "l_linestatus", "more": "l_shipdate"}
+    row = F.create_map(*(x for k, e in given.items() for x in (F.lit(k), F.expr(e).cast("string"))))
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus").alias("at"), F.map_entries(row).alias("row"))
+    lists = rows.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "row"))), lambda x: F.map_from_entries(x["row"])).alias("rows"))
+    return lists.select("l_orderkey", records.tabular_text(F.col("rows")).alias("lines"))
 
 
 @query(f"SELECT page_id FROM pages WHERE {PATH} LIKE '/en/%' AND NOT regexp_replace({PATH}, '/+$', '') LIKE '%.html' AND {NETLOC} <> 'tionsh.example.net' AND NOT ends_with({NETLOC}, '.tionsh.example.net')")

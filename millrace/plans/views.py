@@ -51,7 +51,7 @@ def tag_coverage(items: DataFrame) -> DataFrame:
 
 
 def chunk_counts(chunks: DataFrame) -> DataFrame:
-    return chunks.groupBy(F.col("crawled_item_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count("embedding").alias("n_embedded"))
+    return chunks.groupBy(F.col("parent_item_id").alias("id")).agg(F.count("*").alias("n_chunks"), F.count("embedding").alias("n_embedded"))
 
 
 def db_stats(items: DataFrame, chunks: DataFrame, per_chunk: bool = False) -> DataFrame:
@@ -72,7 +72,7 @@ def totals(items: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def embedding_coverage(items: DataFrame, chunks: DataFrame) -> DataFrame:
     """One row: items, those with at least one embedded chunk, the share."""
-    has = chunks.where("embedding IS NOT NULL").select(F.col("crawled_item_id").alias("id"))
+    has = chunks.where("embedding IS NOT NULL").select(F.col("parent_item_id").alias("id"))
     embedded = items.join(has, "id", "left_semi").agg(F.count("*").alias("with_embedding"))
     return items.agg(F.count("*").alias("items")).join(embedded).select("items", "with_embedding", rate(F.col("with_embedding"), F.col("items")).alias("coverage"))
 
@@ -80,7 +80,7 @@ def embedding_coverage(items: DataFrame, chunks: DataFrame) -> DataFrame:
 def source_breakdown(items: DataFrame, discovery: str) -> DataFrame:
     """By tag, of tier 1 and 2: all items and full texts, found by discovery or by the other sources."""
     full, found = F.length("content_body") >= FULL_TEXT, F.col("source") == discovery
-    return by_tag(items.where("authority_tier IN (1, 2)")).groupBy(F.col("tag").alias("track")).agg(F.count_if(found).alias("websearch_total"), F.count_if(found & full).alias("websearch_full"), F.count_if(~found).alias("crawl_total"), F.count_if(~found & full).alias("crawl_full")).orderBy(F.desc("websearch_total"), "track")
+    return by_tag(items.where("authority_tier IN (1, 2)")).groupBy(F.col("tag").alias("track")).agg(F.count_if(found).alias("websearch_total"), F.count_if(found & full).alias("websearch_full"), F.count_if(~found).alias("pages_total"), F.count_if(~found & full).alias("pages_full")).orderBy(F.desc("websearch_total"), "track")
 
 
 def backlog(items: DataFrame, retriable: Sequence[str] = NO_DOI_SOURCES) -> DataFrame:
@@ -161,7 +161,7 @@ def catalog_faults(catalog: DataFrame, platforms: Sequence[str]) -> DataFrame:
     address = F.coalesce(conf("base_url"), conf("start_url"), conf("sitemap_url"), conf("slugs"), conf("query"))
     faults = F.array_compact(F.array(
         F.when(~F.col("platform").isin(*platforms), "unknown platform"),
-        F.when(F.col("platform").isin("html_crawl", "playwright_crawl", "sitemap", "nhs_api") & address.isNull(), "no address"),
+        F.when(F.col("platform").isin("html_pages", "browser_pages", "sitemap", "nhs_api") & address.isNull(), "no address"),
         F.when((F.col("enabled") == 0) & ~F.coalesce(F.contains("content_notes", F.lit("DISABLED")), F.lit(False)), "disabled without reason"),
         F.when(F.col("authority_tier").isNotNull() & ~F.col("authority_tier").isin(1, 2), "tier"),
         F.when(F.col("source_type").isNotNull() & ~F.col("source_type").isin(*SOURCE_TYPES), "source type"),

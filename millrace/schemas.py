@@ -29,11 +29,11 @@ ITEMS = table(
     "embedded_at:time oa_url:str last_harvested_at:time fetch_attempts:int needs_rechunk:bool is_stale:bool evidence_level:str content_fingerprint:tags near_duplicate_of:str embedding_schema_version:str domain_tags:tags topic_tags:tags"
 )
 CHUNKS = table(
-    "id:long crawled_item_id:long chunk_index:int chunk_text:str embedding:vector embedding_model:str embedded_at:time title:str url:str domain:str source_type:str authority_tier:int published_at:time lang:str "
+    "id:long parent_item_id:long chunk_index:int chunk_text:str embedding:vector embedding_model:str embedded_at:time title:str url:str domain:str source_type:str authority_tier:int published_at:time lang:str "
     "is_summary:bool section_heading:str heading_path:str embedding_schema_version:str domain_tags:tags topic_tags:tags"
 )
 SURFACES = table(
-    "key:str platform:str enabled:bool poll_interval_sec:int max_items_per_run:int config_json:json authority_tier:int source_type:str audience_type:str language:str country:str organization_name:str force_recrawl:bool "
+    "key:str platform:str enabled:bool poll_interval_sec:int max_items_per_run:int config_json:json authority_tier:int source_type:str audience_type:str language:str country:str organization_name:str force_run:bool "
     "last_run_at:time last_cursor:str last_status:str last_error:str last_run_count:int consecutive_fails:int overrides_json:json domain_tags:tags topic_tags:tags"
 )
 HTTP_CACHE = table("url_hash:str etag:str last_modified:str expires_at:time")

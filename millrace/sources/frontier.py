@@ -1,4 +1,4 @@
-"""Link frontiers: which pages a crawl of saved pages reaches, level by level, as joins."""
+"""Link frontiers: which saved pages are reached, level by level, as joins."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def frontier(spark: SparkSession, edges: DataFrame, start: Sequence[str], known: DataFrame, seed: str, depth: int = 1, limit: int = 30, least_segments: int = 2, child_domains: Sequence[str] = (), allowed: Sequence[str] = (), excluded: Sequence[str] = (), positive: Sequence[str] = (), negative: Sequence[str] = ()) -> DataFrame:
-    """(url, level, position) of the new content pages that edges (page, url, position) lead to from start in so many levels, at most twice the limit a level (the feature of a bounded crawl), in page order."""
+    """(url, level, position) of the new content pages that edges (page, url, position) lead to from start in so many levels, at most twice the limit a level (the feature of bounded search), in page order."""
     u = F.col("url")
     good = edges.where(urls.is_content_url(u, seed, least_segments, child_domains) & urls.path_allowed(u, allowed, excluded) & urls.passes_score(u, positive, negative))
     level = spark.createDataFrame([(s,) for s in start], "url string")

@@ -63,16 +63,20 @@ def reddit(payloads: DataFrame) -> DataFrame:
     )
 
 
-FEED = "channel struct<title:string,item:array<struct<title:string,link:string,guid:string,pubDate:string,description:string,author:string>>>"
+FEED = (
+    "channel struct<title:string,item:array<struct<title:string,link:string,guid:string,pubDate:string,description:string,author:string>>>, title string, "
+    "entry array<struct<title:string,link:array<struct<_href:string,_rel:string>>,id:string,published:string,updated:string,summary:string,content:string,author:struct<name:string>>>"
+)
 
 
 def rss(payloads: DataFrame) -> DataFrame:
-    """RSS 2.0 feeds."""
-    rows = payloads.withColumn("__doc", F.from_xml("body", FEED)).select("*", F.explode("__doc.channel.item").alias("r"))
-    return collected(rows, "rss", title=F.col("r.title"), url=F.trim("r.link"), external_id=F.col("r.guid"), description=clean_text(F.col("r.description")), author=blank_null(F.col("r.author")), published_at=dates.parse_published(F.col("r.pubDate")), journal=F.col("__doc.channel.title"), raw_payload=F.to_json("r"))
-
-
-ARTICLES = "PubmedArticle array<struct<body:string>>"
+    """Feeds, RSS 2.0 or Atom."""
+    address = lambda e: F.get(F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate"), F.lit(0))["_href"]
+    item = lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["guid"].alias("guid"), i["pubDate"].alias("at"), i["description"].alias("description"), i["author"].alias("author"))
+    entry = lambda e: F.struct(e["title"].alias("title"), address(e).alias("link"), e["id"].alias("guid"), F.coalesce(e["published"], e["updated"]).alias("at"), F.coalesce(e["summary"], e["content"]).alias("description"), e["author"]["name"].alias("author"))
+    both = F.coalesce(F.transform("__doc.channel.item", item), F.transform("__doc.entry", entry))
+    rows = payloads.withColumn("__doc", F.from_xml("body", FEED)).select("*", F.explode_outer(both).alias("r")).where("r IS NOT NULL")
+    return collected(rows, "rss", title=F.col("r.title"), url=F.trim("r.link"), external_id=F.col("r.guid"), description=clean_text(F.col("r.description")), author=blank_null(F.col("r.author")), published_at=dates.parse_published(F.col("r.at")), journal=F.coalesce("__doc.channel.title", "__doc.title"), raw_payload=F.to_json("r"))
 
 
 def pubmed(payloads: DataFrame) -> DataFrame:
@@ -202,15 +206,15 @@ def page_items(payloads: DataFrame, source: str, title_tag: bool) -> DataFrame:
     return collected(rows, source, title=title, url=F.col("url"), description=clean_text(first(F.col("ld.description"), F.col("meta.description"))), content_body=first(F.col("article"), F.col("ld.body")), author=F.col("ld.author"), published_at=dates.parse_published(first(F.col("ld.published"), F.col("meta.published"))), journal=F.col("meta.site"))
 
 
-def html_crawl(payloads: DataFrame) -> DataFrame:
-    return page_items(payloads, "html_crawl", False)
+def html_pages(payloads: DataFrame) -> DataFrame:
+    return page_items(payloads, "html_pages", False)
 
 
-def playwright_crawl(payloads: DataFrame) -> DataFrame:
+def browser_pages(payloads: DataFrame) -> DataFrame:
     """Pages as a browser saved them; block and error pages are left out by their titles."""
     from millrace.functions.text import is_no_content_title
 
-    found = page_items(payloads, "playwright_crawl", True)
+    found = page_items(payloads, "browser_pages", True)
     return found.where(~is_no_content_title(F.col("title")))
 
 
@@ -256,7 +260,7 @@ def link_harvester_backfill(stubs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 #: Readers by platform; the names that a catalog may use.
-READERS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (reddit, rss, pubmed, europepmc, openalex, semanticscholar, crossref, biorxiv, doaj, clinicaltrials, core, wikipedia, hackernews, youtube, newsapi, html_crawl, playwright_crawl, sitemap, nhs_api, cdc_data, link_harvester, link_harvester_backfill)}
+READERS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (reddit, rss, pubmed, europepmc, openalex, semanticscholar, crossref, biorxiv, doaj, clinicaltrials, core, wikipedia, hackernews, youtube, newsapi, html_pages, browser_pages, sitemap, nhs_api, cdc_data, link_harvester, link_harvester_backfill)}
 
 
 def read(platform: str, payloads: DataFrame, *more: DataFrame) -> DataFrame:

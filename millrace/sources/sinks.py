@@ -20,17 +20,24 @@ def hadoop(spark: SparkSession, path: str):
 
 
 class Snapshots:
-    """A table as numbered folders under one path: a writer adds the next and then names it; readers see the one that is named. A batch number makes a repeated write of the same batch have no effect."""
+    """A table as numbered folders under one path, each named by a pointer file of its own number.
+
+    A writer writes a folder, then a pointer under another name, and renames that to its number: one step, which takes
+    nothing away. Readers take the greatest number. A writer that dies at any point leaves the table as it was. A batch
+    number makes a repeated write of the same batch have no effect.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def current(self) -> tuple[str | None, int]:
-        fs, p = hadoop(self.spark, f"{self.path}/current.json")
+        fs, p = hadoop(self.spark, f"{self.path}/pointers")
         if not fs.exists(p):
             return None, -1
-        line = self.spark.read.text(f"{self.path}/current.json").first()["value"]
-        said = json.loads(line)
+        named = [n for f in fs.listStatus(p) if (n := f.getPath().getName()).startswith("batch-")]
+        if not named:
+            return None, -1
+        said = json.loads(self.spark.read.text(f"{self.path}/pointers/{max(named)}").first()["value"])
         return said["folder"], said["batch"]
 
     def read(self, schema) -> DataFrame:
@@ -38,20 +45,21 @@ class Snapshots:
         return self.spark.createDataFrame([], schema) if folder is None else self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
 
     def write(self, df: DataFrame, batch: int) -> bool:
-        """Whether the batch was new."""
+        """Whether the batch was new. Of two writers of one batch the first to name its folder wins."""
         _, last = self.current()
         if batch <= last:
             return False
         folder = f"v{batch:012d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
-        fs, to = hadoop(self.spark, f"{self.path}/current.json")
-        _, temp = hadoop(self.spark, f"{self.path}/next-{uuid.uuid4().hex}.json")
+        fs, temp = hadoop(self.spark, f"{self.path}/pointers/.next-{uuid.uuid4().hex}")
         out = fs.create(temp)
         out.write(bytearray(json.dumps({"folder": folder, "batch": batch}).encode()))
         out.close()
-        fs.delete(to, False)
-        fs.rename(temp, to)
-        return True
+        return self.publish(fs, temp, batch)
+
+    def publish(self, fs, temp, batch: int) -> bool:
+        _, to = hadoop(self.spark, f"{self.path}/pointers/batch-{batch:012d}.json")
+        return not fs.exists(to) and bool(fs.rename(temp, to))
 
 
 def appendable(catalog: DataFrame, entries: DataFrame) -> DataFrame:
@@ -59,7 +67,10 @@ def appendable(catalog: DataFrame, entries: DataFrame) -> DataFrame:
     host = lambda: domain(F.get_json_object("config", "$.base_url"))
     covered = catalog.where("authority_tier IN (1, 2)").select(host().alias("__host")).where("__host IS NOT NULL").distinct()
     good = entries.where(entry_is_valid(F.col("key"), F.col("platform"), F.col("authority_tier"), F.col("config"))).withColumn("__host", host())
-    return good.join(catalog.select("key"), "key", "left_anti").join(covered, "__host", "left_anti").orderBy("key").dropDuplicates(["key"]).dropDuplicates(["__host"]).select(*entries.columns)
+    free = good.join(catalog.select("key"), "key", "left_anti").join(covered, "__host", "left_anti")
+    row = F.struct("key", *(c for c in entries.columns if c != "key"), "__host")
+    per_key = free.groupBy("key").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return per_key.groupBy("__host").agg(F.min_by(F.struct(*entries.columns), "key").alias("row")).select("row.*")
 
 
 def append_catalog(spark: SparkSession, path: str, entries: DataFrame, batch: int) -> DataFrame:

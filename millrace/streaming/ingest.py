@@ -29,10 +29,11 @@ def merge_batch(store: Snapshots, schema=ITEMS):
     return run
 
 
-def ingest(spark: SparkSession, incoming: str, table: str, checkpoint: str, schema, files_per_batch: int = 100) -> StreamingQuery:
-    """Item files under incoming into the snapshots under table; ends when all files are in. schema: of the files, with seq."""
+def ingest(spark: SparkSession, incoming: str, table: str, checkpoint: str, schema, files_per_batch: int = 100, every: str | None = None) -> StreamingQuery:
+    """Item files under incoming into the snapshots under table. schema: of the files, with seq. every: how often it looks for
+    new files, such as 60 seconds; without it, it ends when all files are in."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(incoming)
-    return stream.writeStream.foreachBatch(merge_batch(Snapshots(spark, table))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge_batch(Snapshots(spark, table))).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
 
 def new_only(stream: DataFrame, key: str = "url", time: str = "collected_at", delay: str = "7 days") -> DataFrame:

@@ -28,8 +28,38 @@ def test_content_url(spark, url, want):
 @pytest.mark.parametrize("url,want", [
     ("HTTPS://Ex.ORG/a/?utm_source=x&b=2&a=&b=3#f", "https://ex.org/a/?b=2&b=3"), ("https://ex.org/a///", "https://ex.org/a"), ("https://ex.org/?REF=1", "https://ex.org"), ("https://ex.org/p?q=a%20b", "https://ex.org/p?q=a+b"), ("", ""), (None, None), ("http://[bad", "http://[bad"),
 ])
-def test_canonical(url, want):
-    assert urls.canonical(url) == want
+def test_canonical(spark, url, want):
+    assert one(spark, urls.normalize_url(F.col("u").cast("string")), u=url) == want
+
+
+def test_canonical_of_many(spark):
+    """Against the standard library's parser and encoder, on URLs put together at random."""
+    import random
+    from urllib.parse import parse_qsl, urlencode, urlsplit
+
+    draw = random.Random(5)
+    names, values = ["a", "b", "B", "utm_source", "ref", "x%20y", "é", "%41", "", "k*~"], ["1", "", "a+b", "%E2%82%AC", "100%", "x=y", "~*'", "ü", "%2F"]
+    given = []
+    for _ in range(400):
+        query = "&".join(draw.choice([f"{draw.choice(names)}={draw.choice(values)}", draw.choice(names)]) for _ in range(draw.randrange(5)))
+        given.append(f"{draw.choice(['HTTP', 'https'])}://{draw.choice(['Ex.org', 'a.B.com:80', 'u@h.net'])}{draw.choice(['', '/', '/P/q//', '/a;b'])}{draw.choice(['?', '']) if not query else '?'}{query}{draw.choice(['', '#f?g', '#'])}")
+
+    def plain(url):
+        parts = urlsplit(url)
+        pairs = [(k, v) for k, v in parse_qsl(parts.query) if k.lower() not in urls.TRACKING]
+        order = list(dict.fromkeys(k for k, _ in pairs))
+        query = urlencode(sorted(pairs, key=lambda p: order.index(p[0])))
+        return f"{parts.scheme.lower()}://{parts.netloc.lower()}{parts.path}{'?' + query if query else ''}".rstrip("/")
+
+    rows = spark.createDataFrame([(u,) for u in given], "u string").select("u", urls.normalize_url(F.col("u")).alias("x")).collect()
+    assert [(r["u"], r["x"]) for r in rows if r["x"] != plain(r["u"])] == []
+
+
+@pytest.mark.parametrize("word,want", [("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"), ("motoring", "motor"), ("sing", "sing"), ("conflated", "conflat"), ("hopping", "hop"), ("falling", "fall"), ("filing", "file"), ("happy", "happi"), ("sky", "sky"), ("relational", "relat"), ("vietnamization", "vietnam"), ("hopefulness", "hope"), ("formaliti", "formal"), ("triplicate", "triplic"), ("electrical", "electr"), ("goodness", "good"), ("revival", "reviv"), ("adjustment", "adjust"), ("adoption", "adopt"), ("probate", "probat"), ("rate", "rate"), ("cease", "ceas"), ("controll", "control"), ("roll", "roll"), ("sleeping", "sleep"), ("sleeps", "sleep"), ("a1b", "a1b"), ("", "")])
+def test_stems(word, want):
+    from millrace.functions.stem import stem
+
+    assert stem(word) == want
 
 
 @pytest.mark.parametrize("url,domain,want", [("https://www.cdc.gov/x", "cdc.gov", True), ("https://a.cdc.gov/x", "cdc.gov", True), ("https://notcdc.gov/", "cdc.gov", False), ("https://cdc.gov.evil.com/", "cdc.gov", False)])
@@ -44,7 +74,7 @@ def test_domain(spark, url, want):
 
 @pytest.mark.parametrize("title,description,kind,platform,want", [
     ("A systematic review", None, "academic", "biorxiv", "systematic_review"), ("x", None, "reddit", "rss", "anecdotal"), ("x", None, "blog", "rss", "blog"), ("x", None, "academic", "biorxiv", "preprint"), ("x", None, None, "clinicaltrials", "clinical_trial"),
-    ("x", None, "official_health", "nhs_api", "government_guidance"), ("x", None, "official_health", "rss", None), ("x", None, "hospital", "html_crawl", "hospital_education"), ("x", "an RCT of y", "academic", "pubmed", "rct"), ("x", None, "academic", "pubmed", "peer_reviewed_study"), (None, None, None, None, None),
+    ("x", None, "official_health", "nhs_api", "government_guidance"), ("x", None, "official_health", "rss", None), ("x", None, "hospital", "html_pages", "hospital_education"), ("x", "an RCT of y", "academic", "pubmed", "rct"), ("x", None, "academic", "pubmed", "peer_reviewed_study"), (None, None, None, None, None),
 ])
 def test_evidence(spark, title, description, kind, platform, want):
     s = lambda v: F.lit(v).cast("string")
@@ -101,14 +131,17 @@ def test_rates(spark):
     assert one(spark, text.backoff_seconds(F.lit(9))) == 60.0
 
 
-def test_chunker():
-    assert chunking.chunk_text("") == [] and chunking.chunk_text(None) == []
+def test_chunker(spark):
+    def chunked(text):
+        return one(spark, chunking.chunks(F.col("t").cast("string")), t=text)
+
+    assert chunked("") == chunked(None) == chunked(" \n\n ") == []
     para = " ".join(f"w{i}" for i in range(400))
-    got = chunking.chunk_text("\n\n\n".join([para] * 3))
+    got = chunked("\n\n\n".join([para] * 3))
     assert len(got) == 3 and got[1].split()[:60] == got[0].split()[-60:]
     long = " ".join(f"x{i}" for i in range(900))
-    assert chunking.chunk_text(para + "\n\n" + long) == [para, long]
-    assert chunking.chunk_text(long + "\n\n" + "tiny end") == [long + " tiny end"]
+    assert chunked(para + "\n\n" + long) == [para, long]
+    assert chunked(long + "\n\n" + "tiny end") == [long + " tiny end"]
     assert {w for c in got for w in c.split()} == set(para.split())
 
 
