@@ -231,7 +231,7 @@ def index_files(spark: SparkSession, benchmark: DataFrame, id_col: str = "item_i
     n = max(1, math.ceil(2 * chars / BLOCK_CHARS)) if chars > BLOCK_CHARS else 1
     out = work_path(spark, "benchmark-blocks")
 
-    def write(key, block: pa.Table) -> pa.Table:
+    def write(key, block):
         path = f"{out}/{task_name()}-{key[0].as_py():06d}.json"
         given = sorted(zip(*(block.column(c).to_pylist() for c in ("id", "text", "times"))), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         put_file(path, json.dumps(given).encode())
