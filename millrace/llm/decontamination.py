@@ -148,6 +148,22 @@ class Items:
         good = different[used] >= self.least[owner]
         return [(int(o), int(numbers[u] - first[o])) for o, u in zip(owner[good], used[good])]
 
+    def found_in(self, text: str) -> bool:
+        """Whether a text holds any item."""
+        codes = points(plain(text))
+        raw = codes.tobytes() if self.short else b""
+        for _, t, _, _ in self.short:
+            at = raw.find(t)
+            while at >= 0 and at % 4:
+                at = raw.find(t, at + 1)
+            if at >= 0:
+                return True
+        for item, cell in self.candidates(codes):
+            e, low = int(self.edits[item]), cell * int(self.step[item]) - int(self.size[item])
+            if banded(self.rows[item][1], codes, low - e, low + 2 * int(self.step[item]) - 1 + e, e):
+                return True
+        return False
+
     def matches(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
         """(item id, start, end, edits, characters of the item) of every place of each item, as often as the item stands in its table."""
         codes = points(plain(text))
@@ -165,7 +181,7 @@ class Items:
             low = cell * step - m
             high = low + 2 * step - 1
             # all that this band can give overlaps a place without edits
-            if any(d == 0 and b - m + e < low - e and high + e < b for d, a, b in hits.get(item, ())):
+            if any(d == 0 and a - m + e < low - e and high + e < b for d, a, b in hits.get(item, ())):
                 continue
             hit = banded(self.rows[item][1], codes, low - e, high + e, e)
             if hit:
@@ -276,7 +292,7 @@ def leaks(spark: SparkSession, benchmark: DataFrame, text_col: str = "text"):
         with uncollected():
             for path in files:
                 items = index(path)
-                found = [f or bool(items.matches(t)) for f, t in zip(found, given)]
+                found = [f or items.found_in(t) for f, t in zip(found, given)]
         return pa.array(found, pa.bool_())
 
     return run(F.col(text_col))
