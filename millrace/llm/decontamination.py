@@ -121,11 +121,16 @@ class Items:
         if total < self.least.min():
             return []
         entry = np.repeat(self.begin[k] - np.cumsum(n) + n, n) + np.arange(total)
-        item, place = self.item[entry], self.place[entry]
+        item, place, at = self.item[entry], self.place[entry], np.repeat(at, n)
+        near = (np.bincount(item, minlength=len(self.size)) >= self.least)[item]  # items with enough of their grams anywhere
+        if not near.any():
+            return []
+        item, place, at = item[near], place[near], at[near]
+        total = len(item)
         cells = (len(codes) + self.size) // self.step + 2
         first = np.cumsum(cells) - cells
-        key = first[item] + (np.repeat(at, n) - place + self.size[item]) // self.step[item]
-        if int(cells.sum()) > 8 * total + 500_000:  # few grams in many cells: number the cells that have any
+        key = first[item] + (at - place + self.size[item]) // self.step[item]
+        if int(cells.sum()) > 8 * total:  # few grams in many cells: number the cells that have any
             filled, short = np.unique(np.concatenate([key, key - 1]), return_inverse=True)
             key, numbers = short[:total], filled
         else:
