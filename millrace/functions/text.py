@@ -23,7 +23,7 @@ EVIDENCE_WORDS = {
 EVIDENCE_OF_PLATFORM = {"biorxiv": "preprint", "clinicaltrials": "clinical_trial"}
 GUIDANCE_PLATFORMS = ("html_pages", "browser_pages", "nhs_api")
 DOI_RESOLVER = r"(?i)^https?://(dx\.)?doi\.org/"
-#: Kinds of references in running text, in the order in which they are looked for.
+# The forms of the identifiers, by kind of reference in running text, in the order in which they are looked for.
 REFERENCES = {"doi": r"""doi\.org/(10\.[^\s">\]]+)""", "pmid": r"pubmed\.ncbi\.nlm\.nih\.gov/(\d{4,})", "arxiv": r"arxiv\.org/abs/([\w.]+)", "pmc": r"pmc\.ncbi\.nlm\.nih\.gov/PMC(\d+)"}
 #: Prefixes that the embedding model expects.
 DOCUMENT_PREFIX, QUERY_PREFIX = "search_document: ", "search_query: "

@@ -687,7 +687,7 @@ CHUNK_STEP = (
 
 @query(
     "SELECT doc_id, unnest(range(len(parts)))::INT AS chunk_index, unnest(parts) AS chunk_text FROM ("
-    f"SELECT doc_id, list_reduce(list_transform(list_filter(done || CASE WHEN n > 0 THEN [s] ELSE [] END, lambda c: true), lambda c: [c]), lambda o, c: CASE WHEN {TOKENS.format('c[1]')} < 200 THEN o[:-2] || [o[-1] || ' ' || c[1]] ELSE o || c END) AS parts FROM ("
+    f"SELECT doc_id, list_reduce(list_transform(done || CASE WHEN n > 0 THEN [s] ELSE [] END, lambda c: [c]), lambda o, c: CASE WHEN {TOKENS.format('c[1]')} < 200 THEN o[:-2] || [o[-1] || ' ' || c[1]] ELSE o || c END) AS parts FROM ("
     f"SELECT doc_id, unnest(list_reduce([{{'done': []::VARCHAR[], 's': '', 'n': 0::BIGINT}}] || segments, lambda a, x: {CHUNK_STEP})) FROM ("
     rf"SELECT doc_id, list_transform(flatten(list_transform(list_filter(list_transform(regexp_split_to_array(text, '\n\n+'), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> ''), lambda p: CASE WHEN {TOKENS.format('p')} > 1000 THEN string_split(regexp_replace(p, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) ELSE [p] END)), lambda s: {{'done': []::VARCHAR[], 's': s, 'n': {TOKENS.format('s')}::BIGINT}}) AS segments FROM documents WHERE text IS NOT NULL))) WHERE len(parts) > 0"
 )
