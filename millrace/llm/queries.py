@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, capture_index, decontamination, mpeg_audio, order_minhash, quality, secret_scan, sstable, token_count, url_filter
+from millrace.llm import bpe, capture_index, decontamination, mpeg_audio, order_minhash, personal_data, quality, secret_scan, sstable, token_count, url_filter
 from millrace.llm._common import table, work_path
 
 
@@ -74,9 +74,13 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op8_decontamination, op9_secret_scan, op10_order_minhash)}
+    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op8_decontamination, op9_secret_scan, op10_order_minhash, op13_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.oracle(url_model())}
+    return {"op4_url_filter": url_filter.oracle(url_model()), "op13_personal_data": personal_data.oracle()}
