@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, capture_index, decontamination, mpeg_audio, order_minhash, personal_data, quality, secret_scan, sstable, tandem_runs, token_count, url_filter
+from millrace.llm import bpe, capture_index, decontamination, mpeg_audio, order_minhash, personal_data, quality, secret_scan, spelling_variants, sstable, tandem_runs, token_count, url_filter
 from millrace.llm._common import table, work_path
 
 
@@ -74,6 +74,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants.spelling_variants(spark, table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tandem_runs.digest(tandem_runs.find_runs(table(spark, sf_dir, "documents"), plant=True))
 
@@ -83,7 +88,7 @@ def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op8_decontamination, op9_secret_scan, op10_order_minhash, op12_tandem_runs, op13_personal_data)}
+    return {f.__name__: f for f in (op1_mpeg_audio, op2_token_counts, op3_sstable, op4_url_filter, op5_byte_bpe, op6_quality, op7_warc, op8_decontamination, op9_secret_scan, op10_order_minhash, op11_spelling_variants, op12_tandem_runs, op13_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
