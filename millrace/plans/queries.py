@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import chunking, html, records, text, urls
-from millrace.operators import dedup, lifecycle, merge, queues, search, state
+from millrace.operators import dedup, graph_index, lifecycle, merge, queues, search, state
 from millrace.plans import corpus, views
 from millrace.plans.corpus import AS_OF, CHUNKS, DISCOVERY, FETCHES, ITEMS, REQUESTS, SURFACES, as_of, table
 from millrace.session import once
@@ -622,6 +622,21 @@ def ann_topk(spark, d):
     return search.ann_topk(index, stated_queries(table(spark, d, "embeddings")), centres, 10)
 
 
+def vector_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The graph index of the vectors, stored once."""
+
+    def build(path: str) -> DataFrame:
+        graph_index.graph_index(table(spark, d, "embeddings"), "vec_id").write.parquet(path)
+        return spark.read.parquet(path)
+
+    return once(spark, f"{d}/embeddings.parquet", "vector-graph", build)
+
+
+@query()
+def graph_topk(spark, d):
+    return graph_index.graph_topk(vector_graph(spark, d), stated_queries(table(spark, d, "embeddings")), 10)
+
+
 TERMS = rf"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\pL\pN\pM\p{{Pc}}]+', ' ', 'g'), '\s+'), lambda w: w <> '' AND w NOT IN ({strings(search.STOP_WORDS)}))"
 POSTINGS = f"worded AS (SELECT doc_id, {TERMS} AS w FROM documents), postings AS (SELECT term, doc_id, len, count(*) AS tf FROM (SELECT doc_id, len(w)::INT AS len, unnest(w) AS term FROM worded) GROUP BY ALL)"
 
