@@ -53,11 +53,12 @@ def merge_by_key(stored: DataFrame, incoming: DataFrame, key: str, policy: dict[
     return both.groupBy(key).agg(*(by_policy(c, policy.get(c, "last"), F.col(SEQ)).alias(c) for c in names)).select(*stored.columns)
 
 
-def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq") -> DataFrame:
-    """Incoming rows without those whose DOI another URL has: a stored one, or an earlier one of the batch."""
+def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken: DataFrame | None = None) -> DataFrame:
+    """Incoming rows without those whose DOI another URL has: a stored one, or an earlier one of the batch. taken: who has which
+    DOI (doi, url) where stored isn't the whole table."""
     if "doi" not in incoming.columns:
         return incoming
-    taken = stored.where("doi IS NOT NULL").select(F.col("doi").alias("__doi"), F.col("url").alias("__url"))
+    taken = (stored if taken is None else taken).where("doi IS NOT NULL").select(F.col("doi").alias("__doi"), F.col("url").alias("__url"))
     free = incoming.join(taken, (F.col("doi") == F.col("__doi")) & (F.col("url") != F.col("__url")), "left_anti")
     stored_urls = stored.select("url", F.lit(True).alias("__known"))
     first_url = F.first("url").over(Window.partitionBy("doi").orderBy(F.col("__known").desc_nulls_last(), seq, "url"))
@@ -65,9 +66,10 @@ def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq") -> Dat
     return free.where("doi IS NULL").unionByName(with_doi.select(*free.columns))
 
 
-def merge_items(stored: DataFrame, incoming: DataFrame, seq: str = "seq") -> DataFrame:
-    """The items' own merge on url. Bodies that change set needs_rechunk and clear the embedding (compared before and after)."""
-    new = merge_by_key(stored, one_per_doi(stored, incoming, seq), "url", ITEM_POLICY, seq)
+def merge_items(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken: DataFrame | None = None) -> DataFrame:
+    """The items' own merge on url. Bodies that change set needs_rechunk and clear the embedding (compared before and after).
+    taken: see one_per_doi."""
+    new = merge_by_key(stored, one_per_doi(stored, incoming, seq, taken), "url", ITEM_POLICY, seq)
     before = stored.select("url", content_hash(F.col("content_body")).alias("__before"))
     joined = new.join(before, "url", "left")
     changed = F.col("__before").isNotNull() & ~content_hash(F.col("content_body")).eqNullSafe(F.col("__before"))

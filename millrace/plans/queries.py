@@ -11,7 +11,8 @@ from millrace.functions import chunking, html, records, text, urls
 from millrace.operators import dedup, graph_index, lifecycle, merge, queues, search, state
 from millrace.plans import corpus, views
 from millrace.plans.corpus import AS_OF, CHUNKS, DISCOVERY, FETCHES, ITEMS, REQUESTS, SURFACES, as_of, table
-from millrace.session import once
+from millrace.session import once, work_path
+from millrace.sources.buckets import ItemStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -418,6 +419,18 @@ def merge_items(spark, d):
     return new.select("url", "id", "title", "description", F.sha2("content_body", 256).alias("body_hash"), "authority_tier", F.array_join("domain_tags", ",").alias("tags"), "doi")
 
 
+@query(ORACLES["merge_items"])
+def merge_items_in_buckets(spark, d):
+    """The same merge into a store of buckets: the items loaded, then two batches, each into the buckets of its keys."""
+    rows = incoming(spark, d)
+    store = ItemStore(spark, work_path(spark, "items"), corpus.items(spark, d).select(*KEPT).schema, buckets=64)
+    store.load(corpus.items(spark, d).select(*KEPT))
+    middle = 500_000
+    store.merge(rows.where(F.col("seq") < middle), 1)
+    store.merge(rows.where(F.col("seq") >= middle), 2)
+    return store.read("items").select("url", "id", "title", "description", F.sha2("content_body", 256).alias("body_hash"), "authority_tier", F.array_join("domain_tags", ",").alias("tags"), "doi")
+
+
 @query(
     "SELECT seq, url, doi FROM (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY seq) AS rn FROM (SELECT id AS seq, url || '/b' AS url, '10.1000/x' || (id % 500) AS doi FROM items WHERE id % 2 = 1) b WHERE NOT EXISTS (SELECT 1 FROM items i WHERE i.doi = b.doi AND i.url <> b.url)) WHERE rn = 1",
     ITEMS,

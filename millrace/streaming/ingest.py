@@ -13,27 +13,33 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.merge import merge_items
 from millrace.operators.state import give_up_stream
 from millrace.schemas import ITEMS
+from millrace.sources.buckets import ItemStore
 from millrace.sources.sinks import Snapshots
 
 GIVE_UP = "domain string, ever_succeeded boolean, first_failure_at timestamp, consecutive_403_count int, given_up boolean, given_up_at timestamp, last_checked_at timestamp"
 GIVE_UP_STATE = "ever boolean, first long, refused int, given long"
 
 
-def merge_batch(store: Snapshots, schema=ITEMS):
-    """For foreachBatch: batch rows, which carry seq, into the next snapshot."""
+def merge_batch(store: Snapshots | ItemStore, schema=ITEMS):
+    """For foreachBatch: batch rows, which carry seq, into the store. In buckets only those of the batch's keys are rewritten, and
+    what earlier batches have left is removed; snapshots are written whole each time."""
 
     def run(batch: DataFrame, number: int) -> None:
-        stored = store.read(schema)
-        store.write(merge_items(stored, batch), number)
+        if isinstance(store, ItemStore):
+            store.merge(batch, number)
+            store.expire()
+        else:
+            store.write(merge_items(store.read(schema), batch), number)
 
     return run
 
 
-def ingest(spark: SparkSession, incoming: str, table: str, checkpoint: str, schema, files_per_batch: int = 100, every: str | None = None) -> StreamingQuery:
-    """Item files under incoming into the snapshots under table. schema: of the files, with seq. every: how often it looks for
-    new files, such as 60 seconds; without it, it ends when all files are in."""
+def ingest(spark: SparkSession, incoming: str, table: str | ItemStore, checkpoint: str, schema, files_per_batch: int = 100, every: str | None = None) -> StreamingQuery:
+    """Item files under incoming into the snapshots under table, or into the buckets of an ItemStore. schema: of the files, with
+    seq. every: how often it looks for new files, such as 60 seconds; without it, it ends when all files are in."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(incoming)
-    return stream.writeStream.foreachBatch(merge_batch(Snapshots(spark, table))).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
+    store = table if isinstance(table, ItemStore) else Snapshots(spark, table)
+    return stream.writeStream.foreachBatch(merge_batch(store)).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
 
 def new_only(stream: DataFrame, key: str = "url", time: str = "collected_at", delay: str = "7 days") -> DataFrame:
