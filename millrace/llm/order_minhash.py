@@ -9,10 +9,13 @@ numbered in the written table of rows.
 In each bucket of equal sketches every node is compared with the bucket's hub, its least node. Buckets that this leaves
 with several classes are then compared in full, all nodes outside the bucket's largest class with all others. Where that
 would be too many pairs (more than CROWD) the nodes have something in common that most of them are not alike for, such as
-a passage that very many documents quote. These are sketched anew by what is their own, the pairs of words that their hub
-does not have, with the least one in each of OWN_SLOTS; nodes of one hub with an equal sketch are compared in the same two
-steps, and so on for up to LEVELS levels, in the last of them in full. So no bucket is cut off, and hardly any two nodes are
-compared for common passages alone.
+a passage that very many documents quote. All nodes of such buckets are joined by an exact prefix filter instead: texts
+that are alike share eight tenths of the words of the longer one (the first, second, ... occurrence of a word count as
+different words), so in any order of words they share one among the first two tenths and one of each. With the rarest words
+first, common passages come last, and words of a passage are asked for only where the passage is most of the text, so that
+those who quote it are alike. Groups that this leaves crowded are split by a second shared word among the first two
+tenths and two, and so on for LEVELS steps, each of them exact; the last one's groups are compared in full. So every pair
+that meets in a bucket and is alike is found, or is in one class already, in whatever order the rows come.
 
 Pairs are verified by banded alignment of their words; classes are the connected components of the links.
 """
@@ -33,11 +36,14 @@ from millrace.llm._common import cut, drop, map_steps, release, text_of
 K, L, SLOTS, SIMILARITY, SALTS = 5, 3, 8, 0.8, 16
 FINE_K, FINE_L, FINE_SLOTS = 2, 2, 28
 TINY_L, TINY_SLOTS, SHORT = 3, 20, 40
-OWN_SLOTS, CROWD, LEVELS = 20, 128, 4
+CROWD, LEVELS = 2_000, 4
 BINS = 256
+#: Occurrences of words among crowded nodes are counted in 2 ** RARITY_BITS bins, whatever their number: the order that the
+#: prefix filter uses has a fixed size.
+RARITY_BITS = 19
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
-TURN, FINE_TURN, TINY_TURN, OWN_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS, OWN_SLOTS))
+TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -113,12 +119,29 @@ def sketch(codes: np.ndarray) -> list[int]:
     return least_runs(labelled(codes), TURN, L)
 
 
-def own_keys(codes: np.ndarray, hub: int, hub_codes: np.ndarray) -> list[int]:
-    """Sketches of what a text has and its hub has not, for this hub; one key if there is nothing."""
-    own = labelled(codes, FINE_K)
-    own = own[~np.isin(own, labelled(hub_codes, FINE_K))]
-    keys = np.array(least_runs(own, OWN_TURN, 1) or [0], np.int64).view(np.uint64)
-    return mixed(keys + np.array([hub], np.uint64) * MIX[2]).view(np.int64).tolist()
+def bins_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def prefix_keys(codes: np.ndarray, rarity: np.ndarray, parents: list[tuple[int, int]], shared: int) -> tuple[list[int], list[int]]:
+    """Keys by which a text meets all that are alike and share the words of a parent key, and the places of their words in its order.
+
+    rarity: by bin, how often its words occur. parents: keys of groups with the place of their last word (0, -1 for none).
+    shared: how many words the new keys stand for. If two texts are alike, the first `shared` words of the order that both
+    have are within this limit in each. Words that occur once bring nobody together.
+    """
+    tokens = labelled(codes, 1)
+    often = rarity[bins_of(tokens)]
+    order = np.lexsort((tokens, often))
+    limit = len(codes) - int(np.ceil(SIMILARITY * len(codes) - 1e-9)) + shared
+    keys, places = [], []
+    for key, place in parents:
+        at = np.arange(place + 1, min(limit, len(order)))
+        at = at[often[order[at]] > 1]
+        begin = np.array([key], np.int64).view(np.uint64) * MIX[2]
+        keys += mixed(tokens[order[at]] + begin).view(np.int64).tolist()
+        places += at.tolist()
+    return keys, places
 
 
 def bucket_keys(codes: np.ndarray) -> list[int]:
@@ -330,22 +353,38 @@ def cross_pairs(apart: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def by_own(spark: SparkSession, crowd: DataFrame, met: DataFrame) -> DataFrame:
-    """Entries (key, node) of the pairs (a node, b its hub) by what is the node's own."""
+def rarity_of(words: DataFrame) -> np.ndarray:
+    """For each bin how often its words occur in a table of words: 2 ** RARITY_BITS numbers, summed up in the tasks and then by bin."""
+
+    def run(batches):
+        counts = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for raw in batch.column("words").to_pylist():
+                counts += np.bincount(bins_of(labelled(np.frombuffer(raw, "<u4"), 1)), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names=["bin", "n"])
+
+    found = words.select("words").mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << RARITY_BITS, np.int32)
+    out[found.column("bin").to_numpy()] = np.minimum(found.column("n").to_numpy(), np.iinfo(np.int32).max)
+    return out
+
+
+def by_prefix(spark: SparkSession, words: DataFrame, rarity: np.ndarray, crowd: DataFrame | None, shared: int) -> DataFrame:
+    """Entries (key, node, place) of the nodes of words (node, words), or of those of crowd (node, key, place) within their groups."""
 
     def make(part):
-        of = lambda name: [np.frombuffer(x, "<u4") for x in part.column(name).to_pylist()]
-        return part.column("a"), [own_keys(x, h, y) for x, h, y in zip(of("words_a"), part.column("b").to_pylist(), of("words_b"))]
+        parents = part.column("parents").to_pylist()
+        found = [prefix_keys(np.frombuffer(w, "<u4"), rarity, [(x["key"], x["place"]) for x in p], shared) for w, p in zip(part.column("words").to_pylist(), parents)]
+        return part.column("node"), [[dict(zip(("key", "place"), x)) for x in zip(*f)] for f in found]
 
-    crowd = cut(spark, crowd, "omh-crowd")
-    # there are far fewer hubs than nodes: written, their rows are few; Spark splits the tasks of a hub with very many nodes
-    hubs = cut(spark, met.select(F.col("node").alias("b"), F.col("words").alias("words_b")).join(crowd.select("b").distinct().hint("merge"), "b"), "omh-crowd-hubs")
-    release(spark)
-    both = crowd.join(met.select(F.col("node").alias("a"), F.col("words").alias("words_a")).hint("merge"), "a").join(hubs.hint("merge"), "b")
-    keys = map_steps(both, "words_a", make, "node long, keys array<long>")
-    entries = cut(spark, keys.select("node", F.explode("keys").alias("key")), "omh-own")
-    release(spark)
-    return entries
+    if crowd is None:
+        rows = words.withColumn("parents", F.array(F.struct(F.lit(0).cast("long").alias("key"), F.lit(-1).alias("place"))))
+    else:
+        parents = crowd.groupBy("node").agg(F.collect_list(F.struct("key", "place")).alias("parents"))
+        rows = words.join(parents.hint("merge"), "node")
+    keys = map_steps(rows.select("node", "words", "parents"), "words", make, "node long, keys array<struct<key:long,place:int>>")
+    return cut(spark, keys.select("node", F.explode("keys").alias("k")).select("node", "k.key", "k.place"), "omh-prefix")
 
 
 def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -364,16 +403,24 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     release(spark)
     links = verified(spark, hub_pairs(buckets, sizes.withColumn("label", F.col("node"))), met)
     labels = components(spark, links)
+    words = rarity = None
     for level in range(LEVELS):
         known = sizes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
         known = cut(spark, known, "omh-known")
         apart = left_apart(spark, buckets, known)
         drop(spark, buckets)
-        crowd = apart.where(F.col("work") > CROWD).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        crowd = apart.where(F.col("work") > CROWD)
         last = level == LEVELS - 1 or crowd.isEmpty()
         pairs = cross_pairs(apart if last else apart.where(F.col("work") <= CROWD))
         if not last:
-            buckets = meet(spark, by_own(spark, crowd, met))
+            if words is None:
+                crowded = cut(spark, crowd.select("node").distinct(), "omh-crowd")
+                words = cut(spark, met.select("node", "words").join(crowded.hint("merge"), "node"), "omh-crowd-words")
+                rarity = rarity_of(words)
+                release(spark)
+            entries = by_prefix(spark, words, rarity, None if level == 0 else crowd, level + 1)
+            buckets = meet(spark, entries)
+            drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()
         more = verified(spark, pairs, met)
         drop(spark, apart, known)
@@ -382,6 +429,8 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
             labels = components(spark, links)
         if last:
             break
+    if words is not None:
+        drop(spark, words, crowded)
     drop(spark, met, sizes)
     release(spark)
     return labels

@@ -565,21 +565,76 @@ def test_short_texts_meet():
     assert len(met) > 1000 and np.mean(met) >= 0.998
 
 
-def test_own_keys():
-    """Two texts around a passage, similar in what is their own, share keys of their hub; two that have only the passage in common don't."""
-    draw, met, apart = random.Random(9), [], []
-    word = lambda n: [draw.randrange(10**6) for _ in range(n)]
-    for _ in range(200):
+def test_prefix_keys_lose_no_pair():
+    """Texts that are alike share a key at every level, whatever order of words the filter takes."""
+    draw, rng = random.Random(9), np.random.default_rng(9)
+    for trial in range(300):
+        rarity = rng.integers(2, 5 if trial % 2 else 10**6, 1 << order_minhash.RARITY_BITS).astype(np.int32)
+        a = [draw.randrange(30 if trial % 3 else 10**6) for _ in range(draw.randrange(1, 80))]
+        b = list(a)
+        for _ in range(int(0.2 * len(a))):
+            at = draw.randrange(len(b) + 1)
+            b[at : at + draw.randrange(2)] = [draw.randrange(10**6)] * draw.randrange(2)
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        if order_minhash.similar([(x, y)])[0] is None:
+            continue
+        parents = [(0, -1)]
+        for level in range(1, min(4, order_minhash.shared_words(x, y)) + 1):
+            found = [dict(zip(*order_minhash.prefix_keys(t, rarity, p, level))) for t, p in ((x, parents), (y, parents if level == 1 else other))]
+            both = found[0].keys() & found[1].keys()
+            assert both, (a, b, level)
+            parents, other = ([(k, f[k]) for k in sorted(both)] for f in found)
+
+
+@pytest.mark.parametrize("longs, shorts, mixed_up", [(30, 100, False), (200, 200, False), (300, 100, True)])
+def test_links_through_a_common_passage(spark, longs, shorts, mixed_up):
+    """Long texts with a passage and many words of their own come first and are unlike all; short ones with the passage are one class."""
+    draw = random.Random(longs)
+    word = lambda n: [f"w{draw.randrange(10**7)}" for _ in range(n)]
+    passage = word(90)
+    rows = [(k, " ".join(passage + word(60))) for k in range(longs)] + [(1000 + k, " ".join(passage + word(20))) for k in range(shorts)]
+    if mixed_up:
+        draw.shuffle(rows)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {got[k] for k in range(longs)} == set(range(longs)) and {got[1000 + k] for k in range(shorts)} == {1000}
+
+
+def test_groups_around_passages(spark):
+    """Passages of 30 to 90 % of a text, quoted by texts of other lengths; copies with edits: the classes of all pairs."""
+    draw, rows = random.Random(12), []
+    word = lambda n: [f"w{draw.randrange(3000)}" for _ in range(n)]
+    for share in (0.3, 0.5, 0.7, 0.8, 0.9):
         passage = word(60)
-        hub, own = np.array(passage + word(40), np.uint32), word(40)
-        other = list(own)
-        for k in draw.sample(range(40), 16):
-            other[k] = draw.randrange(10**6)
-        a, b, c = (np.array(passage + x, np.uint32) for x in (own, other, word(40)))
-        keys = [set(order_minhash.own_keys(x, 7, hub)) for x in (a, b, c)]
-        met.append(bool(keys[0] & keys[1]))
-        apart.append(bool(keys[0] & keys[2]))
-    assert np.mean(met) > 0.97 and np.mean(apart) < 0.1
+        for _ in range(40):
+            own = word(int(60 / share) - 60 + draw.randrange(4))
+            at = draw.randrange(len(own) + 1)
+            text = own[:at] + passage + own[at:]
+            rows.append(text)
+            if draw.random() < 0.4:
+                copy = list(text)
+                for _ in range(draw.randrange(int(0.22 * len(copy)))):
+                    copy[draw.randrange(len(copy))] = word(1)[0]
+                rows.append(copy)
+    codes = [order_minhash.word_codes(" ".join(r)) for r in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i)]
+    close = [p for p, s in zip(pairs, order_minhash.similar([(codes[i], codes[j]) for i, j in pairs])) if s is not None]
+    top = list(range(len(rows)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, j in close:
+        a, b = find(i), find(j)
+        top[max(a, b)] = min(a, b)
+    order = list(range(len(rows)))
+    draw.shuffle(order)
+    df = spark.createDataFrame([(i, " ".join(rows[i])) for i in order], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark, df).collect()}
+    together = [(i, j) for i, j in close if got[i] == got[j]]
+    assert len(close) > 500 and len(together) >= 0.99 * len(close)
+    assert all(find(i) == find(c) for i, c in got.items())
 
 
 def test_ids_that_name_several_texts(spark):
