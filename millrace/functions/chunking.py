@@ -8,47 +8,68 @@ the one before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import estimate_tokens, overlap_prefix, words
+from millrace.functions.text import words
 
 LEAST, MOST, OVERLAP = 400, 1000, 0.15
 PARAGRAPHS, SENTENCES, EDGES = r"\n\n+", r"(?U)(?<=[.!?])\s+", r"(?U)^\s+|\s+$"
-NO_TEXTS = "array<string>"
+CHUNKS = "array<struct<c:string,n:int>>"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once: a lambda that names an expression several times computes it as often."""
+    return F.transform(F.array(value), body)[0]
+
+
+def tokens(n: Column) -> Column:
+    """estimate_tokens() from a number of words."""
+    return F.floor(4 * n / 3).cast("int")
 
 
 def segments(text: Column, most: int = MOST) -> Column:
-    """array of (s, n): the segments of a text with their tokens."""
+    """array of (s, w): the segments of a text with their words."""
+    measured = lambda s: F.struct(s.alias("s"), words(s).alias("w"))
     whole = F.filter(F.transform(F.split(text, PARAGRAPHS), lambda p: F.regexp_replace(p, EDGES, "")), lambda p: p != "")
-    parts = F.flatten(F.transform(whole, lambda p: F.when(estimate_tokens(p) > most, F.filter(F.split(p, SENTENCES), lambda s: F.size(words(s)) > 0)).otherwise(F.array(p))))
-    return F.transform(parts, lambda s: F.struct(s.alias("s"), estimate_tokens(s).alias("n")))
+    sentences = lambda p: F.filter(F.transform(F.split(p["s"], SENTENCES), measured), lambda x: F.size(x["w"]) > 0)
+    return F.flatten(F.transform(F.transform(whole, measured), lambda p: F.when(tokens(F.size(p["w"])) > most, sentences(p)).otherwise(F.array(p))))
 
 
 def gathered(parts: Column, most: int = MOST) -> Column:
-    """array of chunks from segments: `open` is the chunk that is not closed yet, of `size` tokens (0: there is none)."""
-    none = F.array().cast(NO_TEXTS)
+    """array of chunks (c, n words) from segments. `open` is the chunk that is not closed yet, `w` its words, `size` its tokens (0: there is none)."""
+    none = F.array().cast(CHUNKS)
+    chunk = lambda text, w: F.array(F.struct(text.alias("c"), F.size(w).alias("n")))
 
     def step(state: Column, part: Column) -> Column:
-        alone = part["n"] > most
-        closes = (state["size"] > 0) & (alone | (state["size"] + part["n"] > most))
-        kept = F.when(closes, overlap_prefix(state["open"], OVERLAP)).otherwise(state["open"])
-        grown = F.when(state["size"] > 0, F.concat(kept, F.lit(" "), part["s"])).otherwise(part["s"])
-        return F.struct(
-            F.concat(state["done"], F.when(closes, F.array(state["open"])).otherwise(none), F.when(alone, F.array(part["s"])).otherwise(none)).alias("done"),
-            F.when(alone, F.lit("")).otherwise(grown).alias("open"),
-            F.when(alone, F.lit(0)).otherwise(part["n"] + F.when(closes, estimate_tokens(kept)).otherwise(state["size"])).alias("size"),
-        )
+        n = tokens(F.size(part["w"]))
+        alone = n > most
+        closes = (state["size"] > 0) & (alone | (state["size"] + n > most))
+        last = F.greatest(F.lit(1), F.floor(F.size(state["w"]) * OVERLAP).cast("int"))
+        tail = F.slice(state["w"], F.greatest(F.lit(1), F.size(state["w"]) - last + 1), last)
+        kept = F.when(closes, F.struct(F.array_join(tail, " ").alias("s"), tail.alias("w"), tokens(F.size(tail)).alias("n"))).otherwise(F.struct(state["open"].alias("s"), state["w"].alias("w"), state["size"].alias("n")))
+        done = F.concat(state["done"], F.when(closes, chunk(state["open"], state["w"])).otherwise(none), F.when(alone, chunk(part["s"], part["w"])).otherwise(none))
+
+        def then(k: Column) -> Column:
+            grown = F.when(state["size"] > 0, F.concat(k["s"], F.lit(" "), part["s"])).otherwise(part["s"])
+            return F.struct(
+                F.when(closes | alone, done).otherwise(state["done"]).alias("done"), F.when(alone, F.lit("")).otherwise(grown).alias("open"),
+                F.when(alone, F.array().cast("array<string>")).otherwise(F.concat(k["w"], part["w"])).alias("w"), F.when(alone, F.lit(0)).otherwise(n + k["n"]).alias("size"),
+            )
+
+        return let(kept, then)
 
-    start = F.struct(none.alias("done"), F.lit("").alias("open"), F.lit(0).alias("size"))
-    return F.aggregate(parts, start, step, lambda state: F.when(state["size"] > 0, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]))
+    start = F.struct(none.alias("done"), F.lit("").alias("open"), F.array().cast("array<string>").alias("w"), F.lit(0).alias("size"))
+    return F.aggregate(parts, start, step, lambda state: F.when(state["size"] > 0, F.concat(state["done"], chunk(state["open"], state["w"]))).otherwise(state["done"]))
 
 
 def without_small(parts: Column, least: int = LEAST) -> Column:
-    """Chunks under half the least tokens joined to the one before, wherever they stand."""
-    small = lambda c: estimate_tokens(c) < least // 2
-    joined = lambda out, c: F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.concat(F.element_at(out, -1), F.lit(" "), c)))
-    return F.aggregate(parts, F.array().cast(NO_TEXTS), lambda out, c: F.when((F.size(out) > 0) & small(c), joined(out, c)).otherwise(F.concat(out, F.array(c))))
+    """The texts of chunks, those under half the least tokens joined to the one before, wherever they stand."""
+    small = lambda c: tokens(c["n"]) < least // 2
+    joined = lambda out, c: F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.concat(F.element_at(out, -1), F.lit(" "), c["c"])))
+    return F.aggregate(parts, F.array().cast("array<string>"), lambda out, c: F.when((F.size(out) > 0) & small(c), joined(out, c)).otherwise(F.concat(out, F.array(c["c"]))))
 
 
 def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import chunking, html, records, text, urls
 from millrace.operators import dedup, graph_index, lifecycle, merge, queues, search, state
+from millrace.operators.link_index import LinkIndex
 from millrace.plans import corpus, views
 from millrace.plans.corpus import AS_OF, CHUNKS, DISCOVERY, FETCHES, ITEMS, REQUESTS, SURFACES, as_of, table
 from millrace.session import once, work_path
@@ -517,8 +518,19 @@ def fingerprint(spark, d):
     ITEMS, PRINTS,
 )
 def near_duplicates(spark, d):
-    prints = dedup.fingerprints(corpus.items(spark, d))
-    return dedup.near_duplicates(prints)
+    """Fingerprints are made once and written: every branch of the join reads them."""
+    path = work_path(spark, "prints")
+    dedup.fingerprints(corpus.items(spark, d)).write.parquet(path)
+    return dedup.near_duplicates(spark.read.parquet(path))
+
+
+@query(ORACLES["near_duplicates"])
+def near_duplicates_by_batches(spark, d):
+    """The same links from an index that takes the items in three batches."""
+    index, items = LinkIndex(spark, work_path(spark, "links"), buckets=32), corpus.items(spark, d)
+    for number in range(3):
+        index.add(dedup.fingerprints(items.where(F.pmod(F.xxhash64("id"), F.lit(3)) == number)), number)
+    return index.links().withColumnRenamed("key", "id")
 
 
 # --- state
