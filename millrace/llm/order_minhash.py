@@ -36,7 +36,7 @@ from millrace.llm._common import cut, drop, map_steps, release, text_of
 K, L, SLOTS, SIMILARITY, SALTS = 5, 3, 8, 0.8, 16
 FINE_K, FINE_L, FINE_SLOTS = 2, 2, 28
 TINY_L, TINY_SLOTS, SHORT = 3, 20, 40
-CROWD, LEVELS = 2_000, 4
+CROWD, LEVELS = 128, 4
 BINS = 256
 #: Occurrences of words among crowded nodes are counted in 2 ** RARITY_BITS bins, whatever their number: the order that the
 #: prefix filter uses has a fixed size.
