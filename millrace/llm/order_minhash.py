@@ -9,13 +9,13 @@ numbered in the written table of rows.
 In each bucket of equal sketches every node is compared with the bucket's hub, its least node. Buckets that this leaves
 with several classes are then compared in full, all nodes outside the bucket's largest class with all others. Where that
 would be too many pairs (more than CROWD) the nodes have something in common that most of them are not alike for, such as
-a passage that very many documents quote. All nodes of such buckets are joined by an exact prefix filter instead: texts
-that are alike share eight tenths of the words of the longer one (the first, second, ... occurrence of a word count as
-different words), so in any order of words they share one among the first two tenths and one of each. With the rarest words
-first, common passages come last, and words of a passage are asked for only where the passage is most of the text, so that
-those who quote it are alike. Groups that this leaves crowded are split by a second shared word among the first two
-tenths and two, and so on for LEVELS steps, each of them exact; the last one's groups are compared in full. So every pair
-that meets in a bucket and is alike is found, or is in one class already, in whatever order the rows come.
+a passage that very many documents quote. The nodes of such buckets are joined by exact prefix filters instead. Texts that
+are alike share so many runs of two words (the first, second, ... occurrence of a run count as different ones) that in any
+order of runs they have one in common among the first four tenths of each, and so many words that they have one in common
+among the first two tenths. With the rarest first, what a common passage holds comes last and is asked for only where the
+passage is most of the text. Nodes meet on their first runs; those that this leaves in crowds meet on their first words; a
+crowd that is left then is split by a second word among the first two tenths and two, and compared in full. Each step is
+exact: every pair that meets in a bucket and is alike is found, or is in one class already, in whatever order rows come.
 
 Pairs are verified by banded alignment of their words; classes are the connected components of the links.
 """
@@ -31,16 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import cut, drop, map_steps, release, text_of
+from millrace.llm._common import STEP_BYTES, cut, drop, map_steps, release, text_of
 
 K, L, SLOTS, SIMILARITY, SALTS = 5, 3, 8, 0.8, 16
 FINE_K, FINE_L, FINE_SLOTS = 2, 2, 28
 TINY_L, TINY_SLOTS, SHORT = 3, 20, 40
-CROWD, LEVELS = 128, 4
+CROWD = 128
+#: The steps for crowds: words of a run, and how many runs of it a key stands for.
+STEPS = ((2, 1), (1, 1), (1, 2))
 BINS = 256
 #: Occurrences of words among crowded nodes are counted in 2 ** RARITY_BITS bins, whatever their number: the order that the
 #: prefix filter uses has a fixed size.
-RARITY_BITS = 19
+RARITY_BITS = 20
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
 TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
@@ -123,23 +125,25 @@ def bins_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
 
-def prefix_keys(codes: np.ndarray, rarity: np.ndarray, parents: list[tuple[int, int]], shared: int) -> tuple[list[int], list[int]]:
-    """Keys by which a text meets all that are alike and share the words of a parent key, and the places of their words in its order.
+def prefix_keys(codes: np.ndarray, rarity: np.ndarray, parents: list[tuple[int, int]], size: int, shared: int) -> tuple[list[int], list[int]]:
+    """Keys by which a text meets all that are alike and share the runs of a parent key, and the places of their last runs in its order.
 
-    rarity: by bin, how often its words occur. parents: keys of groups with the place of their last word (0, -1 for none).
-    shared: how many words the new keys stand for. If two texts are alike, the first `shared` words of the order that both
-    have are within this limit in each. Words that occur once bring nobody together.
+    rarity: by bin, how often its runs of `size` words occur. parents: keys of groups with the place of their last run
+    (0, -1 for none). shared: how many runs the new keys stand for. An edit changes `size` runs at most, so texts that are
+    alike have at least `least` of them in common, and the first `shared` of these in the order are within `limit` in each.
+    Runs that occur once bring nobody together.
     """
-    tokens = labelled(codes, 1)
-    often = rarity[bins_of(tokens)]
-    order = np.lexsort((tokens, often))
-    limit = len(codes) - int(np.ceil(SIMILARITY * len(codes) - 1e-9)) + shared
+    runs = labelled(codes, size)
+    often = rarity[bins_of(runs)]
+    order = np.lexsort((runs, often))
+    least = max(1, int(np.ceil(len(codes) - size + 1 - size * (1 - SIMILARITY) * len(codes) - 1e-9)))
+    limit = len(runs) - least + shared
     keys, places = [], []
     for key, place in parents:
         at = np.arange(place + 1, min(limit, len(order)))
         at = at[often[order[at]] > 1]
         begin = np.array([key], np.int64).view(np.uint64) * MIX[2]
-        keys += mixed(tokens[order[at]] + begin).view(np.int64).tolist()
+        keys += mixed(runs[order[at]] + begin).view(np.int64).tolist()
         places += at.tolist()
     return keys, places
 
@@ -353,38 +357,39 @@ def cross_pairs(apart: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def rarity_of(words: DataFrame) -> np.ndarray:
-    """For each bin how often its words occur in a table of words: 2 ** RARITY_BITS numbers, summed up in the tasks and then by bin."""
+def rarity_of(words: DataFrame, size: int) -> np.ndarray:
+    """For each bin how often its runs occur in a table of words: 2 ** RARITY_BITS numbers, summed up in the tasks and then by bin."""
 
     def run(batches):
         counts = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for raw in batch.column("words").to_pylist():
-                counts += np.bincount(bins_of(labelled(np.frombuffer(raw, "<u4"), 1)), minlength=len(counts))
+                np.add.at(counts, bins_of(labelled(np.frombuffer(raw, "<u4"), size)), 1)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names=["bin", "n"])
 
-    found = words.select("words").mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    # few tasks: each gives a row for every bin it has met
+    found = words.select("words").coalesce(8).mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << RARITY_BITS, np.int32)
     out[found.column("bin").to_numpy()] = np.minimum(found.column("n").to_numpy(), np.iinfo(np.int32).max)
     return out
 
 
-def by_prefix(spark: SparkSession, words: DataFrame, rarity: np.ndarray, crowd: DataFrame | None, shared: int) -> DataFrame:
-    """Entries (key, node, place) of the nodes of words (node, words), or of those of crowd (node, key, place) within their groups."""
+def by_prefix(spark: SparkSession, words: DataFrame, rarity: np.ndarray, crowd: DataFrame, size: int, shared: int) -> DataFrame:
+    """Entries (key, node, place) of the nodes of words (node, words); for more than one shared run, within their groups in crowd (node, key, place)."""
 
     def make(part):
         parents = part.column("parents").to_pylist()
-        found = [prefix_keys(np.frombuffer(w, "<u4"), rarity, [(x["key"], x["place"]) for x in p], shared) for w, p in zip(part.column("words").to_pylist(), parents)]
-        return part.column("node"), [[dict(zip(("key", "place"), x)) for x in zip(*f)] for f in found]
+        found = [prefix_keys(np.frombuffer(w, "<u4"), rarity, [(x["key"], x["place"]) for x in p], size, shared) for w, p in zip(part.column("words").to_pylist(), parents)]
+        return part.column("node"), pa.array([k for k, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int32()))
 
-    if crowd is None:
+    if shared == 1:
         rows = words.withColumn("parents", F.array(F.struct(F.lit(0).cast("long").alias("key"), F.lit(-1).alias("place"))))
     else:
         parents = crowd.groupBy("node").agg(F.collect_list(F.struct("key", "place")).alias("parents"))
         rows = words.join(parents.hint("merge"), "node")
-    keys = map_steps(rows.select("node", "words", "parents"), "words", make, "node long, keys array<struct<key:long,place:int>>")
-    return cut(spark, keys.select("node", F.explode("keys").alias("k")).select("node", "k.key", "k.place"), "omh-prefix")
+    keys = map_steps(rows.select("node", "words", "parents"), "words", make, "node long, keys array<long>, places array<int>", limit=STEP_BYTES // 4)
+    return cut(spark, keys.select("node", F.explode(F.arrays_zip("keys", "places")).alias("k")).select("node", F.col("k.keys").alias("key"), F.col("k.places").alias("place")), "omh-prefix")
 
 
 def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -404,21 +409,24 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     links = verified(spark, hub_pairs(buckets, sizes.withColumn("label", F.col("node"))), met)
     labels = components(spark, links)
     words = rarity = None
-    for level in range(LEVELS):
+    for step in (*STEPS, None):
         known = sizes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
         known = cut(spark, known, "omh-known")
         apart = left_apart(spark, buckets, known)
         drop(spark, buckets)
         crowd = apart.where(F.col("work") > CROWD)
-        last = level == LEVELS - 1 or crowd.isEmpty()
+        last = step is None or crowd.isEmpty()
         pairs = cross_pairs(apart if last else apart.where(F.col("work") <= CROWD))
         if not last:
-            if words is None:
-                crowded = cut(spark, crowd.select("node").distinct(), "omh-crowd")
-                words = cut(spark, met.select("node", "words").join(crowded.hint("merge"), "node"), "omh-crowd-words")
-                rarity = rarity_of(words)
+            if step[1] == 1:
+                some = met if words is None else words
+                crowded = crowd.select("node").distinct()
+                old, words = words, cut(spark, some.select("node", "words").join(crowded.hint("merge"), "node"), "omh-crowd-words")
+                if old is not None:
+                    drop(spark, old)
+                rarity = rarity_of(words, step[0])
                 release(spark)
-            entries = by_prefix(spark, words, rarity, None if level == 0 else crowd, level + 1)
+            entries = by_prefix(spark, words, rarity, crowd, *step)
             buckets = meet(spark, entries)
             drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()
@@ -430,7 +438,7 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
         if last:
             break
     if words is not None:
-        drop(spark, words, crowded)
+        drop(spark, words)
     drop(spark, met, sizes)
     release(spark)
     return labels
