@@ -27,6 +27,8 @@ from millrace.llm._common import PieceCache, cut, put_file, read_range, steps, s
 
 MAGIC = b"MRSST001"
 FOOTER = struct.Struct("<QQQQQQQB7x8s")  # index offset and length, filter offset and length, documents, tokens, tokens before (in the partition), bytes an id
+#: Characters of a text that order rows of one id; a hash of the whole text decides beyond.
+TIE = 1024
 BLOCK_BYTES, SHARD_BYTES, STEP = 64 << 10, 16 << 20, 8 << 20
 
 
@@ -238,7 +240,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, out: str,
     """Writes the ids of every row of docs into shards under out; returns their manifest: part, roll, path, first_id, last_id, n_docs, n_tokens, before.
 
     end_id is appended to every document. A null text is an empty one; a null id sorts first; rows that share an id
-    all stay, in the order of their texts. Other columns of docs are not read, whatever their names. An empty table
+    all stay, in the order of the first TIE characters of their texts, then of a hash of the whole. Other columns of docs are not read, whatever their names. An empty table
     writes no shard. out and the tokenizer's path must be the same place on every machine.
     """
 
@@ -271,9 +273,10 @@ def write_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, out: str,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["part", "roll", "path", "first_id", "last_id", "n_docs", "n_tokens", "before"])
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # rows without id, or of one id, are ranged by the beginning of their text, and equal ones by where they were read
-    ranged = text_of(docs, id_col, text_col).withColumns({"__front": F.substring(text_col, 1, 24), "__read": F.spark_partition_id()})
-    ordered = ranged.repartitionByRange(n, F.asc_nulls_first(id_col), "__front", "__read").sortWithinPartitions(F.asc_nulls_first(id_col), text_col).drop("__front", "__read")
+    # rows without id, or of one id, are ranged and sorted by the same; only rows with the same text are split by where they were read
+    order = (F.asc_nulls_first(id_col), F.substring(text_col, 1, TIE), F.xxhash64(text_col))
+    ranged = text_of(docs, id_col, text_col).withColumn("__read", F.spark_partition_id())
+    ordered = ranged.repartitionByRange(n, *order, "__read").sortWithinPartitions(*order).drop("__read")
     return cut(spark, ordered.mapInArrow(run, "part int, roll int, path string, first_id long, last_id long, n_docs long, n_tokens long, before long"), "sst-manifest")
 
 

@@ -566,24 +566,27 @@ def test_short_texts_meet():
 
 
 def test_prefix_keys_lose_no_pair():
-    """Texts that are alike share a key at every level, whatever order of words the filter takes."""
-    draw, rng = random.Random(9), np.random.default_rng(9)
-    for trial in range(300):
-        rarity = rng.integers(2, 5 if trial % 2 else 10**6, 1 << order_minhash.RARITY_BITS).astype(np.int32)
+    """Texts that are alike share a key at every step, whatever order of runs the filter takes."""
+    draw, rng, tried = random.Random(9), np.random.default_rng(9), 0
+    rarities = [rng.integers(2, most, 1 << order_minhash.RARITY_BITS).astype(np.int32) for most in (5, 10**6, 3, 1000)]
+    for trial in range(600):
         a = [draw.randrange(30 if trial % 3 else 10**6) for _ in range(draw.randrange(1, 80))]
         b = list(a)
         for _ in range(int(0.2 * len(a))):
             at = draw.randrange(len(b) + 1)
             b[at : at + draw.randrange(2)] = [draw.randrange(10**6)] * draw.randrange(2)
         x, y = np.array(a, np.uint32), np.array(b, np.uint32)
-        if order_minhash.similar([(x, y)])[0] is None:
+        if order_minhash.similar([(x, y)])[0] is None or a == b:
             continue
-        parents = [(0, -1)]
-        for level in range(1, min(4, order_minhash.shared_words(x, y)) + 1):
-            found = [dict(zip(*order_minhash.prefix_keys(t, rarity, p, level))) for t, p in ((x, parents), (y, parents if level == 1 else other))]
-            both = found[0].keys() & found[1].keys()
-            assert both, (a, b, level)
-            parents, other = ([(k, f[k]) for k in sorted(both)] for f in found)
+        tried += 1
+        for size in (2, 1):
+            parents = other = [(0, -1)]
+            for shared in range(1, min(4, order_minhash.shared_words(x, y)) + 1 if size == 1 else 2):
+                found = [dict(zip(*order_minhash.prefix_keys(t, rarities[trial % 4], p, size, shared))) for t, p in ((x, parents), (y, other))]
+                both = found[0].keys() & found[1].keys()
+                assert both, (a, b, size, shared)
+                parents, other = ([(k, f[k]) for k in sorted(both)] for f in found)
+    assert tried > 200
 
 
 @pytest.mark.parametrize("longs, shorts, mixed_up", [(30, 100, False), (200, 200, False), (300, 100, True)])
@@ -863,3 +866,32 @@ def test_contract_10(spark):
         p, r = find(a), find(b)
         top[max(p, r)] = min(p, r)
     assert all(find(i) == find(c) for i, c in got.items())
+
+
+def test_many_rows_of_one_id(spark):
+    """Rows of one id whose texts begin alike, read in many partitions and ranged into several: the order doesn't depend on either."""
+    path, draw = P.path("word_bpe_49k.json"), random.Random(6)
+    rows = [(5, "the same twenty-four characters " + " ".join(draw.choice(["a", "b", "cd"]) for _ in range(12))) for _ in range(400)]
+    rows += [(None, "x" * 24 + str(k % 7)) for k in range(60)] + [(9, None), (4, "four")]
+    want = brute.sstable_rows([(i, t or "") for i, t in rows])
+    for parts in (7, 2):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        manifest = sstable.write_shards(spark, df, path, work_path(spark, "t"), end_id=1, partitions=4)
+        got = sorted(((r["doc_id"], r["start"], r["n_tokens"], zlib.crc32(r["ids"])) for r in sstable.read_shards(spark, manifest).collect()), key=lambda r: r[1])
+        assert got == want and manifest.count() > 1
+
+
+def test_long_urls_take_time_by_their_length(spark):
+    import time
+
+    url = "https://" + "".join(random.Random(2).choice("abcdefgh.é😀") for _ in range(200_000)) + ".example.com/de/" + "p" * 800_000
+    df = spark.createDataFrame([(1, url), (2, "https://a.example.com/é😀x")], "page_id long, url string")
+    url_filter.judge_urls(df.where("page_id = 2"), q.url_model()).collect()
+    began = time.time()
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, q.url_model()).collect()}
+    assert time.time() - began < 20
+    bias, weights = q.url_model()
+    for i, u in ((1, url), (2, "https://a.example.com/é😀x")):
+        host, _, path = u.partition("://")[2].partition("/")
+        g = url_filter.grams(f"{host}/{path}")
+        assert abs(got[i]["score"] - 1 / (1 + np.exp(-(bias + sum(weights[b] for b in g) / len(g) ** 0.5) / url_filter.SCALE))) < 1e-5
