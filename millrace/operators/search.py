@@ -140,7 +140,12 @@ def ann_index(vectors: DataFrame, centres: np.ndarray, id_col: str = "id", vecto
 def ann_topk(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 10, probes: int = 50) -> DataFrame:
     """query_id, id, score, rank: the k nearest of each query (query_id, query) in its `probes` nearest lists. Vectors without any structure need half of the lists for a recall of 0.9."""
     blocks = query_blocks(queries, nearest_lists(centres, probes)).withColumnRenamed("width", "w")
-    return best_of(index.join(blocks, "list").where("width = w"), k)
+    return best_of(probed(index, blocks).join(blocks, "list").where("width = w"), k)
+
+
+def probed(index: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The lists that queries ask for: of an index stored with a folder a list, no other folder is opened. There are as many names as centres at most."""
+    return index.where(F.col("list").isin([r["list"] for r in blocks.select("list").distinct().collect()]))
 
 
 def terms(text: Column, stem: bool = False) -> Column:
@@ -260,7 +265,8 @@ class TextIndex:
     def terms(self, query: list[str]) -> list[str]:
         from millrace.functions.stem import stem
 
-        return [stem(q.lower()) for q in query] if self.stem else query
+        low = [q.lower() for q in query]
+        return [stem(q) for q in low] if self.stem else low
 
     def topk(self, query: list[str], k: int = 10) -> DataFrame:
         return bm25_topk(self.postings, self.n_docs, self.mean_len, self.terms(query), k, self.id_col)

@@ -635,7 +635,7 @@ def vector_index(spark, d):
         e = table(spark, d, "embeddings")
         centres = search.list_centres(e, id_col="vec_id")
         index = search.ann_index(e, centres, "vec_id")
-        index.repartitionByRange("list").sortWithinPartitions("list").write.mode("overwrite").parquet(path)
+        index.repartition("list").write.mode("overwrite").partitionBy("list").parquet(path)
         return spark.read.schema(index.schema).parquet(path), centres
 
     return once(spark, f"{d}/embeddings.parquet", "vectors", build)

@@ -12,6 +12,8 @@ from millrace.operators.queues import NO_DOI_SOURCES
 
 
 #: Patterns that are sent to every task; a longer list is left to Spark.
+#: Characters of a pattern that its matches are looked up by.
+GRAM = 4
 MOST_PATTERNS = 1000
 
 
@@ -96,11 +98,35 @@ def backlog(items: DataFrame, retriable: Sequence[str] = NO_DOI_SOURCES) -> Data
     ).orderBy(F.desc("waiting"), "track")
 
 
+def url_keys(url: Column) -> Column:
+    """The different stretches of GRAM characters of a URL, and the empty one, which all have."""
+    def of(chars: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(chars) - GRAM + 1)), lambda i: F.array_join(F.slice(chars, i, F.lit(GRAM)), ""))
+        return F.array_distinct(F.concat(F.array(F.lit("")), each))
+
+    return F.transform(F.array(F.split(url, "")), of)[0]
+
+
+def pattern_key(pattern: Column) -> Column:
+    """A stretch that every match of a LIKE pattern holds: the middle of its longest piece without wildcards; empty if that is short or characters are escaped."""
+    longest = F.reduce(F.split(pattern, "[%_]"), F.lit(""), lambda best, piece: F.when(F.length(piece) > F.length(best), piece).otherwise(best))
+    middle = F.transform(F.array(longest), lambda x: F.when(F.length(x) >= GRAM, F.substring(x, F.floor((F.length(x) - GRAM) / 2).cast("int") + 1, F.lit(GRAM))).otherwise(""))[0]
+    return F.when(F.contains(pattern, F.lit("\\")), "").otherwise(middle)
+
+
+def matched(found: DataFrame, domains: DataFrame) -> DataFrame:
+    """Rows of found (oa_url) with each pattern (domain, pattern) that they match. Rows and patterns meet on a stretch that a match
+    must hold; LIKE is asked of these candidates only, so the work follows the matches and not rows times patterns."""
+    keyed = found.withColumn("__key", F.explode(url_keys(F.col("oa_url"))))
+    patterns = domains.withColumn("__key", pattern_key(F.col("pattern")))
+    return keyed.join(patterns, "__key").where(F.expr("oa_url LIKE pattern")).drop("__key")
+
+
 def manual_skips(items: DataFrame, domains: DataFrame) -> DataFrame:
-    """By configured domain (domain, pattern): items whose open-access URL matches, and those that the reports by tag count. The match is LIKE, so each item meets every pattern."""
+    """By configured domain (domain, pattern): items whose open-access URL matches, and those that the reports by tag count. A few patterns go to every task and each item meets all of them; more are matched by key."""
     found = items.where("doi IS NOT NULL AND oa_url IS NOT NULL").select("id", "oa_url", "authority_tier", "domain_tags")
     few = domains.limit(MOST_PATTERNS + 1).count() <= MOST_PATTERNS
-    j = (F.broadcast(domains) if few else domains).join(found, F.expr("oa_url LIKE pattern"), "inner")
+    j = F.broadcast(domains).join(found, F.expr("oa_url LIKE pattern"), "inner") if few else matched(found, domains)
     counted = j.groupBy("domain").agg(F.count("id").alias("total_matched"), F.count_if(F.col("authority_tier").isin(1, 2) & (F.size(F.coalesce("domain_tags", F.array().cast("array<string>"))) > 0)).alias("counted_above"))
     return domains.select("domain").distinct().join(counted, "domain", "left").na.fill(0, ["total_matched", "counted_above"]).orderBy(F.desc("total_matched"), "domain")
 

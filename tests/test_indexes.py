@@ -62,3 +62,31 @@ def test_graph_of_odd_tables(spark, rows):
     got = [(r["query_id"], r["id"], r["rank"]) for r in graph_index.graph_topk(graph_index.graph_index(e), queries, 3).collect()]
     usable = [i for i, v in rows if v and len(v) == 2 and any(v)]
     assert [g[0] for g in got] == [7] * len(usable) and sorted(map(str, (g[1] for g in got))) == sorted(map(str, usable))
+
+
+def test_lists_are_folders(spark):
+    """The fewer lists a query asks for, the fewer files are opened."""
+    from millrace.plans.queries import vector_index
+
+    index, centres = vector_index(spark, "/root/testdata/sf0.01")
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    one = stated_queries(e).limit(1)
+    files = []
+    for probes in (2, 10, 100):
+        blocks = search.query_blocks(one, search.nearest_lists(centres, probes))
+        files.append(len(search.probed(index, blocks).select("ids").inputFiles()) if probes == 100 else len(opened(search.probed(index, blocks))))
+    assert files[0] <= 2 < files[1] <= 10 < files[2]
+    near = search.ann_topk(index, one, centres, 5, probes=10).collect()
+    exact = search.vector_topk_many(e, one, 5, "vec_id").collect()
+    assert near[0]["id"] == exact[0]["id"] and len(near) == 5
+
+
+def opened(df):
+    """The files that a plan reads after its partitions are chosen."""
+    return {r["f"] for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_queries_of_words_in_capitals(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "He sleeps."), (2, "No SLEEP at all")], "id long, text string")
+    index = search.TextIndex(docs, str(tmp_path / "t"))
+    assert [r["id"] for r in index.topk(["Sleep"]).collect()] == [2] == [r["id"] for r in index.lookup(["SLEEP"]).collect()]
