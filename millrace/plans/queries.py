@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import chunking, html, records, text, urls
+from millrace.functions import chunking, html, language, records, text, urls
 from millrace.operators import dedup, graph_index, lifecycle, merge, queues, search, state
 from millrace.operators.link_index import LinkIndex
 from millrace.plans import corpus, views
@@ -735,6 +735,14 @@ def chunk_documents(spark, d):
     return chunking.with_chunks(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "chunk_index", "chunk_text")
 
 
+@query()
+def document_languages(spark, d):
+    """The language of every document, by profiles fitted on four fifths of the labelled ones (a bounded sample of them)."""
+    docs = table(spark, d, "documents")
+    model = language.fit(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
+    return docs.select("doc_id", language.detect(F.col("text"), model).alias("language"))
+
+
 @query()
 def html_bodies(spark, d):
     return table(spark, d, "pages").select("page_id", html.extract_body(F.col("html")).alias("body"))
