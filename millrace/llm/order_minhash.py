@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm._common import STEP_BYTES, cut, drop, map_steps, release, text_of
@@ -43,6 +44,8 @@ BINS = 256
 #: Occurrences of words among crowded nodes are counted in 2 ** RARITY_BITS bins, whatever their number: the order that the
 #: prefix filter uses has a fixed size.
 RARITY_BITS = 20
+#: Bits of the filter that names the nodes of crowds.
+MARK_BITS = 24
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
 TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
@@ -375,6 +378,25 @@ def rarity_of(words: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def marked_nodes(nodes: DataFrame) -> Callable[[Column], Column]:
+    """A filter by nodes (node): true for each of them, and for others whose hash has the same of 2 ** MARK_BITS bits. Its size is fixed
+    whatever their number, so the words of all nodes are filtered where they lie and not shuffled. More nodes than needed do no harm:
+    they are compared for nothing."""
+    place = lambda node: F.pmod(F.xxhash64(node), F.lit(1 << MARK_BITS))
+    bits = nodes.select((place("node") + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    found = bits.toArrow()
+    marks = np.zeros((1 << MARK_BITS) // 8, np.uint8)
+    for bucket, raw in zip(found.column("bucket").to_pylist(), found.column("bits").to_pylist()):
+        marks[(bucket - 1) * len(raw) : bucket * len(raw)] = np.frombuffer(raw, np.uint8)  # Spark counts buckets and places from 1
+
+    @F.arrow_udf("boolean")
+    def marked(places: pa.Array) -> pa.Array:
+        x = np.asarray(places)
+        return pa.array((marks[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
+
+    return lambda node: marked(place(node))
+
+
 def by_prefix(spark: SparkSession, words: DataFrame, rarity: np.ndarray, crowd: DataFrame, size: int, shared: int) -> DataFrame:
     """Entries (key, node, place) of the nodes of words (node, words); for more than one shared run, within their groups in crowd (node, key, place)."""
 
@@ -408,7 +430,7 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     release(spark)
     links = verified(spark, hub_pairs(buckets, sizes.withColumn("label", F.col("node"))), met)
     labels = components(spark, links)
-    words = rarity = None
+    rarity = None
     for step in (*STEPS, None):
         known = sizes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
         known = cut(spark, known, "omh-known")
@@ -418,14 +440,9 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
         last = step is None or crowd.isEmpty()
         pairs = cross_pairs(apart if last else apart.where(F.col("work") <= CROWD))
         if not last:
+            words = met.select("node", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
             if step[1] == 1:
-                some = met if words is None else words
-                crowded = crowd.select("node").distinct()
-                old, words = words, cut(spark, some.select("node", "words").join(crowded.hint("merge"), "node"), "omh-crowd-words")
-                if old is not None:
-                    drop(spark, old)
                 rarity = rarity_of(words, step[0])
-                release(spark)
             entries = by_prefix(spark, words, rarity, crowd, *step)
             buckets = meet(spark, entries)
             drop(spark, entries)
@@ -437,8 +454,6 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
             labels = components(spark, links)
         if last:
             break
-    if words is not None:
-        drop(spark, words)
     drop(spark, met, sizes)
     release(spark)
     return labels

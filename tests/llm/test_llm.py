@@ -589,6 +589,15 @@ def test_prefix_keys_lose_no_pair():
     assert tried > 200
 
 
+def test_marked_nodes(spark):
+    """Every node that is marked passes; hardly any other does."""
+    nodes = spark.range(0, 50_000).selectExpr("id * 7919 + (1L << 35) * (id % 5) AS node")
+    marked = order_minhash.marked_nodes(nodes.where("node % 10 = 0"))
+    got = nodes.where(marked(F.col("node"))).select(F.count("*").alias("n"), F.count_if(F.expr("node % 10 = 0")).alias("own")).first()
+    assert got["own"] == nodes.where("node % 10 = 0").count() and got["n"] < 1.01 * got["own"] + 50
+    assert nodes.where(order_minhash.marked_nodes(nodes.limit(0))(F.col("node"))).count() == 0
+
+
 @pytest.mark.parametrize("longs, shorts, mixed_up", [(30, 100, False), (200, 200, False), (300, 100, True)])
 def test_links_through_a_common_passage(spark, longs, shorts, mixed_up):
     """Long texts with a passage and many words of their own come first and are unlike all; short ones with the passage are one class."""
