@@ -28,7 +28,7 @@ from millrace.llm._common import PieceCache, cut, put_file, read_range, steps, s
 MAGIC = b"MRSST001"
 FOOTER = struct.Struct("<QQQQQQQB7x8s")  # index offset and length, filter offset and length, documents, tokens, tokens before (in the partition), bytes an id
 #: Characters of a text that order rows of one id; a hash of the whole text decides beyond.
-TIE = 1024
+TIE = 64
 BLOCK_BYTES, SHARD_BYTES, STEP = 64 << 10, 16 << 20, 8 << 20
 
 

@@ -880,7 +880,7 @@ def test_contract_10(spark):
 def test_many_rows_of_one_id(spark):
     """Rows of one id whose texts begin alike, read in many partitions and ranged into several: the order doesn't depend on either."""
     path, draw = P.path("word_bpe_49k.json"), random.Random(6)
-    rows = [(5, "the same twenty-four characters " + " ".join(draw.choice(["a", "b", "cd"]) for _ in range(12))) for _ in range(400)]
+    rows = [(5, "the same twenty-four characters " + " ".join(draw.choice(["a", "b", "cd"]) for _ in range(8))) for _ in range(400)]
     rows += [(None, "x" * 24 + str(k % 7)) for k in range(60)] + [(9, None), (4, "four")]
     want = brute.sstable_rows([(i, t or "") for i, t in rows])
     for parts in (7, 2):
