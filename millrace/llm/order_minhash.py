@@ -46,6 +46,8 @@ BINS = 256
 RARITY_BITS = 20
 #: Bits of the filter that names the nodes of crowds.
 MARK_BITS = 24
+#: Shares of the prefix filter's keys that are joined one after the other, which bounds the disk that their shuffles take at a time.
+TURNS = 4
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
 TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
@@ -325,6 +327,16 @@ def meet(spark: SparkSession, entries: DataFrame) -> DataFrame:
     return out
 
 
+def meet_in_turn(spark: SparkSession, entries: DataFrame) -> DataFrame:
+    """meet(), a share of the keys after the other: the shuffled files of one are gone before the next begins."""
+    found = None
+    for turn in range(TURNS):
+        part = meet(spark, entries.where(F.pmod("key", F.lit(TURNS)) == turn))
+        release(spark)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def known_as(known: DataFrame, side: str) -> DataFrame:
     return known.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("label").alias(f"label_{side}"))
 
@@ -444,7 +456,7 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
             if step[1] == 1:
                 rarity = rarity_of(words, step[0])
             entries = by_prefix(spark, words, rarity, crowd, *step)
-            buckets = meet(spark, entries)
+            buckets = meet_in_turn(spark, entries)
             drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()
         more = verified(spark, pairs, met)
