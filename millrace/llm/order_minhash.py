@@ -48,6 +48,8 @@ RARITY_BITS = 20
 MARK_BITS = 24
 #: Shares of the prefix filter's keys that are joined one after the other, which bounds the disk that their shuffles take at a time.
 TURNS = 4
+#: What the pairs of a step move at a time: half of the bytes of all words, and so much at least.
+LEAST_ROOM = 64 << 20
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
 TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
@@ -247,20 +249,39 @@ def bag(words: np.ndarray) -> bytes:
 
 
 def with_common_words(pairs: DataFrame, met: DataFrame) -> DataFrame:
-    """The pairs (a, b) but those that cannot be similar by their bags: texts have at least as many words in common there. No similar pair is lost."""
+    """The pairs (a, b) but those that cannot be similar by their bags: texts have at least as many words in common there. No similar
+    pair is lost. n is the number of words of a, as far as its bag counts them."""
 
     def make(part):
         x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int64) for c in ("bag_a", "bag_b"))
-        longest = np.maximum(x.sum(axis=1), y.sum(axis=1))
+        size = x.sum(axis=1)
+        longest = np.maximum(size, y.sum(axis=1))
         full = (x.max(axis=1) == 255) | (y.max(axis=1) == 255)
-        good = pa.array(np.flatnonzero(full | (longest - np.minimum(x, y).sum(axis=1) <= (1 - SIMILARITY) * longest + 1e-9)), pa.int64())
-        return part.column("a").take(good), part.column("b").take(good)
+        good = np.flatnonzero(full | (longest - np.minimum(x, y).sum(axis=1) <= (1 - SIMILARITY) * longest + 1e-9))
+        return part.column("a").take(pa.array(good, pa.int64())), part.column("b").take(pa.array(good, pa.int64())), size[good]
 
-    return map_steps(paired(pairs, met, "bag"), "bag_a", make, "a long, b long")
+    return map_steps(paired(pairs, met, "bag"), "bag_a", make, "a long, b long, n long")
 
 
-def verified(spark: SparkSession, pairs: DataFrame, met: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose words are similar, as a written table."""
+def shares(pairs: DataFrame, size: int, room: int) -> list[DataFrame]:
+    """The pairs (a, b) in shares, by a: as many as keep what is moved for one, of `size` bytes for all, at about `room`."""
+    n = max(1, -(-size // room))
+    return [pairs] if n == 1 else [pairs.where(F.pmod(F.xxhash64("a", F.lit(n)), F.lit(n)) == k) for k in range(n)]
+
+
+def each_cut(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
+    """The parts written one after the other: the shuffled files of one are gone before the next begins."""
+    found = None
+    for part in parts:
+        written = cut(spark, part, name)
+        release(spark)
+        found = written if found is None else found.unionByName(written)
+    return found
+
+
+def verified(spark: SparkSession, pairs: DataFrame, met: DataFrame, room: int) -> DataFrame:
+    """The pairs (a, b) whose words are similar, as a written table. Every pair moves the bag, and if that allows a link the words, of one
+    of its nodes; pairs are done in shares, so that this takes no more of the disk than `room` at a time, however many they are."""
 
     def make(part):
         of = lambda name: [np.frombuffer(x, "<u4") for x in part.column(name).to_pylist()]
@@ -268,13 +289,14 @@ def verified(spark: SparkSession, pairs: DataFrame, met: DataFrame) -> DataFrame
         return part.column("a").take(pa.array(good, pa.int64())), part.column("b").take(pa.array(good, pa.int64()))
 
     tried = cut(spark, pairs, "omh-pairs")
-    left = cut(spark, with_common_words(tried, met), "omh-likely")
     release(spark)
+    left = each_cut(spark, [with_common_words(p, met) for p in shares(tried, BINS * tried.count(), room)], "omh-likely")
     # the words of these pairs' nodes only: all words are moved once, not once for either side
     ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     need = cut(spark, met.select("node", "words").join(ends.hint("merge"), "node"), "omh-need")
     release(spark)
-    links = cut(spark, map_steps(paired(left, need, "words"), "words_a", make, "a long, b long"), "omh-links")
+    size = 4 * (left.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    links = each_cut(spark, [map_steps(paired(p, need, "words"), "words_a", make, "a long, b long") for p in shares(left.select("a", "b"), size, room)], "omh-links")
     drop(spark, tried, left, need)
     release(spark)
     return links
@@ -440,7 +462,8 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     sizes = cut(spark, nodes.select("node", "n").join(members, "node"), "omh-sizes")
     drop(spark, rows, nodes)
     release(spark)
-    links = verified(spark, hub_pairs(buckets, sizes.withColumn("label", F.col("node"))), met)
+    room = max(LEAST_ROOM, 2 * (sizes.agg(F.sum("n").alias("n")).first()["n"] or 0))
+    links = verified(spark, hub_pairs(buckets, sizes.withColumn("label", F.col("node"))), met, room)
     labels = components(spark, links)
     rarity = None
     for step in (*STEPS, None):
@@ -459,7 +482,7 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
             buckets = meet_in_turn(spark, entries)
             drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()
-        more = verified(spark, pairs, met)
+        more = verified(spark, pairs, met, room)
         drop(spark, apart, known)
         if not more.isEmpty():
             links = links.union(more)

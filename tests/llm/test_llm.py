@@ -904,3 +904,20 @@ def test_long_urls_take_time_by_their_length(spark):
         host, _, path = u.partition("://")[2].partition("/")
         g = url_filter.grams(f"{host}/{path}")
         assert abs(got[i]["score"] - 1 / (1 + np.exp(-(bias + sum(weights[b] for b in g) / len(g) ** 0.5) / url_filter.SCALE))) < 1e-5
+
+
+def test_pairs_in_shares(spark):
+    """What the pairs of a step move at a time is bounded, however many they are, and no link is lost by it."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 5000, (6, 300)).astype(np.uint32)
+    codes = [np.where(rng.random(300) < rng.choice([0.05, 0.15, 0.3]), rng.integers(0, 5000, 300), base[i % 6]).astype("<u4") for i in range(60)]
+    met = spark.createDataFrame([(i, order_minhash.bag(c), c.tobytes()) for i, c in enumerate(codes)], "node long, bag binary, words binary").cache()
+    names = [(i, j) for i in range(60) for j in range(i)]
+    pairs = spark.createDataFrame(names, "a long, b long").cache()
+    parts = [{tuple(r) for r in p.collect()} for p in order_minhash.shares(pairs, 1200 * len(names), 1200 * len(names) // 6)]
+    assert len(parts) == 6 and sum(map(len, parts)) == len(names) and set().union(*parts) == set(names) and max(map(len, parts)) < len(names) / 2
+    wanted = {p for p, s in zip(names, order_minhash.similar([(codes[i], codes[j]) for i, j in names])) if s is not None}
+    got = order_minhash.verified(spark, pairs, met, 100_000)
+    assert {tuple(r) for r in got.collect()} == wanted and 0 < len(wanted) < len(names)
+    folders = {f.rpartition("/")[0] for f in got.inputFiles()}
+    assert len(folders) > 1  # written in shares
