@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import words
+from millrace.session import work_path
 
 STOP_WORDS = "a an and are as at be but by for from has have in into is it its not of on or that the their then there these they this to was were which will with".split()
 K1, B = 1.2, 0.75
@@ -37,17 +38,33 @@ def vector_topk(vectors: DataFrame, query: list[float], k: int = 10, id_col: str
     return vectors.where(F.col(vector_col).isNotNull()).select(id_col, F.round(cosine(F.col(vector_col), q), 6).alias("score")).where("score IS NOT NULL").orderBy(F.desc("score"), id_col).limit(k)
 
 
+#: Bytes of vectors that slices() holds back to fill the matrices of its lists.
+HELD_BYTES = 32 << 20
+#: Rows that best_of() holds before it leaves each query its best ones.
+HELD_ROWS = 1 << 20
+#: Pairs of matrices of an Arrow batch.
+ARROW_ROWS, PAIRS = "spark.sql.execution.arrow.maxRecordsPerBatch", 8
+
+
 def slices(vectors: DataFrame, id_col: str, vector_col: str, lists=None, rows: int = 4096) -> DataFrame:
     """(list, width, ids, matrix): vectors in groups of one list and width and up to so many rows, their values as bytes of doubles.
 
     lists: a function from a matrix to (row, list) pairs, which may name a row several times; without one all are in list 0.
+    Vectors of a list are held until they fill a matrix, up to HELD_BYTES for all lists of a task: small matrices would meet in many more pairs.
     """
 
     def run(batches):
+        held, size = {}, 0
+
+        def full(name, width, parts):
+            ids, matrix = np.concatenate([i for i, _ in parts]), np.concatenate([m for _, m in parts])
+            for at in range(0, len(ids), rows):
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([width], pa.int32()), pa.array([ids[at : at + rows].tolist()], pa.list_(pa.int64())), pa.array([matrix[at : at + rows].tobytes()], pa.binary())], names=["list", "width", "ids", "matrix"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                vector, ids = part.column(1).combine_chunks() if isinstance(part.column(1), pa.ChunkedArray) else part.column(1), part.column(0)
+                vector, ids = part.column(1).combine_chunks() if isinstance(part.column(1), pa.ChunkedArray) else part.column(1), np.array(part.column(0).to_pylist(), object)
                 widths = np.diff(vector.offsets.to_numpy())
                 values = np.asarray(vector.flatten(), dtype=np.float64)
                 starts = np.cumsum(widths) - widths
@@ -57,33 +74,80 @@ def slices(vectors: DataFrame, id_col: str, vector_col: str, lists=None, rows: i
                     row, of = lists(matrix) if lists else (np.arange(len(own)), np.zeros(len(own), np.int64))
                     for name in np.unique(of).tolist():
                         some = row[of == name]
-                        yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([width], pa.int32()), pa.array([ids.take(pa.array(own[some])).to_pylist()], pa.list_(pa.int64())), pa.array([matrix[some].tobytes()], pa.binary())], names=["list", "width", "ids", "matrix"])
+                        group = held.setdefault((name, width), [])
+                        group.append((ids[own[some]], matrix[some]))
+                        size += matrix[some].nbytes
+                        if sum(len(i) for i, _ in group) >= rows:
+                            ids_of, values_of = np.concatenate([i for i, _ in group]), np.concatenate([m for _, m in group])
+                            yield from full(name, width, [(ids_of[:rows], values_of[:rows])])
+                            held[name, width] = [(ids_of[rows:], values_of[rows:].copy())]
+                            size -= values_of[:rows].nbytes
+                        elif size > HELD_BYTES:
+                            for (n, w), parts in held.items():
+                                yield from full(n, w, parts)
+                            held, size = {}, 0
+        for (n, w), parts in held.items():
+            yield from full(n, w, parts)
 
     return vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")).mapInArrow(run, "list int, width int, ids array<long>, matrix binary")
 
 
+def best_rows(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of each query with the k largest scores, ties by id."""
+    order = np.lexsort((ids, -scores, query))
+    at, new = np.arange(len(order)), np.append(True, query[order][1:] != query[order][:-1])[: len(order)]
+    order = order[at - np.maximum.accumulate(np.where(new, at, 0)) < k]
+    return query[order], ids[order], scores[order]
+
+
 def best_of(pairs: DataFrame, k: int) -> DataFrame:
-    """query_id, id, score, rank: the best k of every query over rows of (width, ids, matrix, query_ids, queries). Each row gives its own best k first."""
+    """query_id, id, score, rank: the best k of every query over rows of (width, ids, matrix, query_ids, queries).
+
+    A task keeps the best k of its queries over all its rows, so what is moved and sorted grows with the queries and not with the
+    meetings; a task with so many queries that they fill HELD_ROWS gives what it has and goes on. Rows are matrices, so few of
+    them make an Arrow batch: the rows found are written here, under that setting.
+    """
 
     def run(batches):
+        held, size = [], 0
+
+        def out(rows):
+            return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], names=["query_id", "id", "score"])
+
+        def best():
+            return best_rows(*(np.concatenate(c) for c in zip(*held)), k)
+
         for batch in batches:
             for width, ids, matrix, query_ids, queries in zip(*(batch.column(c).to_pylist() for c in ("width", "ids", "matrix", "query_ids", "queries"))):
                 v, q = (np.frombuffer(x, np.float64).reshape(-1, width) for x in (matrix, queries))
                 nv, nq = np.linalg.norm(v, axis=1), np.linalg.norm(q, axis=1)
                 use = np.flatnonzero(nv > 0)
-                names, q_out, id_out, s_out = np.array(ids)[use], [], [], []
-                for row in np.flatnonzero(nq > 0):
+                names = np.array(ids)[use]
+                for row in np.flatnonzero(nq > 0) if len(use) else ():
                     score = np.round(v[use] @ q[row] / (nv[use] * nq[row]), 6)
                     near = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k]) if len(score) > k else np.arange(len(score))
                     near = near[np.lexsort((names[near], -score[near]))][:k]
-                    q_out += [query_ids[row]] * len(near)
-                    id_out += names[near].tolist()
-                    s_out += score[near].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(q_out, pa.int64()), pa.array(id_out, pa.int64()), pa.array(s_out, pa.float64())], names=["query_id", "id", "score"])
-
+                    held.append((np.full(len(near), query_ids[row]), names[near], score[near]))
+                    size += len(near)
+                if size > HELD_ROWS:
+                    held = [best()]
+                    size = len(held[0][0])
+                    if 2 * size > HELD_ROWS:
+                        yield out(held[0])
+                        held, size = [], 0
+        if held:
+            yield out(best())
+
+    spark, path = pairs.sparkSession, work_path(pairs.sparkSession, "nearest")
     found = pairs.select("width", "ids", "matrix", "query_ids", "queries").mapInArrow(run, "query_id long, id long, score double")
+    was = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(PAIRS))
+    try:
+        found.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, was)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return spark.read.schema(found.schema).parquet(path).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def query_blocks(queries: DataFrame, lists=None) -> DataFrame:

@@ -90,3 +90,25 @@ def test_queries_of_words_in_capitals(spark, tmp_path):
     docs = spark.createDataFrame([(1, "He sleeps."), (2, "No SLEEP at all")], "id long, text string")
     index = search.TextIndex(docs, str(tmp_path / "t"))
     assert [r["id"] for r in index.topk(["Sleep"]).collect()] == [2] == [r["id"] for r in index.lookup(["SLEEP"]).collect()]
+
+
+def test_nearest_of_many_meetings(spark):
+    """A task gives each of its queries k rows, however many matrices they meet; matrices of a list are filled over batches."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)).round(2)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").coalesce(1)
+    of = lambda m: (np.arange(len(m)), (m[:, 0] > 0).astype(np.int64))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        index = search.slices(rows, "id", "v", of, 150).cache()
+        assert index.count() <= 4  # 20 batches of 2 lists
+        small = search.slices(rows, "id", "v", None, 10).coalesce(1)
+        queries = search.query_blocks(rows.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("query"))).drop("list").withColumnRenamed("width", "w")
+        found = search.best_of(small.crossJoin(queries).where("width = w").coalesce(1), 5).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    score = np.round(x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1), 6)
+    want = {(q, int(i), r + 1) for q in range(0, 400, 20) for r, i in enumerate(np.lexsort((np.arange(400), -score[q]))[:5])}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in found} == want
+    q, i, s = np.repeat([1, 2], 6), np.arange(12), np.tile([0.5, 0.5, 0.9, 0.1, 0.2, 0.3], 2)
+    assert [c.tolist() for c in search.best_rows(q, i, s, 2)] == [[1, 1, 2, 2], [2, 0, 8, 6], [0.9, 0.5, 0.9, 0.5]]
