@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.batches import ends, sizes_of, steps
+
 MOST, SAMPLE, LEAST, OVER, SHORTEST = 50, 10, 10, 0.70, 100
 OTHER = re.compile(r"[^a-z0-9\s]")
 
@@ -31,14 +33,27 @@ def fingerprint(text: Column) -> Column:
 
     @F.arrow_udf("array<string>")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([frequent_runs(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pa.concat_arrays([pa.array([frequent_runs(t) for t in part.to_pylist()], pa.list_(pa.string())) for part in steps(texts)])
 
     return run(text)
 
 
 def fingerprints(items: DataFrame, key: str = "id", body: str = "content_body") -> DataFrame:
-    """key, fingerprint (array, most frequent first) for items with at least 100 characters and one run."""
-    return items.select(key, fingerprint(F.col(body)).alias("fingerprint")).where(F.size("fingerprint") > 0)
+    """key, fingerprint (array, most frequent first) for items with at least 100 characters and one run.
+
+    One pass of one Python worker a task, in steps of bounded size: as a column, the condition would count all runs twice.
+    """
+
+    def run(batches):
+        for batch in batches:
+            keys, texts = batch.column(0), batch.column(1)
+            for a, b in ends(sizes_of(texts)):
+                runs = [frequent_runs(t) for t in texts.slice(a, b - a).to_pylist()]
+                some = [k for k, r in enumerate(runs) if r]
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array([a + k for k in some], pa.int64())), pa.array([runs[k] for k in some], pa.list_(pa.string()))], names=[key, "fingerprint"])
+
+    given = items.select(key, F.col(body).cast("string"))
+    return given.mapInArrow(run, f"`{key}` {given.schema[key].dataType.simpleString()}, fingerprint array<string>")
 
 
 def overlap(a: Column, b: Column) -> Column:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.batches import ends, sizes_of
 from millrace.operators.dedup import LEAST, OVER, SAMPLE, overlap
 from millrace.session import work_path
 from millrace.sources.buckets import BucketStore
@@ -23,6 +24,8 @@ RUNS = "run long, print string, n int"
 ITEMS = "key long, print string"
 RARITY = "bin int, often long"
 BITS = 18
+#: Runs that a step holds at a time.
+STEP_RUNS = 1 << 16
 
 
 def bins_of(runs: np.ndarray) -> np.ndarray:
@@ -34,14 +37,17 @@ def rare_runs(groups: DataFrame, rarity: np.ndarray) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            out = []
-            for name, runs in zip(batch.column("print").to_pylist(), batch.column("runs").to_pylist()):
-                own = np.array(runs, np.int64)
-                order = np.lexsort((own, rarity[bins_of(own)]))
-                first = own[order[: len(own) - int(np.ceil(OVER * len(own) - 1e-9)) + 1]]
-                out += [(int(r), name, len(own)) for r in first]
-            columns = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32()))], names=["run", "print", "n"])
+            lists = batch.column("runs")
+            for a, b in ends(sizes_of(lists), STEP_RUNS):
+                names, sizes = batch.column("print").slice(a, b - a), []
+                parts = []
+                for runs in lists.slice(a, b - a):
+                    own = np.asarray(runs.values, np.int64)
+                    order = np.lexsort((own, rarity[bins_of(own)]))
+                    parts.append(own[order[: len(own) - int(np.ceil(OVER * len(own) - 1e-9)) + 1]])
+                    sizes.append(len(own))
+                counts = [len(x) for x in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts), pa.int64()), names.take(pa.array(np.repeat(np.arange(len(parts)), counts))), pa.array(np.repeat(sizes, counts), pa.int32())], names=["run", "print", "n"])
 
     return groups.select("print", "runs").mapInArrow(make, RUNS)
 
