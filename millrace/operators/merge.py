@@ -44,13 +44,15 @@ def by_policy(name: str, policy: str, order: Column) -> Column:
     raise ValueError(f"no policy {policy}")
 
 
-def merge_by_key(stored: DataFrame, incoming: DataFrame, key: str, policy: dict[str, str], seq: str) -> DataFrame:
-    """The next snapshot of stored, one row a key. seq: the incoming rows' order of arrival, from 0 up. Columns that incoming lacks are null in it; columns that the policy doesn't name are last."""
+def merge_by_key(stored: DataFrame, incoming: DataFrame, key: str, policy: dict[str, str], seq: str, deal: tuple[str, Column] | None = None) -> DataFrame:
+    """The next snapshot of stored, one row a key. seq: the incoming rows' order of arrival, from 0 up. Columns that incoming lacks are null in it; columns that the policy doesn't name are last.
+    deal: a name and a function of the key; rows are shuffled by it and have it as their last column, so they can be written by it as they lie."""
     names = [c for c in stored.columns if c != key]
     first = stored.withColumn(SEQ, F.lit(-1).cast("long"))
     then = incoming.withColumn(SEQ, F.col(seq).cast("long"))
     both = first.select(key, SEQ, *names).unionByName(then.select(key, SEQ, *(c for c in names if c in incoming.columns)), allowMissingColumns=True)
-    return both.groupBy(key).agg(*(by_policy(c, policy.get(c, "last"), F.col(SEQ)).alias(c) for c in names)).select(*stored.columns)
+    grouped = both.groupBy(key) if deal is None else both.withColumn(*deal).repartition(deal[0]).groupBy(deal[0], key)
+    return grouped.agg(*(by_policy(c, policy.get(c, "last"), F.col(SEQ)).alias(c) for c in names)).select(*stored.columns, *([deal[0]] if deal else []))
 
 
 def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken: DataFrame | None = None) -> DataFrame:
@@ -59,19 +61,19 @@ def one_per_doi(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken:
     if "doi" not in incoming.columns:
         return incoming
     taken = (stored if taken is None else taken).where("doi IS NOT NULL").select(F.col("doi").alias("__doi"), F.col("url").alias("__url"))
-    free = incoming.join(taken, (F.col("doi") == F.col("__doi")) & (F.col("url") != F.col("__url")), "left_anti")
+    # rows without DOI go by the joins: they would all meet in one task
+    free = incoming.where("doi IS NOT NULL").join(taken, (F.col("doi") == F.col("__doi")) & (F.col("url") != F.col("__url")), "left_anti")
     stored_urls = stored.select("url", F.lit(True).alias("__known"))
     first_url = F.first("url").over(Window.partitionBy("doi").orderBy(F.col("__known").desc_nulls_last(), seq, "url"))
-    with_doi = free.where("doi IS NOT NULL").join(stored_urls, "url", "left").withColumn("__first", first_url).where(F.col("url") == F.col("__first")).drop("__known", "__first")
-    return free.where("doi IS NULL").unionByName(with_doi.select(*free.columns))
+    with_doi = free.join(stored_urls, "url", "left").withColumn("__first", first_url).where(F.col("url") == F.col("__first")).drop("__known", "__first")
+    return incoming.where("doi IS NULL").unionByName(with_doi.select(*free.columns))
 
 
-def merge_items(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken: DataFrame | None = None) -> DataFrame:
-    """The items' own merge on url. Bodies that change set needs_rechunk and clear the embedding (compared before and after).
-    taken: see one_per_doi."""
-    new = merge_by_key(stored, one_per_doi(stored, incoming, seq, taken), "url", ITEM_POLICY, seq)
-    before = stored.select("url", content_hash(F.col("content_body")).alias("__before"))
-    joined = new.join(before, "url", "left")
+def merge_items(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken: DataFrame | None = None, deal: tuple[str, Column] | None = None) -> DataFrame:
+    """The items' own merge on url. Bodies that change set needs_rechunk and clear the embedding (compared before and after; the
+    hash of the stored body goes through the merge as a column). taken: see one_per_doi. deal: see merge_by_key."""
+    hashed = stored.withColumn("__before", content_hash(F.col("content_body")))
+    joined = merge_by_key(hashed, one_per_doi(stored, incoming, seq, taken), "url", ITEM_POLICY | {"__before": "stored"}, seq, deal)
     changed = F.col("__before").isNotNull() & ~content_hash(F.col("content_body")).eqNullSafe(F.col("__before"))
     marks = {"needs_rechunk": F.when(changed, True).otherwise(F.coalesce("needs_rechunk", F.lit(False)))} if "needs_rechunk" in stored.columns else {}
     for c in ("embedding", "embedded_at"):
@@ -79,7 +81,7 @@ def merge_items(stored: DataFrame, incoming: DataFrame, seq: str = "seq", taken:
             marks[c] = F.when(changed, None).otherwise(F.col(c))
     if "fetch_attempts" in stored.columns:
         marks["fetch_attempts"] = F.coalesce("fetch_attempts", F.lit(0))
-    return joined.withColumns(marks).select(*stored.columns)
+    return joined.withColumns(marks).select(*stored.columns, *([deal[0]] if deal else []))
 
 
 def inserted(stored: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:

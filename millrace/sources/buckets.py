@@ -77,10 +77,10 @@ class BucketStore:
     # --- what changes
 
     def write_folder(self, name: str, rows: DataFrame, batch: int) -> str:
-        """rows, dealt to their buckets, in a folder of this attempt; its name."""
+        """rows, dealt to their buckets, in a folder of this attempt; its name. Rows that have a column of their bucket lie by it already."""
         buckets = self.manifest()["buckets"]
         folder = f"data/v{batch:012d}-{uuid.uuid4().hex[:8]}/{name}"
-        dealt = rows.withColumn(BUCKET, self.bucket(self.keys[name], buckets)).repartition(BUCKET)
+        dealt = rows if BUCKET in rows.columns else rows.withColumn(BUCKET, self.bucket(self.keys[name], buckets)).repartition(BUCKET)
         dealt.write.partitionBy(BUCKET).option("maxRecordsPerFile", FILE_ROWS).parquet(f"{self.path}/{folder}")
         return folder
 
@@ -161,8 +161,16 @@ class ItemStore(BucketStore):
         if batch <= self.manifest()["batch"]:
             return False
         nothing = self.spark.createDataFrame([], "seq long, url string")
-        items = merge_items(items.where("url IS NOT NULL").select(*self.schemas["items"].names), nothing)
-        return self.replace(batch, items=items, dois=items.where("doi IS NOT NULL").select("doi", "url"))
+        items = merge_items(items.where("url IS NOT NULL").select(*self.schemas["items"].names), nothing, deal=self.deal())
+        written = self.write_folder("items", items, batch)
+        return self.commit(batch, {"items": (written, None), "dois": (self.write_folder("dois", self.dois_of(written), batch), None)})
+
+    def deal(self) -> tuple[str, Column]:
+        return BUCKET, self.bucket("url", self.manifest()["buckets"])
+
+    def dois_of(self, written: str) -> DataFrame:
+        """doi, url of the items in a folder."""
+        return self.spark.read.schema(self.schemas["items"]).parquet(f"{self.path}/{written}").where("doi IS NOT NULL").select("doi", "url")
 
     def merge(self, incoming: DataFrame, batch: int, seq: str = "seq") -> bool:
         """A batch into the items, by the rules of merge_items. Whether it was new: a batch that comes again changes nothing.
@@ -177,12 +185,12 @@ class ItemStore(BucketStore):
         if not touched["items"]:
             return self.commit(batch, {})
         stored, taken = self.read("items", touched["items"]), self.read("dois", touched.get("dois", []))
-        written = self.write_folder("items", merge_items(stored, incoming, seq, taken), batch)
+        written = self.write_folder("items", merge_items(stored, incoming, seq, taken, self.deal()), batch)
         changes = {"items": (written, touched["items"])}
         if touched.get("dois"):
             # DOIs of the batch stand in its buckets; the rows that share the items' buckets by chance have theirs already
             buckets = self.manifest()["buckets"]
-            now = self.spark.read.schema(self.schemas["items"]).parquet(f"{self.path}/{written}").where("doi IS NOT NULL").select("doi", "url")
+            now = self.dois_of(written)
             now = now.where(self.bucket("doi", buckets).isin(touched["dois"]))
             changes["dois"] = (self.write_folder("dois", taken.union(now).distinct(), batch), touched["dois"])
         return self.commit(batch, changes)
