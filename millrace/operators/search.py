@@ -7,11 +7,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.batches import ends, sizes_of
 from millrace.functions.text import words
 from millrace.session import work_path
 
 STOP_WORDS = "a an and are as at be but by for from has have in into is it its not of on or that the their then there these they this to was were which will with".split()
 K1, B = 1.2, 0.75
+#: Words that a step of an index holds at a time.
+STEP_WORDS = 1 << 18
 
 
 def as_doubles(v: Column) -> Column:
@@ -236,21 +239,28 @@ def stems(lists: Column) -> Column:
 def inverted_index(docs: DataFrame, id_col: str = "id", text_col: str = "text", stem: bool = False) -> DataFrame:
     """term, id, tf, len: the postings, to be stored sorted by term.
 
-    Words are counted within their text by sorting, so only one row a term and text is made and nothing is shuffled.
+    Words are counted within their text, so only one row a term and text is made and nothing is shuffled. One Python worker a task
+    stems and counts, in steps of bounded size.
     """
-    each = docs.select(id_col, F.array_sort(terms(F.coalesce(F.col(text_col), F.lit("")), stem)).alias("terms"))
+    each = docs.select(id_col, terms(F.coalesce(F.col(text_col), F.lit(""))).alias("terms"))
 
     def count(batches):
+        from millrace.functions.stem import stem as stem_of
+
         for batch in batches:
-            lists = batch.column("terms")
-            sizes = np.diff(lists.offsets.to_numpy())
-            known = lists.flatten().dictionary_encode()
-            code = np.asarray(known.indices) if len(known) else np.empty(0, np.int64)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            new = np.append(True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])) if len(code) else np.empty(0, bool)
-            first = np.flatnonzero(new)
-            tf = np.diff(np.append(first, len(code)))
-            yield pa.RecordBatch.from_arrays([known.dictionary.take(pa.array(code[first])) if len(first) else pa.array([], pa.string()), batch.column(0).take(pa.array(owner[first])), pa.array(sizes[owner[first]], pa.int32()), pa.array(tf, pa.int64())], names=["term", id_col, "len", "tf"])
+            ids, lists = batch.column(0), batch.column("terms")
+            for a, b in ends(sizes_of(lists), STEP_WORDS):
+                part = lists.slice(a, b - a)
+                sizes = np.diff(part.offsets.to_numpy())
+                known = part.flatten().dictionary_encode()
+                names, code = known.dictionary, np.asarray(known.indices, np.int64)
+                if stem:
+                    known = pa.array([stem_of(w) for w in names.to_pylist()], pa.string()).dictionary_encode()
+                    names, code = known.dictionary, np.asarray(known.indices, np.int64)[code]
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                found, tf = np.unique(owner * max(1, len(names)) + code, return_counts=True)
+                owner, code = found // max(1, len(names)), found % max(1, len(names))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(code, pa.int64())), ids.take(pa.array(owner + a, pa.int64())), pa.array(sizes[owner], pa.int32()), pa.array(tf, pa.int64())], names=["term", id_col, "len", "tf"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return each.mapInArrow(count, f"term string, `{id_col}` {kind}, len int, tf long")
