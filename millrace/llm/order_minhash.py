@@ -10,12 +10,14 @@ In each bucket of equal sketches every node is compared with the bucket's hub, i
 with several classes are then compared in full, all nodes outside the bucket's largest class with all others. Where that
 would be too many pairs (more than CROWD) the nodes have something in common that most of them are not alike for, such as
 a passage that very many documents quote. The nodes of such buckets are joined by exact prefix filters instead. Texts that
-are alike share so many runs of two words (the first, second, ... occurrence of a run count as different ones) that in any
-order of runs they have one in common among the first four tenths of each, and so many words that they have one in common
-among the first two tenths. With the rarest first, what a common passage holds comes last and is asked for only where the
-passage is most of the text. Nodes meet on their first runs; those that this leaves in crowds meet on their first words; a
-crowd that is left then is split by a second word among the first two tenths and two, and compared in full. Each step is
-exact: every pair that meets in a bucket and is alike is found, or is in one class already, in whatever order rows come.
+are alike share so many runs of three words (the first, second, ... occurrence of a run count as different ones), four tenths
+of theirs less two, that in any order of runs they have one in common among the first six tenths and three of each, and so many
+words that they have one in common among the first two tenths. With the rarest first, what a common passage holds comes last and
+is asked for only where the passage is most of the text. Runs are counted exactly and put first where only one class has them:
+they bring no two classes together, and a text that shares too few runs with other classes is alike none of theirs. Nodes meet
+on their first runs; those that this leaves in crowds meet on their first words; a crowd that is left then is split by a second
+word among the first two tenths and two, and compared in full. Each step is exact: every pair that meets in a bucket and is
+alike is found, or is in one class already, in whatever order rows come.
 
 Pairs are verified by banded alignment of their words; classes are the connected components of the links.
 """
@@ -29,7 +31,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm._common import STEP_BYTES, cut, drop, map_steps, release, text_of
@@ -38,16 +40,20 @@ K, L, SLOTS, SIMILARITY, SALTS = 5, 3, 8, 0.8, 16
 FINE_K, FINE_L, FINE_SLOTS = 2, 2, 28
 TINY_L, TINY_SLOTS, SHORT = 3, 20, 40
 CROWD = 128
+#: Words of the runs that crowds meet on first. Texts of up to BRIEF words may be alike without one in common: they have their pairs of words too.
+RUN, BRIEF = 3, 5
+#: Runs that are counted in one group, about, and bytes of words whose runs are dealt to the groups at a time.
+GROUP_RUNS, DEAL_BYTES = 1 << 20, 4 << 20
 #: The steps for crowds: words of a run, and how many runs of it a key stands for.
-STEPS = ((2, 1), (1, 1), (1, 2))
+STEPS = ((RUN, 1), (1, 1), (1, 2))
 BINS = 256
 #: Occurrences of words among crowded nodes are counted in 2 ** RARITY_BITS bins, whatever their number: the order that the
 #: prefix filter uses has a fixed size.
 RARITY_BITS = 20
 #: Bits of the filter that names the nodes of crowds.
 MARK_BITS = 24
-#: Shares of the prefix filter's keys that are joined one after the other, which bounds the disk that their shuffles take at a time.
-TURNS = 4
+#: Keys of the prefix filter that are joined at a time, about, which bounds the disk that their shuffles take.
+TURN_KEYS = 4_000_000
 #: What the pairs of a step move at a time: half of the bytes of all words, and so much at least.
 LEAST_ROOM = 64 << 20
 WORDS = re.compile(r"\w+")
@@ -291,9 +297,10 @@ def verified(spark: SparkSession, pairs: DataFrame, met: DataFrame, room: int) -
     tried = cut(spark, pairs, "omh-pairs")
     release(spark)
     left = each_cut(spark, [with_common_words(p, met) for p in shares(tried, BINS * tried.count(), room)], "omh-likely")
-    # the words of these pairs' nodes only: all words are moved once, not once for either side
+    # the words of these pairs' nodes only, filtered where they lie: they are moved once, not once for either side
     ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    need = cut(spark, met.select("node", "words").join(ends.hint("merge"), "node"), "omh-need")
+    own = met.select("node", "words").where(marked_nodes(ends)(F.col("node")))
+    need = cut(spark, own.join(ends.hint("merge"), "node"), "omh-need")
     release(spark)
     size = 4 * (left.agg(F.sum("n").alias("n")).first()["n"] or 0)
     links = each_cut(spark, [map_steps(paired(p, need, "words"), "words_a", make, "a long, b long") for p in shares(left.select("a", "b"), size, room)], "omh-links")
@@ -351,9 +358,9 @@ def meet(spark: SparkSession, entries: DataFrame) -> DataFrame:
 
 def meet_in_turn(spark: SparkSession, entries: DataFrame) -> DataFrame:
     """meet(), a share of the keys after the other: the shuffled files of one are gone before the next begins."""
-    found = None
-    for turn in range(TURNS):
-        part = meet(spark, entries.where(F.pmod("key", F.lit(TURNS)) == turn))
+    turns, found = 1 + entries.count() // TURN_KEYS, None
+    for turn in range(turns):
+        part = meet(spark, entries if turns == 1 else entries.where(F.pmod("key", F.lit(turns)) == turn))
         release(spark)
         found = part if found is None else found.unionByName(part)
     return found
@@ -394,6 +401,77 @@ def cross_pairs(apart: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def runs_of(codes: np.ndarray) -> np.ndarray:
+    """The runs a crowded text is met on."""
+    runs = labelled(codes, RUN)
+    return np.concatenate([runs, labelled(codes, RUN - 1)]) if len(codes) <= BRIEF else runs
+
+
+def of_several(runs: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the runs that texts of several classes have, and how often each of these occurs."""
+    order = np.argsort(runs, kind="stable")
+    ordered, named = runs[order], labels[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(runs) else np.empty(0, np.int64)
+    if not len(starts):
+        return starts, starts
+    often = np.diff(np.append(starts, len(ordered)))
+    several = np.minimum.reduceat(named, starts) != np.maximum.reduceat(named, starts)
+    return order[np.repeat(several, often)], np.repeat(often[several], often[several])
+
+
+def shared_runs(words: DataFrame, runs: int) -> DataFrame:
+    """node, run, often of the runs that nodes of several classes have. words: node, label, words; runs: how many runs they have, about.
+
+    Runs are dealt by their first bits to groups of about GROUP_RUNS, so counts are exact and a group stays as large as it is
+    when the input grows. A block of texts sends its runs of a group as one row.
+    """
+    bits = max(0, int(np.ceil(np.log2(max(1, runs) / GROUP_RUNS))))
+
+    def deal(part):
+        found = [runs_of(np.frombuffer(w, "<u4")) for w in part.column("words").to_pylist()]
+        flat, text = np.concatenate(found), np.repeat(np.arange(len(found), dtype=np.int32), list(map(len, found)))
+        group = (flat >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(flat), np.int32)
+        order = np.argsort(group, kind="stable")
+        used, begin = np.unique(group[order], return_index=True)
+        node, label = (part.column(c).to_numpy() for c in ("node", "label"))
+        out = []
+        for at in np.split(order, begin[1:]) if len(order) else []:
+            texts, times = np.unique(text[at], return_counts=True)
+            out.append((flat[at].tobytes(), node[texts].tobytes(), label[texts].tobytes(), times.astype(np.int32).tobytes()))
+        return used, *(zip(*out) if out else ([], [], [], []))
+
+    def count(table: pa.Table) -> pa.Table:
+        of = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        held, times = of("runs", np.uint64), of("times", np.int32)
+        at, often = of_several(held, np.repeat(of("labels", np.int64), times))
+        return pa.table({"node": np.repeat(of("nodes", np.int64), times)[at], "run": held[at].view(np.int64), "often": often})
+
+    dealt = map_steps(words.select("node", "label", "words"), "words", deal, "part int, runs binary, nodes binary, labels binary, times binary", limit=DEAL_BYTES)
+    return dealt.groupBy("part").applyInArrow(count, "node long, run long, often long")
+
+
+def by_runs(spark: SparkSession, met: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Entries (key, node, place) of the nodes of crowd (node, n, label): of the runs that several classes have, the first that a text must share one of.
+
+    A text that is alike one of another class shares `least` runs with it at least; one with fewer runs of several classes has no
+    entry. Of `held` such runs in one order for all texts, the first held - least + 1 have one in common.
+    """
+    crowd = cut(spark, crowd.select("node", "n", "label").distinct(), "omh-crowd")
+    total = crowd.agg(F.sum("n").alias("n")).first()["n"]
+    words = met.select("node", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
+    shared = cut(spark, shared_runs(words.join(crowd.hint("merge"), "node"), total), "omh-shared")
+    release(spark)
+    least = F.when(F.col("n") <= BRIEF, 1).otherwise(F.greatest(F.lit(1), F.ceil((1 - RUN * (1 - SIMILARITY)) * F.col("n") - (RUN - 1) - 1e-9)))
+    enough = shared.groupBy("node").agg(F.count("*").alias("held")).join(crowd.hint("merge"), "node").where(F.col("held") >= least)
+    first = cut(spark, enough.select("node", (F.col("held") - least + 1).alias("first")), "omh-enough")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "run"))
+    entries = shared.join(first.hint("merge"), "node").withColumn("rank", rank).where("rank <= first")
+    out = cut(spark, entries.select("node", F.col("run").alias("key"), F.lit(-1).alias("place")), "omh-prefix")
+    drop(spark, crowd, shared, first)
+    release(spark)
+    return out
+
+
 def rarity_of(words: DataFrame, size: int) -> np.ndarray:
     """For each bin how often its runs occur in a table of words: 2 ** RARITY_BITS numbers, summed up in the tasks and then by bin."""
 
@@ -475,10 +553,13 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
         last = step is None or crowd.isEmpty()
         pairs = cross_pairs(apart if last else apart.where(F.col("work") <= CROWD))
         if not last:
-            words = met.select("node", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
-            if step[1] == 1:
-                rarity = rarity_of(words, step[0])
-            entries = by_prefix(spark, words, rarity, crowd, *step)
+            if step[0] == RUN:
+                entries = by_runs(spark, met, crowd)
+            else:
+                words = met.select("node", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
+                if step[1] == 1:
+                    rarity = rarity_of(words, step[0])
+                entries = by_prefix(spark, words, rarity, crowd, *step)
             buckets = meet_in_turn(spark, entries)
             drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()

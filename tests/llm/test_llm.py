@@ -921,3 +921,44 @@ def test_pairs_in_shares(spark):
     assert {tuple(r) for r in got.collect()} == wanted and 0 < len(wanted) < len(names)
     folders = {f.rpartition("/")[0] for f in got.inputFiles()}
     assert len(folders) > 1  # written in shares
+
+
+def test_runs_of_several_classes(spark):
+    """Runs are counted exactly, whatever their number and the groups they are dealt to; those of one class alone are left out, and texts that share too few get no entry."""
+    rng, size = np.random.default_rng(3), order_minhash.GROUP_RUNS
+    passage, word = rng.integers(0, 10**9, 90), lambda n: rng.integers(0, 10**9, n)
+    texts = [np.concatenate([passage, word(60)]) for _ in range(20)] + [np.concatenate([passage[:20], word(200)]) for _ in range(20)] + [word(50)] * 2 + [passage[[0, 1, 2, 3]], passage[[0, 1, 9, 2, 3]]]
+    texts = [t.astype("<u4") for t in texts]
+    labels = [*range(40), 40, 40, 42, 43]
+    met = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "node long, words binary")
+    crowd = spark.createDataFrame([(i, len(t), x) for i, (t, x) in enumerate(zip(texts, labels))], "node long, n int, label long")
+    wanted = {}
+    for i, t in enumerate(texts):
+        for r in order_minhash.runs_of(t).view(np.int64).tolist():
+            wanted.setdefault(r, []).append(i)
+    wanted = {(i, r, len(x)) for r, x in wanted.items() for i in x if len({labels[i] for i in x}) > 1}
+    for total in (sum(map(len, texts)), 40 * size):
+        assert {tuple(r) for r in order_minhash.shared_runs(crowd.join(met, "node"), total).collect()} == wanted
+    got = order_minhash.by_runs(spark, met, crowd).collect()
+    keys = {}
+    for r in got:
+        keys.setdefault(r["node"], set()).add(r["key"])
+    assert set(keys) == {*range(20), 42, 43}  # 200 words of one's own leave too few; copies of one class share nothing with others
+    assert all(keys[i] & keys[j] for i in range(20) for j in range(i)) and keys[42] & keys[43] and max(map(len, keys.values())) == 88 - 58 + 1
+
+
+def test_runs_lose_no_pair():
+    """Texts that are alike share as many runs as by_runs asks for, brief ones a run of some kind."""
+    draw, tried = random.Random(5), 0
+    for _ in range(3000):
+        a = [draw.randrange(10**6) for _ in range(draw.randrange(3, 60) if draw.random() < 0.5 else draw.randrange(3, 12))]
+        b = list(a)
+        for _ in range(draw.randrange(int(0.25 * len(a)) + 1)):
+            at = draw.randrange(len(b) + 1)
+            b[at : at + draw.randrange(2)] = [draw.randrange(10**6)] * draw.randrange(2)
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        if a != b and order_minhash.similar([(x, y)])[0] is not None:
+            tried += 1
+            shared = len(set(order_minhash.runs_of(x).tolist()) & set(order_minhash.runs_of(y).tolist()))
+            assert shared >= max(1 if n <= order_minhash.BRIEF else max(1, np.ceil(0.4 * n - 2 - 1e-9)) for n in (len(a), len(b))), (a, b)
+    assert tried > 500
