@@ -86,7 +86,10 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
 def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Sequence], schema: str, limit: int = STEP_BYTES) -> DataFrame:
     """df through make, which gives the columns of schema for a slice of bounded bytes."""
 
+    owner = make.__module__
+
     def run(batches):
+        keep_caches_of(owner)
         with uncollected():
             for part in steps(batches, column, limit):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(make(part), types, strict=True)], names=names)
@@ -99,6 +102,23 @@ def map_steps(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], Seque
     return df.mapInArrow(run, schema)
 
 
+#: By module, what empties the caches that it keeps in a Python worker from task to task.
+EMPTIED: dict[str, Callable[[], None]] = {}
+HOLDER = [""]
+
+
+def keep_caches_of(owner: str) -> None:
+    """Empties what the other operators have left in this worker: Spark gives it to one after the other, and their caches would add up."""
+    if HOLDER[0] == owner:
+        return
+    HOLDER[0] = owner
+    for name, empty in EMPTIED.items():
+        if name != owner:
+            empty()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 @contextlib.contextmanager
 def uncollected():
     """Without Python's search for cycles: the operators make none, and it walks their lists again and again."""

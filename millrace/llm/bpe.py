@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import PieceCache, map_steps, text_of
+from millrace.llm._common import EMPTIED, PieceCache, map_steps, text_of
 
 
 #: Pairs whose joined rank is remembered.
@@ -198,6 +198,9 @@ def bpe(rank_file: str, pattern: str) -> ByteBpe:
     return ByteBpe(rank_file, pattern)
 
 
+EMPTIED[__name__] = bpe.cache_clear
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ids (binary: little-endian unsigned 32-bit) for every row of docs; rank_file: a path on every machine.
 

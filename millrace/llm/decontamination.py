@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import STEP_BYTES, cut, map_steps, put_file, read_whole, task_name, text_of, uncollected, work_path
+from millrace.llm._common import EMPTIED, STEP_BYTES, cut, map_steps, put_file, read_whole, task_name, text_of, uncollected, work_path
 
 Q = 6
 #: Edits allowed, as a share of the benchmark text.
@@ -243,6 +243,9 @@ def index(path: str) -> Items:
     return Items(tuple(map(tuple, json.loads(read_whole(path)))))
 
 
+EMPTIED[__name__] = index.cache_clear
+
+
 def index_files(spark: SparkSession, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[str]:
     """Writes the benchmark to the shared folder in blocks of bounded size; returns their paths. Null and empty texts match nothing;
     repeated rows are counted first; a text alone over the bound is a block."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm._common import STEP_BYTES, cut, drop, map_steps, release, text_of
+from millrace.llm._common import EMPTIED, STEP_BYTES, cut, drop, map_steps, release, text_of
 
 K, L, SLOTS, SIMILARITY, SALTS = 5, 3, 8, 0.8, 16
 FINE_K, FINE_L, FINE_SLOTS = 2, 2, 28
@@ -81,6 +81,7 @@ class Codes(dict):
 
 
 CODES = Codes()
+EMPTIED[__name__] = CODES.clear
 
 
 def word_codes(text: str) -> np.ndarray:

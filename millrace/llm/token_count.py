@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from millrace.llm._common import PieceCache, map_steps, text_of
+from millrace.llm._common import EMPTIED, PieceCache, map_steps, text_of
 
 MARK = "▁"  # how the vocabulary writes a space
 LIMIT = 4096
@@ -62,6 +62,9 @@ def counter(model: str) -> TokenCounter:
     return TokenCounter(model)
 
 
+EMPTIED[__name__] = counter.cache_clear
+
+
 def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes (UTF-8), n_tokens, over_limit for every row of docs; model: path of the vocabulary on every machine.
 

@@ -962,3 +962,14 @@ def test_runs_lose_no_pair():
             shared = len(set(order_minhash.runs_of(x).tolist()) & set(order_minhash.runs_of(y).tolist()))
             assert shared >= max(1 if n <= order_minhash.BRIEF else max(1, np.ceil(0.4 * n - 2 - 1e-9)) for n in (len(a), len(b))), (a, b)
     assert tried > 500
+
+
+def test_worker_keeps_caches_of_one_operator(spark):
+    """A worker that goes on to another operator no longer holds what the last one has cached."""
+    from millrace.llm import _common
+
+    order_minhash.CODES["some"] = 1
+    _common.keep_caches_of(order_minhash.__name__)
+    assert order_minhash.CODES
+    _common.keep_caches_of(bpe.__name__)
+    assert not order_minhash.CODES
