@@ -31,7 +31,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm._common import EMPTIED, STEP_BYTES, cut, drop, map_steps, release, text_of
@@ -56,6 +56,9 @@ MARK_BITS = 24
 TURN_KEYS = 4_000_000
 #: What the pairs of a step move at a time: half of the bytes of all words, and so much at least.
 LEAST_ROOM = 64 << 20
+#: Nodes of crowded buckets are all compared with each other, in blocks of about so many texts and bytes of words, where they make no
+#: more than so many pairs for each node that has met another.
+PAIRS, BLOCK, BLOCK_BYTES = 256, 32, 2 << 20
 WORDS = re.compile(r"\w+")
 draw = np.random.Generator(np.random.PCG64(77))
 TURN, FINE_TURN, TINY_TURN = (draw.integers(1 << 32, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for n in (SLOTS, FINE_SLOTS, TINY_SLOTS))
@@ -213,23 +216,35 @@ def aligned(pairs: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarra
     return out
 
 
+def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the words that both begin and end with: the edit distance is the same."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    at = int(differ[0]) if len(differ) else n
+    n -= at
+    differ = np.flatnonzero(a[len(a) - n :] != b[len(b) - n :])
+    end = n - 1 - int(differ[-1]) if len(differ) else n
+    return a[at : len(a) - end], b[at : len(b) - end]
+
+
 def similar(pairs: list[tuple[np.ndarray, np.ndarray]], least: float = SIMILARITY, cells: int = 400_000) -> list[float | None]:
     """1 - edits / words of the longer text where that is `least` or more, else None. The distance is exact within the first band, and an upper bound that proves the link beyond."""
     out: list[float | None] = [None] * len(pairs)
     most = [int((1 - least) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
     todo = [k for k, (a, b) in enumerate(pairs) if abs(len(a) - len(b)) <= most[k] and max(len(a), len(b)) - shared_words(a, b) <= most[k]]
+    cut_to = {k: trimmed(*pairs[k]) for k in todo}
     for wide in (False, True):
         rest = []
-        width_of = lambda k: most[k] if wide else min(most[k], max(8, abs(len(pairs[k][0]) - len(pairs[k][1])) + 8, len(pairs[k][0]) // 24))
-        todo.sort(key=lambda k: (width_of(k), len(pairs[k][0]), k))
+        width_of = lambda k: most[k] if wide else min(most[k], max(8, abs(len(cut_to[k][0]) - len(cut_to[k][1])) + 8, len(cut_to[k][0]) // 24))
+        todo.sort(key=lambda k: (width_of(k), len(cut_to[k][0]), k))
         at = 0
         while at < len(todo):
             end = at + 1
-            while end < len(todo) and (end + 1 - at) * max(2 * width_of(todo[end]) + 1, max(map(len, pairs[todo[end]])) + 2 * width_of(todo[end])) <= cells and len(pairs[todo[end]][0]) <= 2 * len(pairs[todo[at]][0]) + 64:
+            while end < len(todo) and (end + 1 - at) * max(2 * width_of(todo[end]) + 1, max(map(len, cut_to[todo[end]])) + 2 * width_of(todo[end])) <= cells and len(cut_to[todo[end]][0]) <= 2 * len(cut_to[todo[at]][0]) + 64:
                 end += 1
             batch = todo[at:end]
             width = max(map(width_of, batch))
-            for k, d in zip(batch, aligned([pairs[k] for k in batch], width).tolist()):
+            for k, d in zip(batch, aligned([cut_to[k] for k in batch], width).tolist()):
                 if d <= most[k]:
                     out[k] = round(1 - d / max(1, max(map(len, pairs[k]))), 6)
                 elif width < most[k]:
@@ -341,6 +356,17 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return nodes.select("node", F.col("node").alias("label")) if labels is None else labels
 
 
+def carried_on(spark: SparkSession, labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The node, label of components() with more links (a, b): only classes are linked anew."""
+    ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
+    old = cut(spark, labels.join(ends.withColumn("end", F.lit(True)), "node", "full").select("node", F.coalesce("label", "node").alias("label")), "labels")
+    named = more.join(old.toDF("a", "x").hint("merge"), "a").join(old.toDF("b", "y").hint("merge"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    up = components(spark, named).toDF("label", "up")
+    found = cut(spark, old.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
+    drop(spark, old)
+    return found
+
+
 def close(a: str, b: str):
     return F.least(a, b) >= F.lit(SIMILARITY) * F.greatest(a, b)
 
@@ -367,38 +393,83 @@ def meet_in_turn(spark: SparkSession, entries: DataFrame) -> DataFrame:
     return found
 
 
-def known_as(known: DataFrame, side: str) -> DataFrame:
-    return known.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("label").alias(f"label_{side}"))
-
-
 def hub_pairs(buckets: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): every node with the hubs of its buckets that are in other classes, where their lengths allow a link. known: node, n, label."""
-    pairs = buckets.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    both = pairs.join(known_as(known, "a"), "a").join(known_as(known, "b"), "b")
+    """(a, b): every node with the hubs of its buckets (node, n, label, hub) that are in other classes, where their lengths allow a link. known: node, n, label."""
+    pairs = buckets.where("node <> hub").select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"), F.col("hub").alias("b")).distinct()
+    both = pairs.join(known.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b")), "b")
     return both.where(close("n_a", "n_b") & (F.col("label_a") != F.col("label_b"))).select("a", "b")
 
 
-def left_apart(spark: SparkSession, buckets: DataFrame, known: DataFrame) -> DataFrame:
-    """key, node, n, label, hub, main, work of the buckets whose nodes are in several classes; hubs, which all were compared with, not among them.
+def planned(spark: SparkSession, named: DataFrame) -> DataFrame:
+    """The rows with main, work of the buckets (key, node, n, label) whose nodes are in several classes.
 
     main is the bucket's largest class, work the number of its other nodes times that of all.
     """
-    named = buckets.where("node <> hub").join(known, "node")
-    split = cut(spark, named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"), "omh-split")
-    apart = cut(spark, named.join(split, "key"), "omh-apart")
-    counts = apart.groupBy("key", "label").agg(F.count("*").alias("m"))
-    plan = counts.groupBy("key").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("all"))
+    named = cut(spark, named.drop("hub", "main", "work"), "omh-named")
+    counts = named.groupBy("key", "label").agg(F.count("*").alias("m"))
+    plan = counts.groupBy("key").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("all")).where(F.col("all") > F.col("most"))
     plan = plan.select("key", "main", ((F.col("all") - F.col("most")) * F.col("all")).alias("work"))
-    out = cut(spark, apart.join(cut(spark, plan, "omh-plan"), "key"), "omh-apart")
-    drop(spark, split, apart)
+    out = cut(spark, named.join(plan.hint("merge"), "key"), "omh-apart")
+    drop(spark, named)
     return out
 
 
-def cross_pairs(apart: DataFrame) -> DataFrame:
-    """(a, b): the pairs of a bucket in different classes, where their lengths allow a link. Never the pairs within a class."""
-    rest = apart.where("label <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), "label")
-    every = apart.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), (F.col("label") == F.col("main")).alias("central"))
-    pairs = rest.join(every, "key").where(F.col("label") != F.col("label_b")).where(F.col("central") | (F.col("a") > F.col("b"))).where(close("n_a", "n_b"))
+def left_apart(spark: SparkSession, buckets: DataFrame, known: DataFrame) -> DataFrame:
+    """planned() of the buckets but their hubs, which all were compared with."""
+    return planned(spark, buckets.where("node <> hub").join(known, "node"))
+
+
+def links_in_blocks(spark: SparkSession, crowd: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b): all links between nodes of crowd (node, n, label), one row each, that are in different classes.
+
+    Nodes are dealt to blocks of about BLOCK texts of like length, and a text goes once to each block it is compared with, not once for
+    each pair: rows are the nodes' number times that of blocks, and a pair is never a row unless it is a link.
+    """
+    base = np.log(1.26)  # texts that are alike are in the same class of lengths or in the next one
+    level = F.floor(F.log(F.col("n")) / F.lit(base)).cast("int")
+    own = met.select("node", "bag", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
+    nodes = cut(spark, own.join(crowd.hint("merge"), "node").withColumn("level", level), "omh-block")
+    plan = nodes.groupBy("level").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 4 / BLOCK_BYTES)).cast("int").alias("parts")).collect()  # a row a level
+    blocks = spark.createDataFrame([(r["level"], r["parts"]) for r in plan], "level int, parts int")
+    numbered = blocks.select("level", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    other = numbered.select(F.col("level").alias("level_y"), F.col("part").alias("part_y"))
+    pairs = numbered.join(other, (F.col("level_y") == F.col("level") + 1) | ((F.col("level_y") == F.col("level")) & (F.col("part_y") >= F.col("part"))))
+    pairs = pairs.select(F.struct("level", "part").alias("x"), F.struct(F.col("level_y").alias("level"), F.col("part_y").alias("part")).alias("y"))
+    sides = pairs.select("x", "y", F.col("x").alias("at")).union(pairs.where("x <> y").select("x", "y", F.col("y").alias("at")))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
+        block = np.array([v["level"] << 32 | v["part"] for v in table.column("at").to_pylist()])
+        bags = flat(table, "bag", np.uint8).reshape(-1, BINS).astype(np.int32)
+        words = [np.frombuffer(w, "<u4") for w in table.column("words").to_pylist()]
+        full, two, found = bags.max(axis=1) == 255, len(set(block.tolist())) > 1, []
+        for i in range(len(node)):
+            most = np.maximum(n[i], n)
+            near = (label != label[i]) & (np.minimum(n[i], n) >= SIMILARITY * most - 1e-9) & ((block > block[i]) if two else (np.arange(len(node)) > i))
+            j = np.flatnonzero(near)
+            fits = full[j] | full[i] | (most[j] - np.minimum(bags[i], bags[j]).sum(axis=1) <= (1 - SIMILARITY) * most[j] + 1e-9)
+            found += [(i, k) for k in j[fits].tolist()]
+        good = [p for p, s in zip(found, similar([(words[i], words[k]) for i, k in found])) if s is not None]
+        return pa.table({"a": np.array([max(node[i], node[k]) for i, k in good], np.int64), "b": np.array([min(node[i], node[k]) for i, k in good], np.int64)})
+
+    members = nodes.join(F.broadcast(blocks), "level")
+    members = members.select("node", "n", "label", "bag", "words", F.struct("level", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part")).alias("at"))
+    links = cut(spark, members.join(sides, "at").groupBy("x", "y").applyInArrow(compare, "a long, b long"), "omh-links")
+    drop(spark, nodes)
+    release(spark)
+    return links
+
+
+def cross_pairs(apart: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """(a, b): the pairs of a bucket in different classes, where their lengths allow a link. Never the pairs within a class, nor those of
+    two nodes of done (node), which all have been compared with each other."""
+    if done is None:
+        apart = apart.withColumn("done", F.lit(False))
+    else:
+        apart = apart.join(done.select("node", F.lit(True).alias("done")).hint("merge"), "node", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    rest = apart.where("label <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), "label", "done")
+    every = apart.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), (F.col("label") == F.col("main")).alias("central"), F.col("done").alias("done_b"))
+    pairs = rest.join(every, "key").where((F.col("label") != F.col("label_b")) & ~(F.col("done") & F.col("done_b"))).where(F.col("central") | (F.col("a") > F.col("b"))).where(close("n_a", "n_b"))
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -420,55 +491,92 @@ def of_several(runs: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nda
     return order[np.repeat(several, often)], np.repeat(often[several], often[several])
 
 
-def shared_runs(words: DataFrame, runs: int) -> DataFrame:
-    """node, run, often of the runs that nodes of several classes have. words: node, label, words; runs: how many runs they have, about.
+def flat(table: pa.Table | pa.RecordBatch, name: str, kind) -> np.ndarray:
+    """The numbers of a binary column, of all rows."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def packed_runs(words: DataFrame, runs: int) -> DataFrame:
+    """The runs that nodes of several classes have, packed: block, nodes, sizes, times (how many runs follow for each node), runs, often.
+    words: node, n, label, words; runs: how many runs they have, about.
 
     Runs are dealt by their first bits to groups of about GROUP_RUNS, so counts are exact and a group stays as large as it is
-    when the input grows. A block of texts sends its runs of a group as one row.
+    when the input grows. A block of texts, named by its first node, sends its runs of a group as one row and gets one row back at most.
     """
     bits = max(0, int(np.ceil(np.log2(max(1, runs) / GROUP_RUNS))))
 
     def deal(part):
         found = [runs_of(np.frombuffer(w, "<u4")) for w in part.column("words").to_pylist()]
-        flat, text = np.concatenate(found), np.repeat(np.arange(len(found), dtype=np.int32), list(map(len, found)))
-        group = (flat >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(flat), np.int32)
+        every, text = np.concatenate(found), np.repeat(np.arange(len(found), dtype=np.int32), list(map(len, found)))
+        group = (every >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(every), np.int32)
         order = np.argsort(group, kind="stable")
         used, begin = np.unique(group[order], return_index=True)
-        node, label = (part.column(c).to_numpy() for c in ("node", "label"))
+        node, size, label = (part.column(c).to_numpy() for c in ("node", "n", "label"))
         out = []
         for at in np.split(order, begin[1:]) if len(order) else []:
             texts, times = np.unique(text[at], return_counts=True)
-            out.append((flat[at].tobytes(), node[texts].tobytes(), label[texts].tobytes(), times.astype(np.int32).tobytes()))
-        return used, *(zip(*out) if out else ([], [], [], []))
+            out.append((node[texts].tobytes(), size[texts].astype(np.int32).tobytes(), label[texts].tobytes(), times.astype(np.int32).tobytes(), every[at].tobytes()))
+        return used, [node[0]] * len(out), *(zip(*out) if out else ([],) * 5)
 
     def count(table: pa.Table) -> pa.Table:
-        of = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        held, times = of("runs", np.uint64), of("times", np.int32)
-        at, often = of_several(held, np.repeat(of("labels", np.int64), times))
-        return pa.table({"node": np.repeat(of("nodes", np.int64), times)[at], "run": held[at].view(np.int64), "often": often})
+        times, held = flat(table, "times", np.int32), flat(table, "runs", np.uint64)
+        at, often = of_several(held, np.repeat(flat(table, "labels", np.int64), times))
+        counts = np.zeros(len(held), np.int32)
+        counts[at] = np.minimum(often, np.iinfo(np.int32).max)
+        out, begin = [], 0
+        for block, nodes, sizes, n in zip(*(table.column(c).to_pylist() for c in ("block", "nodes", "sizes", "times"))):
+            n = np.frombuffer(n, np.int32)
+            end = begin + int(n.sum())
+            own = counts[begin:end]
+            left = np.add.reduceat(own > 0, np.cumsum(n) - n, dtype=np.int32)
+            some = left > 0
+            if some.any():
+                out.append((block, np.frombuffer(nodes, np.int64)[some].tobytes(), np.frombuffer(sizes, np.int32)[some].tobytes(), left[some].tobytes(), held[begin:end][own > 0].tobytes(), own[own > 0].tobytes()))
+            begin = end
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 6, [pa.int64()] + [pa.binary()] * 5)], names=["block", "nodes", "sizes", "times", "runs", "often"])
+
+    dealt = map_steps(words.select("node", "n", "label", "words"), "words", deal, "part int, block long, nodes binary, sizes binary, labels binary, times binary, runs binary", limit=DEAL_BYTES)
+    return dealt.groupBy("part").applyInArrow(count, "block long, nodes binary, sizes binary, times binary, runs binary, often binary")
 
-    dealt = map_steps(words.select("node", "label", "words"), "words", deal, "part int, runs binary, nodes binary, labels binary, times binary", limit=DEAL_BYTES)
-    return dealt.groupBy("part").applyInArrow(count, "node long, run long, often long")
+
+def shared_runs(words: DataFrame, runs: int) -> DataFrame:
+    """node, run, often of the runs that nodes of several classes have: packed_runs row by row."""
+
+    def unpack(part):
+        return np.repeat(flat(part, "nodes", np.int64), flat(part, "times", np.int32)), flat(part, "runs", np.int64), flat(part, "often", np.int32)
+
+    return map_steps(packed_runs(words, runs), "runs", unpack, "node long, run long, often long")
+
+
+def first_runs(table: pa.Table) -> pa.Table:
+    """node, key: of a block's runs of several classes, rarest first, those that each text must share one of with every text that is
+    alike. It shares `least` of its runs with such a text at least; with fewer than these there is none."""
+    times = flat(table, "times", np.int32)
+    node, n = (np.repeat(flat(table, c, t), times) for c, t in (("nodes", np.int64), ("sizes", np.int32)))
+    run, often = flat(table, "runs", np.int64), flat(table, "often", np.int32)
+    order = np.lexsort((run, often, node))
+    node, n, run = node[order], n[order], run[order]
+    starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    many = np.diff(np.append(starts, len(node)))
+    held, rank = np.repeat(many, many), np.arange(len(node)) - np.repeat(starts, many)
+    least = np.where(n <= BRIEF, 1, np.maximum(1, np.ceil((1 - RUN * (1 - SIMILARITY)) * n - (RUN - 1) - 1e-9)))
+    keep = rank <= held - least
+    return pa.table({"node": node[keep], "key": run[keep]})
 
 
 def by_runs(spark: SparkSession, met: DataFrame, crowd: DataFrame) -> DataFrame:
     """Entries (key, node, place) of the nodes of crowd (node, n, label): of the runs that several classes have, the first that a text must share one of.
 
-    A text that is alike one of another class shares `least` runs with it at least; one with fewer runs of several classes has no
-    entry. Of `held` such runs in one order for all texts, the first held - least + 1 have one in common.
+    Of `held` such runs in one order for all texts, the first held - least + 1 have one in common. The counts come back to the block
+    that sent the runs, packed, and are put in order there: what a text has more than its first runs never becomes rows.
     """
     crowd = cut(spark, crowd.select("node", "n", "label").distinct(), "omh-crowd")
     total = crowd.agg(F.sum("n").alias("n")).first()["n"]
     words = met.select("node", "words").where(marked_nodes(crowd.select("node"))(F.col("node")))
-    shared = cut(spark, shared_runs(words.join(crowd.hint("merge"), "node"), total), "omh-shared")
-    release(spark)
-    least = F.when(F.col("n") <= BRIEF, 1).otherwise(F.greatest(F.lit(1), F.ceil((1 - RUN * (1 - SIMILARITY)) * F.col("n") - (RUN - 1) - 1e-9)))
-    enough = shared.groupBy("node").agg(F.count("*").alias("held")).join(crowd.hint("merge"), "node").where(F.col("held") >= least)
-    first = cut(spark, enough.select("node", (F.col("held") - least + 1).alias("first")), "omh-enough")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "run"))
-    entries = shared.join(first.hint("merge"), "node").withColumn("rank", rank).where("rank <= first")
-    out = cut(spark, entries.select("node", F.col("run").alias("key"), F.lit(-1).alias("place")), "omh-prefix")
-    drop(spark, crowd, shared, first)
+    packed = packed_runs(words.join(crowd.hint("merge"), "node"), total)
+    entries = packed.groupBy("block").applyInArrow(first_runs, "node long, key long")
+    out = cut(spark, entries.select("node", "key", F.lit(-1).alias("place")), "omh-prefix")
+    drop(spark, crowd)
     release(spark)
     return out
 
@@ -529,7 +637,7 @@ def by_prefix(spark: SparkSession, words: DataFrame, rarity: np.ndarray, crowd:
 
 def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, label for the nodes that are linked to others. rows have row, words; nodes have node, n, sketch."""
-    buckets = meet(spark, nodes.select("node", F.explode("sketch").alias("key")))
+    buckets = meet(spark, nodes.select("node", "n", F.col("node").alias("label"), F.explode("sketch").alias("key")))
     members = buckets.select("node").distinct()
     release(spark)
 
@@ -548,11 +656,15 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     for step in (*STEPS, None):
         known = sizes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
         known = cut(spark, known, "omh-known")
-        apart = left_apart(spark, buckets, known)
+        apart = left_apart(spark, buckets.drop("n", "label"), known)
         drop(spark, buckets)
-        crowd = apart.where(F.col("work") > CROWD)
+        crowd, few, inner = apart.where(F.col("work") > CROWD), None, None
         last = step is None or crowd.isEmpty()
-        pairs = cross_pairs(apart if last else apart.where(F.col("work") <= CROWD))
+        if step not in (STEPS[0], None) and not last:
+            few = cut(spark, crowd.select("node", "n", "label").distinct(), "omh-few")
+            if few.count() ** 2 <= PAIRS * sizes.count():
+                inner, last = links_in_blocks(spark, few, met), True
+        pairs = cross_pairs(apart if last and inner is None else apart.where(F.col("work") <= CROWD), few if inner is not None else None)
         if not last:
             if step[0] == RUN:
                 entries = by_runs(spark, met, crowd)
@@ -561,14 +673,15 @@ def linked(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame:
                 if step[1] == 1:
                     rarity = rarity_of(words, step[0])
                 entries = by_prefix(spark, words, rarity, crowd, *step)
-            buckets = meet_in_turn(spark, entries)
+            buckets = meet_in_turn(spark, entries.join(known.hint("merge"), "node"))
             drop(spark, entries)
             pairs = pairs.union(hub_pairs(buckets, known)).distinct()
         more = verified(spark, pairs, met, room)
-        drop(spark, apart, known)
+        if inner is not None:
+            more = more.unionByName(inner)
+        drop(spark, apart, known, *([few] if few is not None else []))
         if not more.isEmpty():
-            links = links.union(more)
-            labels = components(spark, links)
+            labels = carried_on(spark, labels, more)
         if last:
             break
     drop(spark, met, sizes)

@@ -973,3 +973,46 @@ def test_worker_keeps_caches_of_one_operator(spark):
     assert order_minhash.CODES
     _common.keep_caches_of(bpe.__name__)
     assert not order_minhash.CODES
+
+
+def test_runs_come_back_packed(spark):
+    """What the groups give back is at most the rows that they get, not a row for each run of each text."""
+    rng = np.random.default_rng(7)
+    passage = rng.integers(0, 10**9, 300)
+    rows = [(i, np.concatenate([passage, rng.integers(0, 10**9, 40)]).astype("<u4").tobytes()) for i in range(60)]
+    words = spark.createDataFrame([(i, 340, i, w) for i, w in rows], "node long, n int, label long, words binary").coalesce(2)
+    packed = order_minhash.packed_runs(words, 4 * order_minhash.GROUP_RUNS)
+    assert packed.count() <= 2 * 4 and order_minhash.shared_runs(words, 4 * order_minhash.GROUP_RUNS).count() == 60 * 298
+
+
+def test_links_in_blocks(spark):
+    """All links of a crowd between classes, by blocks, are those of all pairs; lengths at the limit and a text that fills its bag among them."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 200, 260)
+    codes = [np.where(rng.random(size) < 0.18 * rng.random(), rng.integers(0, 200, size), base[:size]).astype("<u4") for size in rng.integers(100, 260, 120).tolist() + [80, 100, 160, 200]]
+    codes += [np.full(400, 7, "<u4"), np.concatenate([np.full(400, 7), base[:60]]).astype("<u4")]
+    labels = [i if i % 5 else 0 for i in range(len(codes))]
+    met = spark.createDataFrame([(i, order_minhash.bag(c), c.tobytes()) for i, c in enumerate(codes)], "node long, bag binary, words binary")
+    crowd = spark.createDataFrame([(i, len(c), k) for i, (c, k) in enumerate(zip(codes, labels))], "node long, n int, label long")
+    names = [(i, j) for i in range(len(codes)) for j in range(i) if labels[i] != labels[j]]
+    wanted = {p for p, s in zip(names, order_minhash.similar([(codes[i], codes[j]) for i, j in names])) if s is not None}
+    got = [tuple(r) for r in order_minhash.links_in_blocks(spark, crowd, met).collect()]
+    assert set(got) == wanted and len(got) == len(wanted) and 100 < len(wanted) < len(names)
+
+
+def test_trimmed_ends():
+    """The words that both texts begin and end with do not count, but they never count for both ends."""
+    draw = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (draw.integers(0, 2, draw.integers(0, 12)).astype(np.uint32) for _ in range(2))
+        x, y = order_minhash.trimmed(a, b)
+        assert brute.edit_distance(x, y) == brute.edit_distance(a, b) and (not len(x) or not len(y) or (x[0] != y[0] and x[-1] != y[-1]))
+
+
+def test_classes_carried_on(spark):
+    """New links join classes that there are, and nodes that have none."""
+    links = [(2, 1), (3, 2), (7, 6), (9, 8)]
+    more = [(7, 3), (12, 11), (11, 9), (3, 1)]
+    make = lambda x: spark.createDataFrame(x, "a long, b long")
+    got = {tuple(r) for r in order_minhash.carried_on(spark, order_minhash.components(spark, make(links)), make(more)).collect()}
+    assert got == {tuple(r) for r in order_minhash.components(spark, make(links + more)).collect()}
