@@ -433,7 +433,7 @@ def links_in_blocks(spark: SparkSession, crowd: DataFrame, met: DataFrame) -> Da
     blocks = spark.createDataFrame([(r["level"], r["parts"]) for r in plan], "level int, parts int")
     numbered = blocks.select("level", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     other = numbered.select(F.col("level").alias("level_y"), F.col("part").alias("part_y"))
-    pairs = numbered.join(other, (F.col("level_y") == F.col("level") + 1) | ((F.col("level_y") == F.col("level")) & (F.col("part_y") >= F.col("part"))))
+    pairs = numbered.join(F.broadcast(other), (F.col("level_y") == F.col("level") + 1) | ((F.col("level_y") == F.col("level")) & (F.col("part_y") >= F.col("part"))))
     pairs = pairs.select(F.struct("level", "part").alias("x"), F.struct(F.col("level_y").alias("level"), F.col("part_y").alias("part")).alias("y"))
     sides = pairs.select("x", "y", F.col("x").alias("at")).union(pairs.where("x <> y").select("x", "y", F.col("y").alias("at")))
 
